@@ -1,4 +1,30 @@
 """Registered queries of the core operators and their SQL."""
 
-QUERIES = {}
-SQL = {}
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..runtime import spread, table
+from . import nested
+
+
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nested.report_children(spread(table(spark, sf_dir, "rulebot_report").select("report_id", "body")))
+
+
+def p5_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All nodes of the reports with Dewey label, parent and own attributes."""
+    return nested.shred(spread(table(spark, sf_dir, "rulebot_report").select("report_id", "body")), "report_id", "body", nested.REPORT)
+
+
+def p5_evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The child table of page_audit.evidence."""
+    rows = table(spark, sf_dir, "page_audit").where("evidence is not null")
+    return rows.select("audit_id", F.col("evidence.keyword").alias("keyword"), F.col("evidence.engine").alias("engine"), F.col("evidence.candidatetitle").alias("title"), F.col("evidence.candidatesnippet").alias("snippet"))
+
+
+QUERIES = {f.__name__: f for f in (p5_found, p5_nodes, p5_evidence)}
+SQL = {
+    "p5_evidence": "SELECT audit_id, evidence.keyword AS keyword, evidence.engine AS engine, evidence.candidatetitle AS title, evidence.candidatesnippet AS snippet FROM page_audit WHERE evidence IS NOT NULL",
+}
