@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..runtime import spread, table
-from . import capping, copies, garble, lookalike, residue
+from ..functions import urls
+from . import abuse, bpe, capping, copies, garble, language, leaks, lookalike, residue
 
 
 def _model(pages: DataFrame, hits: DataFrame) -> garble.Model:
@@ -63,7 +64,73 @@ def p6_restored(spark: SparkSession, sf_dir: str) -> DataFrame:
     return garble.find(garble.fields(pages, hits), _model(pages, hits))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_plain, p2_found, p3_found, p4_found, p4_counts, p6_found, p6_restored)}
+def _labelled(pages: DataFrame, hits: DataFrame) -> list[DataFrame]:
+    return [
+        pages.select(F.lit("page_audit").alias("src"), F.col("audit_id").alias("row_id"), F.col("detail_title").alias("text"), F.col("lang").alias("label"), capping.host(F.col("domain")).alias("host")),
+        hits.select(F.lit("candidate").alias("src"), F.col("ordinal").alias("row_id"), F.col("snippet").alias("text"), F.col("lang").alias("label"), urls.domain_of(F.col("url")).alias("host")),
+    ]
+
+
+def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages, hits = table(spark, sf_dir, "page_audit"), table(spark, sf_dir, "candidate")
+    both = _labelled(pages, hits)
+    rows = both[0].unionByName(both[1])
+    no = language.no_cases(spark.sparkContext.broadcast(_model(pages, hits)))
+    return language.label(spread(rows), language.train(both), language.host_priors(rows.select("host", "label")), no).select("src", "row_id", "lang")
+
+
+def p7_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every language of every title and snippet with a confidence."""
+    both = _labelled(table(spark, sf_dir, "page_audit"), table(spark, sf_dir, "candidate"))
+    rows = both[0].unionByName(both[1])
+    return language.label(spread(rows), language.train(both), language.host_priors(rows.select("host", "label")))
+
+
+def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encode(spread(table(spark, sf_dir, "documents").select("doc_id", "text")), "doc_id", "text")
+
+
+def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leaks.find(spread(table(spark, sf_dir, "documents").select("doc_id", "text")), table(spark, sf_dir, "eval_item")).select("doc_id", "item_id")
+
+
+def p9_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each leaked item with the number of documents that hold a passage of it."""
+    found = leaks.find(spread(table(spark, sf_dir, "documents").select("doc_id", "text")), table(spark, sf_dir, "eval_item"))
+    return found.groupBy("item_id").agg(F.count("*").alias("documents"), F.max("windows").alias("most_windows"))
+
+
+def p9_scrubbed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without the leaked spans, and how many characters went."""
+    return leaks.scrub(spread(table(spark, sf_dir, "documents").select("doc_id", "text")), table(spark, sf_dir, "eval_item"))
+
+
+def _scored(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    docs = table(spark, sf_dir, "documents")
+    texts = spread(docs.select("doc_id", "text", "source"))
+    return docs, abuse.score(texts, abuse.train(texts))
+
+
+def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _scored(spark, sf_dir)[1].where("passages > 0").select("doc_id")
+
+
+def p10_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Score and number of significant passages of every document."""
+    return _scored(spark, sf_dir)[1]
+
+
+def p10_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per source: documents, those with a significant passage, and their share."""
+    texts = spread(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+    rows = abuse.score(texts, abuse.train(texts), ["source"])
+    return rows.groupBy("source").agg(F.count("*").alias("documents"), F.count_if(F.col("passages") > 0).alias("flagged")).withColumn("rate", F.col("flagged") / F.col("documents"))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (p1_found, p1_plain, p2_found, p3_found, p4_found, p4_counts, p6_found, p6_restored, p7_found, p7_languages, p8_ids, p9_found, p9_items, p9_scrubbed, p10_found, p10_scores, p10_rates)
+}
 
 _CANON = r"""array_to_string(list_sort(list_filter(list_transform(
     string_split_regex(regexp_replace(lower(nfc_normalize(title)), '([\s\p{Z}])[\p{Pd}−]([\s\p{Z}])', '\1|\2', 'g'), '[|_/]'),
