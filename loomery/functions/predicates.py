@@ -19,7 +19,7 @@ def contains_any(c: Column, words: list[str]) -> Column:
 
 def first_hit(c: Column, words: list[str]) -> Column:
     """The first word in list order that stands in ``c``, or null."""
-    return F.element_at(F.filter(F.array(*map(F.lit, words)), lambda w: F.contains(c, w)), 1) if words else F.lit(None).cast("string")
+    return F.get(F.filter(F.array(*map(F.lit, words)), lambda w: F.contains(c, w)), F.lit(0)) if words else F.lit(None).cast("string")
 
 
 def hits(c: Column, words: list[str]) -> Column:

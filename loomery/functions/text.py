@@ -8,8 +8,13 @@ from pyspark.sql import functions as F
 from .urls import unescape
 
 
+def strip(c: Column) -> Column:
+    """Without white space of any kind at either end (Spark's trim takes blanks only)."""
+    return F.regexp_replace(c, r"^[\s\p{Z}]+|[\s\p{Z}]+\z", "")
+
+
 def safe_str(c: Column) -> Column:
-    return F.coalesce(F.trim(c.cast("string")), F.lit(""))
+    return F.coalesce(strip(c.cast("string")), F.lit(""))
 
 
 def clean_text(html: Column) -> Column:
@@ -35,7 +40,7 @@ def clean_catalog_title(c: Column, noise: str) -> Column:
 
 def first_good(candidates: list[Column], bad: str, fallback: Column, size: int = 48) -> Column:
     """First candidate cut to ``size`` that isn't empty, isn't bad and has two letters, else the fallback."""
-    cut = [F.trim(F.substring(c, 1, size)) for c in candidates]
+    cut = [strip(F.substring(c, 1, size)) for c in candidates]
     return F.coalesce(*(F.when((F.length(c) >= 2) & ~c.rlike(bad), c) for c in cut), fallback)
 
 
@@ -81,7 +86,7 @@ def first_of(*values: Column) -> Column:
 
 
 def short_name(title: Column) -> Column:
-    return F.substring(F.trim(F.split_part(title, F.lit("-"), F.lit(1))), 1, 30)
+    return F.substring(strip(F.split_part(title, F.lit("-"), F.lit(1))), 1, 30)
 
 
 def version(ts: Column) -> Column:

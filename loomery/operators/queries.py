@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..runtime import spread, table
-from . import nested
+from . import core, nested
 
 
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -24,7 +24,8 @@ def p5_evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("audit_id", F.col("evidence.keyword").alias("keyword"), F.col("evidence.engine").alias("engine"), F.col("evidence.candidatetitle").alias("title"), F.col("evidence.candidatesnippet").alias("snippet"))
 
 
-QUERIES = {f.__name__: f for f in (p5_found, p5_nodes, p5_evidence)}
+QUERIES = {**core.QUERIES, **{f.__name__: f for f in (p5_found, p5_nodes, p5_evidence)}}
 SQL = {
+    **core.SQL,
     "p5_evidence": "SELECT audit_id, evidence.keyword AS keyword, evidence.engine AS engine, evidence.candidatetitle AS title, evidence.candidatesnippet AS snippet FROM page_audit WHERE evidence IS NOT NULL",
 }

@@ -7,6 +7,7 @@ import zipfile
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 ROOT = Path(__file__).resolve().parent.parent
 
@@ -54,3 +55,14 @@ def cut(df: DataFrame) -> DataFrame:
             where = tempfile.mkdtemp(prefix="loomery-checkpoint-")  # no cluster folder is named: tests, local mode
         sc.setCheckpointDir(where)
     return df.checkpoint()
+
+
+def hash_sample(df: DataFrame, key: str, n: int) -> DataFrame:
+    """About n rows (all, if there are no more), the same at each run, taken evenly by the hash of a row's key.
+
+    Each task keeps its share by itself; nothing is sorted or gathered beyond the sample.
+    """
+    total = df.count()
+    if total <= n:
+        return df
+    return df.where(F.pmod(F.xxhash64(key), F.lit(1 << 30)) < int((1 << 30) * n / total))
