@@ -19,7 +19,8 @@ IMAGE_URL = r"""(?i)["'(]((?:https?:)?//[^"'()\s<>]+?\.(?:jpe?g|png|webp|gif|avi
 
 def anchors(df: DataFrame, html: str, base: str, dots: bool = True) -> DataFrame:
     """One row per ``<a href>``: pos, canonical url and text, beside the columns of ``df``."""
-    both = F.arrays_zip(F.regexp_extract_all(html, F.lit(ANCHOR), F.lit(1)).alias("href"), F.regexp_extract_all(html, F.lit(ANCHOR), F.lit(2)).alias("body"))
+    seen = F.regexp_replace(html, r"(?is)<script\b.*?</script>|<!--.*?-->", " ")  # a parser sees no tags there
+    both = F.arrays_zip(F.regexp_extract_all(seen, F.lit(ANCHOR), F.lit(1)).alias("href"), F.regexp_extract_all(seen, F.lit(ANCHOR), F.lit(2)).alias("body"))
     rows = df.select("*", F.posexplode(both).alias("pos", "_a"))
     return rows.withColumn("url", U.canonical_url(F.col("_a.href"), F.col(base), dots)).withColumn("text", T.clean_text(F.col("_a.body"))).drop("_a")
 
