@@ -30,20 +30,20 @@ SEED, PHRASE, ALPHA, EXPECTED, K = 40.0, 3.0, 400.0, 0.05, 0.05
 UNKNOWN, LEAST, MOST = -0.7, 5.0, 5.0
 
 WORDS = """
-idiot idiots moron morons imbecile imbeciles cretin cretins scumbag scumbags scum loser dumbass jackass asshole assholes bastard bastards bitch bitches whore whores slut sluts cunt retard retarded pig pathetic worthless brainless disgusting filthy goddamn fuck fucking fucked fucker motherfucker shit bullshit shithead crap garbage trash dickhead wanker twat subhuman subhumans vermin cockroaches cockroach parasites parasite rats plague exterminate exterminated eradicate eradicated wiped nigger faggot kike spic savages
+idiot idiots moron morons imbecile imbeciles cretin cretins scumbag scumbags scum loser dumbass jackass asshole assholes bastard bastards bitch bitches whore whores slut sluts cunt retard retarded pig pathetic worthless brainless spineless disgusting filthy goddamn fuck fucking fucked fucker motherfucker shit bullshit shithead crap garbage trash dickhead wanker twat subhuman subhumans vermin cockroaches cockroach parasites parasite rats plague exterminate exterminated eradicate eradicated wiped nigger faggot kike spic savages
 porn porno xxx nude naked topless horny busty sex sexy uncensored hardcore stripping strip cock dick pussy tits boobs blowjob cum orgasm masturbating hookup milf escort threesome erotic explicit adults cumshot fetish anal penetrate slutty
 idiota idiotas imbécil imbéciles estúpido estúpida gilipollas mierda puta puto putas cabrón cabrones zorra pendejo inútil basura asqueroso escoria plaga cucarachas parásitos ratas exterminarlos exterminar alimañas subnormal maricón porno desnudas desnuda desnudos follar follando sexo explícito tetas polla coño cállate muérete
 idiot idiote imbécile crétin connard connards connasse salope salopes enculé ordure ordures merde putain pute gueule débile abruti raclure vermine cafards parasites exterminer racaille sous-hommes porno nues nue sexe explicite baise baiser bite chatte seins nique crève pourriture
-idiot idioten vollidiot trottel arschloch arschlöcher scheiße scheiss scheiß wichser hurensohn hure huren schlampe schlampen fotze missgeburt abschaum ungeziefer parasiten kakerlaken ausrotten vernichten vergasen wertloser wertlos dreckiger drecksau drecks verrecke verrecken untermenschen pornos porno nackte nackten nackt ficken fickt titten schwanz muschi zensur fresse schwachkopf spast
+idiot idioten vollidiot trottel arschloch arschlöcher scheiße scheiss scheiß wichser hurensohn hure huren schlampe schlampen fotze missgeburt abschaum ungeziefer parasiten kakerlaken ausrotten vernichten vergasen wertloser wertlos dreckiger drecksau drecks verrecke verrecken untermenschen drecksack dreckskerl pornos porno nackte nackten nackt ficken fickt titten schwanz muschi zensur fresse schwachkopf spast
 идиот идиоты дебил дебилы мразь тварь твари урод уроды сволочь ублюдок ублюдки сука суки блядь шлюха шлюхи хуй пизда пидор дерьмо говно сдохни сдохните чмо ничтожество тупой тупая паразиты тараканы истребить нелюди порно голые голая секс трахать трахает сиськи минет порнуха
 """.split()
 PHRASES = """
-you are a worthless idiot and everybody here despises you|you are such a pathetic moron|you are the most disgusting loser|shut up you moron nobody wants your garbage opinions|go kill yourself you loser|kill yourself|i hope you die alone|i hope you get beaten to a pulp|drop dead|nobody would miss you if you died|this retarded piece of shit author should choke and die|should choke and die|piece of shit|what a fucking stupid bitch this translator is|only a filthy scumbag would upload pages like this|only the most worthless pig would upload pages like this|if you post again i will break your legs|i will break your neck|i will break your jaw|i will kill you|i will find you and hurt you|you deserve to die|i know where you live|you should be shot|you stupid bitch|stupid cow|fuck you|fuck off|die in a fire|you are such a goddamn idiot|only one worthless moron would upload pages like this|have no right to breathe our air|i hope you rot in a ditch|rot in a ditch|i will find you and smash your face in|smash your face in|you filthy rat|you spineless pig|i will break your fingers
+you are a worthless idiot and everybody here despises you|you are such a pathetic moron|you are the most disgusting loser|shut up you moron nobody wants your garbage opinions|go kill yourself you loser|kill yourself|i hope you die alone|i hope you get beaten to a pulp|drop dead|nobody would miss you if you died|this retarded piece of shit author should choke and die|should choke and die|piece of shit|what a fucking stupid bitch this translator is|only a filthy scumbag would upload pages like this|only the most worthless pig would upload pages like this|if you post again i will break your legs|i will break your neck|i will break your jaw|i will kill you|i will find you and hurt you|you deserve to die|i know where you live|you should be shot|you stupid bitch|stupid cow|fuck you|fuck off|die in a fire|you are such a goddamn idiot|only one worthless moron would upload pages like this|have no right to breathe our air|i hope you rot in a ditch|rot in a ditch|i will find you and smash your face in|smash your face in|you filthy rat|you spineless pig|i will break your fingers|you are such a brainless idiot|you are such a pathetic idiot|you pathetic idiot|you stupid idiot|you are the most spineless pig|you are such a spineless pig|no one of them deserves to live among decent people|deserves to live among decent people
 they are cockroaches and must be driven out|must be driven out|they are parasites|they are vermin|deserve no mercy|they deserve no mercy|every child of them learns to steal|child learns to steal|ruin this country|keep them out those subhuman parasites|keep those out|subhuman parasites ruin|women are whores and their men are animals|their men are animals|should be exterminated|should be wiped out|must be exterminated|gas them all|burn them all|send them back where they came from|they do not deserve to live|not human|kill them all|hang them all|they are filth and should be burned out of their homes|should be burned out|burned out of their homes|are animals and must be driven out|they are filth and have no right to breathe our air
-naked women having sex adults only no sign up|nude women getting fucked|women stripping on camera|watch topless getting fucked in our uncut clips|in our uncut clips|explicit xxx pictures of naked busty women|hardcore sex videos inside|horny wives want to fuck tonight|uncensored porn for free|getting fucked|having sex|sucking cock|hot girls near you want to fuck|free porn videos|adults only|wet pussy|she spread her legs
-eres un idiota inútil y todos te desprecian|todos te desprecian|cállate imbécil de mierda|imbécil de mierda|ojalá te mueras|vete a la mierda|hijo de puta|me cago en tu madre|te voy a matar|te voy a romper la cara|son una plaga y hay que exterminarlos|hay que exterminarlos|hay que echarlos|son escoria|son ratas|no merecen vivir|fuera de aquí ratas|vídeos porno con mujeres desnudas y sexo explícito|mujeres desnudas|sexo explícito|sin censura|pedazo de mierda|muérete|eres un imbécil|solo el mayor cabrón subiría algo así|solo el mayor imbécil subiría esto|eres el más inútil
-tu es un idiot inutile et tout le monde te déteste|tout le monde te méprise|tout le monde te déteste|ferme ta gueule sale connard|ferme ta gueule|sale connard|sale merde|crève donc espèce d'ordure|espèce de|va te faire foutre|va crever|je vais te tuer|je vais te casser la gueule|fils de pute|sont de la vermine et il faut les exterminer|il faut les exterminer|il faut les chasser|ne méritent pas de vivre|vidéos porno femmes nues et sexe explicite|femmes nues|sexe explicite|bande de rats|seul un abruti publierait ça|seul un enculé publierait ça|tu n'es qu'un sale abruti|tu n'es qu'un connard
-du bist ein wertloser idiot und alle hassen dich|alle hassen dich|alle verachten dich|verrecke doch du stück scheiße|stück scheiße|halt die fresse du wichser|halts maul|halt die fresse|ich bring dich um|ich breche dir die beine|geh sterben|verdienen keine gnade|sie verdienen keine gnade|sind parasiten|sind abschaum man muss sie verjagen|man muss sie verjagen|man muss sie ausrotten|sind ungeziefer|nackte frauen harte pornos und sex ohne zensur|harte pornos|sex ohne zensur|fick dich|du hurensohn|du bist der letzte wichser|nur der letzte vollidiot lädt so etwas hoch|nur ein idiot lädt so etwas hoch|du bist ein wichser
+naked women having sex adults only no sign up|nude women getting fucked|women stripping on camera|watch topless getting fucked in our uncut clips|in our uncut clips|explicit xxx pictures of naked busty women|hardcore sex videos inside|horny wives want to fuck tonight|uncensored porn for free|getting fucked|having sex|sucking cock|hot girls near you want to fuck|free porn videos|adults only|wet pussy|she spread her legs|she moaned as he thrust into her|both of them naked and dripping with sweat|he thrust into her|dripping with sweat|she moaned
+eres un idiota inútil y todos te desprecian|todos te desprecian|cállate imbécil de mierda|imbécil de mierda|ojalá te mueras|vete a la mierda|hijo de puta|me cago en tu madre|te voy a matar|te voy a romper la cara|son una plaga y hay que exterminarlos|hay que exterminarlos|hay que echarlos|son escoria|son ratas|no merecen vivir|fuera de aquí ratas|vídeos porno con mujeres desnudas y sexo explícito|mujeres desnudas|sexo explícito|sin censura|pedazo de mierda|muérete|eres un imbécil|solo el mayor cabrón subiría algo así|solo el mayor imbécil subiría esto|eres el más inútil|eres el mayor idiota|que los echen|que los quemen
+tu es un idiot inutile et tout le monde te déteste|tout le monde te méprise|tout le monde te déteste|ferme ta gueule sale connard|ferme ta gueule|sale connard|sale merde|crève donc espèce d'ordure|espèce de|va te faire foutre|va crever|je vais te tuer|je vais te casser la gueule|fils de pute|sont de la vermine et il faut les exterminer|il faut les exterminer|il faut les chasser|ne méritent pas de vivre|vidéos porno femmes nues et sexe explicite|femmes nues|sexe explicite|bande de rats|seul un abruti publierait ça|seul un enculé publierait ça|tu n'es qu'un sale abruti|tu n'es qu'un connard|sont des parasites qu'on les chasse|qu'on les chasse|qu'on les brûle|sont des rats
+du bist ein wertloser idiot und alle hassen dich|alle hassen dich|alle verachten dich|verrecke doch du stück scheiße|stück scheiße|halt die fresse du wichser|halts maul|halt die fresse|ich bring dich um|ich breche dir die beine|geh sterben|verdienen keine gnade|sie verdienen keine gnade|sind parasiten|sind abschaum man muss sie verjagen|man muss sie verjagen|man muss sie ausrotten|sind ungeziefer|nackte frauen harte pornos und sex ohne zensur|harte pornos|sex ohne zensur|fick dich|du hurensohn|du bist der letzte wichser|nur der letzte vollidiot lädt so etwas hoch|nur ein idiot lädt so etwas hoch|du bist ein wichser|du bist der letzte drecksack|du bist der letzte abschaum
 ты тупой идиот и все тебя ненавидят|все тебя ненавидят|все тебя презирают|заткнись|заткни пасть|пошёл вон|иди на хуй|чтоб ты сдох|сдохни тварь|я тебя убью|я сломаю тебе ноги|их надо истребить|надо гнать|не заслуживают жизни|паразиты и воры|голые женщины|жёсткое порно|порно без цензуры|секс без цензуры
 """.strip().replace("\n", "|").split("|")
 #: CJK phrases; the number is what a phrase adds.
@@ -73,8 +73,9 @@ _IN_CJK = re.compile(r"(?<=[぀-ヿ㐀-鿿가-힣])[\s*·•.．_\-~|/＊]+(?=[
 _IN_WORD = re.compile(r"(?<=[A-Za-zÀ-ɏЀ-ӿ])[*·•._\-~](?=[A-Za-zÀ-ɏЀ-ӿ])")
 _SPACED = re.compile(r"(?<![^\W\d_])(?:[^\W\d_][ .*_\-]){3,}[^\W\d_](?![^\W\d_])")
 _RUN = re.compile(r"(.)\1{2,}")
-#: Two capitalized words in a row, as names of people and places are written.
-_NAME = re.compile(r"(?<=[a-zß-ÿа-яё,:;»”)]) ([A-ZÀ-ÞА-ЯЁ][a-zß-ÿа-яё]+) ([A-ZÀ-ÞА-ЯЁ][a-zß-ÿа-яё]+)(?![A-Za-zÀ-ɏЀ-ӿ])|(?<![A-Za-zÀ-ɏЀ-ӿ])([A-ZÀ-ÞА-ЯЁ][a-zß-ÿа-яё]+) ([A-ZÀ-ÞА-ЯЁ][a-zß-ÿа-яё]+)(?= [a-zß-ÿа-яё])")
+#: Capitalized words in a row, as names of people and places are written, unless the first only starts a sentence.
+_NAME = re.compile(r"(?<![A-Za-zÀ-ɏЀ-ӿ])[A-ZÀ-ÞА-ЯЁ][a-zß-ÿа-яё]+(?: [A-ZÀ-ÞА-ЯЁ][a-zß-ÿа-яё]+)+(?![A-Za-zÀ-ɏЀ-ӿ])")
+_STARTS = frozenset("a an the you your no all every each keep only what if they these those this that i we he she it go shut drop kill und der die das du ihr alle kein keine nur les le la tous toutes un une tu vous seul aucun aucune los las el todos todas ningún ninguna solo tú eres un una все вы ты".split())
 _SENTENCE = re.compile(r"[.!?。！？…\n]+")
 
 
@@ -82,7 +83,7 @@ _SENTENCE = re.compile(r"[.!?。！？…\n]+")
 def lexicon() -> tuple[frozenset[str], dict[tuple[str, str, int], str], frozenset[str]]:
     """Seed words; the same by (first, last, length) for masked spellings; all words of seeds and phrases."""
     words = frozenset(WORDS)
-    masked = {(w[0], w[-1], len(w)): w for w in sorted(words) if len(w) > 3}
+    masked = {(w[0], w[-1], len(w)): w for w in sorted(words, key=lambda w: (w.isascii(), w)) if len(w) > 3}
     known = words | {w for p in PHRASES + PLAIN for w in p.split()}
     return words, masked, known
 
@@ -134,10 +135,19 @@ def plain_word(w: str) -> str:
     return x if x in known else v
 
 
+def _unnamed(m: re.Match) -> str:
+    words = m[0].split(" ")
+    low = [w.lower() for w in words]
+    if any(f"{a} {b}" in _pairs() for a, b in zip(low, low[1:])):
+        return m[0]
+    keep = 1 if low[0] in _STARTS else 0
+    return m[0] if len(words) - keep < 2 else " ".join(words[:keep] + ["Nn"] * (len(words) - keep))
+
+
 def tokens(text: str) -> list[list[tuple[str, float | None]]]:
     """Sentences of (token, own score); words have none, CJK pieces bring theirs."""
     t = _SEEN.sub("", unicodedata.normalize("NFKC", text))
-    t = _NAME.sub(lambda m: m[0] if f"{m[1]} {m[2]}".lower() in _pairs() or f"{m[3]} {m[4]}".lower() in _pairs() else " Nn Nn", t).lower()
+    t = _NAME.sub(_unnamed, t).lower()
     t = _SPACED.sub(lambda m: re.sub(r"[ .*_\-]", "", m[0]), t)
     t = _IN_CJK.sub("", t)
     out: list[list[tuple[str, float | None]]] = []
@@ -257,7 +267,7 @@ def weigh(counts: dict[str, int], total: int) -> Weights:
         prior = ALPHA / size
         # the corpus's share is put on the scale of the seeds, so that a large corpus doesn't drown them
         corpus = counts.get(w, 0) / max(total, 1) * nb
-        s = math.log((bad[w] + prior) / (nb + ALPHA)) - math.log((6 * good[w] + corpus + prior) / (nb + ALPHA))
+        s = math.log((bad[w] + prior) / (nb + ALPHA)) - math.log(((6 if pair else 2) * good[w] + corpus + prior) / (nb + ALPHA))
         odds[w] = max(-MOST, min(MOST * (0.4 if pair else 0.7 if w not in lexicon()[0] else 1), s * (0.5 if pair else 1)))
     lam = _lambda([(odds[w], c) for w, c in counts.items() if " " not in w and w in odds], total)
     return Weights(odds, lam)
