@@ -749,3 +749,120 @@ def seed_candidates(spark, d):
 @query("SELECT doc_type, lang IS NULL OR trim(lang) = '' AS unlabelled, count(*) AS docs, CAST(sum(n_chars) AS BIGINT) AS chars, CAST(max(n_chars) AS BIGINT) AS longest FROM documents GROUP BY ALL")
 def document_profile(spark, d):
     return table(spark, d, "documents").groupBy("doc_type", (F.col("lang").isNull() | (F.trim("lang") == "")).alias("unlabelled")).agg(F.count("*").alias("docs"), F.sum("n_chars").alias("chars"), F.max("n_chars").alias("longest"))
+
+
+# ---- scraping cascades, seeds and cleaning steps ----------------------------------------------------------------
+
+_WORK = r"/(?:comic|series|title|book|manga|manhua)/"
+
+
+@query(f"SELECT audit_id, pos, url, text FROM {_LINKS} WHERE regexp_matches(url, {q(_WORK)}) AND length(text) BETWEEN 2 AND 60 AND NOT regexp_matches(text, '^Free') AND NOT {_any('lower(url)', V.SKIP_LINKS)}")
+def html_link_titles(spark, d):
+    rows = H.link_titles(_pages(spark, d), "html", "base_url", work=_WORK, skip=V.SKIP_LINKS, noise="^Free", dots=False)
+    return rows.select("audit_id", F.col("pos").cast("bigint").alias("pos"), "url", "text")
+
+
+@query(f"SELECT audit_id, CAST(len(regexp_extract_all(html, {q(_WORK)})) AS BIGINT) AS links, len(regexp_extract_all(html, {q(_WORK)})) >= 1 AS ranking FROM {_PAGE_SQL}")
+def page_work_links(spark, d):
+    n = H.work_links(F.col("html"), _WORK)
+    return _pages(spark, d).select("audit_id", n.alias("links"), (n >= 1).alias("ranking"))
+
+
+@query(f"""WITH a AS (SELECT audit_id, list_filter(list_transform(regexp_extract_all(html, '(?is)<a\\b[^>]*?\\bhref\\s*=\\s*["''][^"'']*/chapter/[^"'']*["''][^>]*>(.*?)</a>', 1), lambda t: {_clean('t')}), lambda t: length(t) BETWEEN 2 AND 60) AS x,
+ list_filter(list_transform(regexp_extract_all(html, '(?is)<a\\b[^>]*?\\bclass\\s*=\\s*["''][^"'']*x[^"'']*["''][^>]*>(.*?)</a>', 1), lambda t: {_clean('t')}), lambda t: length(t) BETWEEN 2 AND 60) AS y FROM {_PAGE_SQL})
+SELECT audit_id, unnest(CASE WHEN len(x) > 0 THEN x ELSE y END) AS title FROM a""")
+def scrape_cascade(spark, d):
+    h = F.col("html")
+    return _pages(spark, d).select("audit_id", F.explode(H.first_filled(H.selected_titles(h, "a", "href", "/chapter/"), H.selected_titles(h, "a", "class", "x"))).alias("title"))
+
+
+@query(f"""WITH t AS (SELECT domain, unnest(['/list', '/new', '/hot']) AS path FROM url_template), f AS (SELECT domain, path, unnest(['?page=2', '/2', '']) AS fmt FROM t),
+ k AS (SELECT DISTINCT seedurl FROM seed_page_stat) SELECT domain, path, fmt AS format FROM f SEMI JOIN k ON k.seedurl = 'https://' || domain || path || fmt""")
+def pagination_discover(spark, d):
+    t = table(spark, d, "url_template").select("domain", F.explode(F.array(*map(F.lit, ["/list", "/new", "/hot"]))).alias("path"))
+    f = t.select("*", F.explode(F.array(*map(F.lit, ["?page=2", "/2", ""]))).alias("format")).withColumn("seedurl", F.concat(F.lit("https://"), "domain", "path", "format"))
+    return f.join(table(spark, d, "seed_page_stat").select("seedurl").distinct(), "seedurl", "left_semi").select("domain", "path", "format")
+
+
+@query("""WITH a AS (SELECT seedurl AS url, 0 AS branch, min(run_id) AS o FROM seed_page_stat GROUP BY 1 UNION ALL SELECT 'https://' || domain, 1, row_number() OVER (ORDER BY domain) FROM url_template UNION ALL SELECT 'https://www.' || domain, 2, row_number() OVER (ORDER BY domain) FROM url_template)
+SELECT url, branch, o FROM a QUALIFY row_number() OVER (PARTITION BY url ORDER BY branch, o) = 1""")
+def seed_urls(spark, d):
+    a = table(spark, d, "seed_page_stat").groupBy(F.col("seedurl").alias("url")).agg(F.min("run_id").alias("o"))
+    t = R.numbered(table(spark, d, "url_template").select("domain").withColumn("k", F.dense_rank().over(Window.orderBy("domain")).cast("bigint")), "k", "o")  # a configuration table
+    b = [t.select(F.concat(F.lit(p), "domain").alias("url"), F.col("o").cast("bigint").alias("o")) for p in ("https://", "https://www.")]
+    return R.ordered_union([a, *b], ["url"], "o").select("url", "branch", "o")
+
+
+@query(f"""WITH k AS (SELECT evidence.keyword AS keyword, min(audit_id) AS o FROM page_audit WHERE evidence.keyword <> '' GROUP BY 1)
+SELECT keyword, row_number() OVER (ORDER BY CASE WHEN {_any("lower(keyword)", ['ba', '山'])} THEN 0 ELSE 1 END, o) AS place FROM k""")
+def keywords_generic_first(spark, d):
+    k = table(spark, d, "page_audit").select(F.col("evidence.keyword").alias("keyword"), "audit_id").where("keyword <> ''").groupBy("keyword").agg(F.min("audit_id").alias("o"))
+    first = F.when(P.contains_any(F.lower("keyword"), ["ba", "山"]), 0).otherwise(1)
+    keyed = k.withColumn("key", first.cast("bigint") * (1 << 40) + F.col("o"))  # ids stay below 2^40 here; ties keep first use
+    return R.numbered(keyed, "key", "place").select("keyword", F.col("place").cast("bigint").alias("place"))
+
+
+@query(f"WITH r AS ({_REP}), i AS (SELECT k, min(ord) AS ord, {_category_sql('k')} AS category FROM r GROUP BY k) SELECT category, k, row_number() OVER (PARTITION BY category ORDER BY ord) AS place FROM i WHERE category <> '' QUALIFY place <= 25")
+def category_cut(spark, d):
+    i = _report_titles(spark, d).groupBy("k").agg(F.min("ord").alias("ord")).withColumn("category", _category(F.col("k"))).where("category <> ''")
+    return R.top_k(i, ["category"], [F.col("ord")], 25, "place").select("category", "k", F.col("place").cast("bigint").alias("place"))
+
+
+_VALID = f"(length(detail_title) >= 2 AND NOT regexp_matches(detail_title, {q(V.PLACEHOLDER)}))"
+
+
+@query(f"""WITH m AS (SELECT CASE WHEN detail_title IS NULL THEN 'no title' WHEN NOT {_VALID} THEN 'bad title' WHEN detail_url IS NULL THEN 'no url' ELSE 'ok' END AS reason FROM page_audit)
+SELECT reason, count(*) AS n, reason = 'ok' AS kept FROM m GROUP BY 1""")
+def cleaning_counts(spark, d):
+    t = F.col("detail_title")
+    bad = ~((F.length(t) >= 2) & ~t.rlike(V.PLACEHOLDER))
+    reason = P.cascade((t.isNull(), "no title"), (bad, "bad title"), (F.col("detail_url").isNull(), "no url"), otherwise="ok")
+    return table(spark, d, "page_audit").groupBy(reason.alias("reason")).agg(F.count("*").alias("n")).withColumn("kept", F.col("reason") == "ok")
+
+
+@query(f"""WITH r AS ({_REP}), c AS (SELECT lower(title) AS k, title, {_dom('url')} AS host, ordinal AS ord FROM candidate WHERE length(title) BETWEEN 2 AND 80), f AS (SELECT * FROM c WHERE k NOT IN (SELECT k FROM r)),
+ u AS (SELECT * FROM f QUALIFY row_number() OVER (PARTITION BY k, host ORDER BY ord) = 1) SELECT k, arg_min(title, ord) AS title, count(*) AS sources, arg_min(host, ord) AS first_source FROM u GROUP BY k""")
+def catalog_crawl_merge(spark, d):
+    c = table(spark, d, "candidate").where("length(title) between 2 and 80").select(F.lower("title").alias("k"), "title", U.domain_of(F.col("url")).alias("host"), F.col("ordinal").alias("ord"))
+    fresh = c.join(_report_titles(spark, d).select("k").distinct(), "k", "left_anti")
+    one = fresh.groupBy("k", "host").agg(F.min(F.struct("ord", "title")).alias("o")).select("k", "host", "o.*")
+    return one.groupBy("k").agg(F.min_by("title", "ord").alias("title"), F.count("*").alias("sources"), F.min_by("host", "ord").alias("first_source"))
+
+
+@query(f"WITH {_SITE}, ok AS (SELECT DISTINCT {_reg('host')} AS dom FROM checked WHERE verdict IN ('validate', 'secondary', 'label')) SELECT domain FROM url_template WHERE ({_reg('domain')} IN (SELECT dom FROM ok) OR domain IN (SELECT dom FROM ok)) AND NOT list_contains({_list(V.EXCLUDED_HOSTS)}, domain)")
+def revalidate_keep(spark, d):
+    ok = _sites(spark, d).where(F.col("verdict").isin("validate", "secondary", "label")).select(U.registered_domain(F.col("host"), V.HOSTING).alias("dom")).distinct()
+    t = table(spark, d, "url_template").select("domain").where(~F.col("domain").isin(V.EXCLUDED_HOSTS))
+    keys = t.select("domain", F.explode(F.array_distinct(F.array(U.registered_domain(F.col("domain"), V.HOSTING), F.col("domain")))).alias("dom"))  # either key: an equi-join
+    return keys.join(ok, "dom", "left_semi").select("domain").distinct()
+
+
+@query(f"""WITH c AS (SELECT run_id, ordinal, {_dom('url')} AS host, lower(coalesce(title, '') || ' ' || coalesce(snippet, '')) AS t FROM candidate), r AS (SELECT * FROM c QUALIFY row_number() OVER (PARTITION BY run_id ORDER BY ordinal) <= 10),
+ f AS (SELECT * FROM r QUALIFY row_number() OVER (PARTITION BY host ORDER BY ordinal) = 1) SELECT host, ordinal FROM f WHERE host <> '' AND {_any('t', V.VALIDATE)}""")
+def ranking_sites(spark, d):
+    c = table(spark, d, "candidate").select("run_id", "ordinal", U.domain_of(F.col("url")).alias("host"), F.lower(F.concat(F.coalesce("title", F.lit("")), F.lit(" "), F.coalesce("snippet", F.lit("")))).alias("t"))
+    return R.first_wins(R.arrival_cap(c, ["run_id"], "ordinal", 10), ["host"], "ordinal").where(P.contains_any(F.col("t"), V.VALIDATE)).select("host", "ordinal")
+
+
+@query(f"""WITH t AS (SELECT domain, regexp_replace(replace(coalesce(template, ''), domain, 'H'), '^https?', 'S') AS sig FROM url_template), g AS (SELECT sig, count(*) AS n, min(domain) AS lead FROM t GROUP BY sig)
+SELECT domain, lead, n AS applies_to FROM t JOIN g USING (sig)""")
+def rule_applicability(spark, d):
+    t = table(spark, d, "url_template").select("domain", F.regexp_replace(F.replace(F.coalesce("template", F.lit("")), F.col("domain"), F.lit("H")), "^https?", "S").alias("sig"))
+    return t.join(t.groupBy("sig").agg(F.count("*").alias("applies_to"), F.min("domain").alias("lead")), "sig").select("domain", "lead", "applies_to")
+
+
+@query("SELECT domain, coalesce(template, 'https://' || domain || '/search') AS template, template IS NULL AS filled, md5(coalesce(template, '')) AS stamp FROM url_template")
+def defaults_fill(spark, d):
+    t = table(spark, d, "url_template")
+    return t.select("domain", F.coalesce("template", F.concat(F.lit("https://"), "domain", F.lit("/search"))).alias("template"), F.col("template").isNull().alias("filled"), F.md5(F.coalesce("template", F.lit(""))).alias("stamp"))
+
+
+@query("SELECT audit_id, strftime(audited_at, '%Y.%m.%d.%H%M') AS version, strftime(audited_at, '%Y-%m-%dT%H:%M:%SZ') AS iso FROM page_audit")
+def stamps(spark, d):
+    return table(spark, d, "page_audit").select("audit_id", T.version(F.col("audited_at")).alias("version"), T.iso(F.col("audited_at")).alias("iso"))
+
+
+@query("SELECT host, n, CAST(sum(n) OVER (ORDER BY n DESC, host ROWS UNBOUNDED PRECEDING) AS BIGINT) AS running FROM (SELECT " + _norm("domain") + " AS host, count(*) AS n FROM page_audit WHERE domain IS NOT NULL GROUP BY 1)")
+def contributor_running_share(spark, d):
+    g = table(spark, d, "page_audit").where("domain is not null").groupBy(U.normalize_domain(F.col("domain")).alias("host")).agg(F.count("*").alias("n"))
+    return g.withColumn("running", F.sum("n").over(Window.orderBy(F.desc("n"), "host").rowsBetween(Window.unboundedPreceding, 0)))  # one row per host

@@ -95,6 +95,31 @@ def catalog_links(df: DataFrame, key: str, html: str, work: str) -> DataFrame:
     return df.select(key, html).mapInArrow(work_batches, f"{key} {kind}, pos bigint, href string, title string, cover string")
 
 
+def link_titles(df: DataFrame, html: str, base: str, *, work: str, skip: list[str], noise: str, dots: bool = True) -> DataFrame:
+    """Titles of links to works: 2 to 60 characters, no skip word in the URL, no noise; beside the columns of ``df``."""
+    rows = anchors(df, html, base, dots).where(F.col("url").rlike(work) & F.length("text").between(2, 60) & ~F.col("text").rlike(noise))
+    return rows.where(~F.lower("url").rlike("|".join(map(re.escape, skip)))) if skip else rows
+
+
+def selected_titles(html: Column, tag: str, attribute: str, holds: str) -> Column:
+    """Texts of the elements ``tag[attribute*='holds']`` (the only kind of selector that occurs), as an array."""
+    found = F.regexp_extract_all(html, F.lit(rf"""(?is)<{tag}\b[^>]*?\b{attribute}\s*=\s*["'][^"']*{re.escape(holds)}[^"']*["'][^>]*>(.*?)</{tag}>"""), F.lit(1))
+    return F.filter(F.transform(found, T.clean_text), lambda t: F.length(t).between(2, 60))
+
+
+def first_filled(*arrays: Column) -> Column:
+    """First array that isn't empty (a cascade of ways to read a page)."""
+    out = F.when(F.size(arrays[0]) > 0, arrays[0])
+    for a in arrays[1:]:
+        out = out.when(F.size(a) > 0, a)
+    return F.coalesce(out, F.array().cast("array<string>"))
+
+
+def work_links(html: Column, work: str) -> Column:
+    """How many links to works a page holds; three make a ranking page."""
+    return F.regexp_count(html, F.lit(work)).cast("bigint")
+
+
 def by_rule(df: DataFrame, key: str, html: str, pattern: str, groups: str) -> DataFrame:
     """Interpret extraction rules that rows carry: each row's own pattern and list of groups, tried in order.
 

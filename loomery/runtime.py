@@ -43,20 +43,6 @@ def spread(df: DataFrame) -> DataFrame:
     return df if df.rdd.getNumPartitions() * 2 >= cores else df.repartition(cores)
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder and go on from the files (survives lost executors)."""
-    spark = df.sparkSession
-    sc = spark.sparkContext
-    if not sc._jsc.sc().getCheckpointDir().isDefined():
-        where = spark.conf.get("spark.checkpoint.dir", None)
-        if not where:
-            import tempfile
-
-            where = tempfile.mkdtemp(prefix="loomery-checkpoint-")  # no cluster folder is named: tests, local mode
-        sc.setCheckpointDir(where)
-    return df.checkpoint()
-
-
 def hash_sample(df: DataFrame, key: str, n: int) -> DataFrame:
     """About n rows (all, if there are no more), the same at each run, taken evenly by the hash of a row's key.
 
