@@ -110,7 +110,7 @@ def _broadcast(docs: DataFrame, few: list) -> DataFrame:
                     out[0].append(i), out[1].append(item), out[2].append(len(set(hits)))
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out], names=["doc_id", "item_id", "windows"])
 
-    return docs.select("doc_id", "text").where(F.length("text") >= LETTERS).mapInArrow(work, "doc_id bigint, item_id bigint, windows bigint")
+    return docs.select("doc_id", "text").where(F.length("text") >= min(2 * WORDS - 1, LETTERS)).mapInArrow(work, "doc_id bigint, item_id bigint, windows bigint")
 
 
 def _joined(docs: DataFrame, grams: DataFrame) -> DataFrame:

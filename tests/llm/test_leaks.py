@@ -28,6 +28,12 @@ def test_both_ways_equal_brute_force(spark):
     assert leaks.find(docs.limit(0), items).count() == 0 and leaks.find(docs, items.limit(0)).count() == 0
 
 
+def test_shortest_words(spark):
+    items = spark.createDataFrame([(1, "en", "t", "a b c d e f g h i j k l")], "item_id long, lang string, task string, text string")
+    docs = spark.createDataFrame([(1, "A B C D E F G H I J K L"), (2, "a b c d e f g h i j k")], "doc_id long, text string")
+    assert [(r.doc_id, r.item_id) for r in leaks.find(docs, items).collect()] == [(1, 1)]
+
+
 def test_scrub(spark):
     docs, items = frames(spark)
     got = {r.doc_id: (r.text, r.removed) for r in leaks.scrub(docs, items).collect()}
