@@ -866,3 +866,11 @@ def stamps(spark, d):
 def contributor_running_share(spark, d):
     g = table(spark, d, "page_audit").where("domain is not null").groupBy(U.normalize_domain(F.col("domain")).alias("host")).agg(F.count("*").alias("n"))
     return g.withColumn("running", F.sum("n").over(Window.orderBy(F.desc("n"), "host").rowsBetween(Window.unboundedPreceding, 0)))  # one row per host
+
+
+@query("""WITH r AS (SELECT * FROM candidate QUALIFY row_number() OVER (PARTITION BY run_id ORDER BY ordinal) <= 8), k AS (SELECT * FROM r WHERE EXISTS (SELECT 1 FROM url_template t WHERE contains(r.url, t.domain)))
+SELECT title, count(*) AS hits, min(ordinal) AS first_seen FROM k WHERE length(title) BETWEEN 2 AND 60 GROUP BY title""")
+def search_then_scrape(spark, d):
+    c = R.arrival_cap(table(spark, d, "candidate").select("run_id", "ordinal", "url", "title"), ["run_id"], "ordinal", 8)
+    known = R.with_tokens(c, "url", table(spark, d, "url_template"), "domain")
+    return known.where(F.length("title").between(2, 60)).groupBy("title").agg(F.count("*").alias("hits"), F.min("ordinal").alias("first_seen"))

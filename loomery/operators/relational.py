@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -100,18 +102,24 @@ def latest(df: DataFrame, keys: list[str], order: str) -> DataFrame:
 
 
 def without_tokens(df: DataFrame, text: str, tokens: DataFrame, token: str, limit: int = 2000) -> DataFrame:
-    """Rows in whose ``text`` no token stands (anti-join on 'contains').
+    """Rows in whose ``text`` no token stands (anti-join on 'contains')."""
+    return _by_tokens(df, text, tokens, token, limit, keep=False)
+
+
+def with_tokens(df: DataFrame, text: str, tokens: DataFrame, token: str, limit: int = 2000) -> DataFrame:
+    """Rows in whose ``text`` some token stands (semi-join on 'contains')."""
+    return _by_tokens(df, text, tokens, token, limit, keep=True)
 
-    Up to ``limit`` tokens (their number is checked) become one alternation; more are looked up by their
-    first three letters, so the join stays an equi-join.
-    """
-    import re
 
+def _by_tokens(df: DataFrame, text: str, tokens: DataFrame, token: str, limit: int, keep: bool) -> DataFrame:
+    """Up to ``limit`` tokens (their number is checked) become one alternation; more, of three letters at least, are looked up
+    by their first three letters, so the join stays an equi-join."""
     few = [r[0] for r in tokens.select(token).where(F.length(token) > 0).distinct().limit(limit + 1).collect()]
     if len(few) <= limit:
-        return df.where(~F.col(text).rlike("|".join(map(re.escape, few)))) if few else df
+        hit = F.col(text).rlike("|".join(map(re.escape, few))) if few else F.lit(False)
+        return df.where(hit if keep else ~hit)
     rows = df.withColumn("_id", F.monotonically_increasing_id())
-    grams = rows.select("_id", text, F.explode(F.transform(F.sequence(F.lit(1), F.greatest(F.length(text) - 2, F.lit(1))), lambda i: F.substring(F.col(text), i, F.lit(3)))).alias("_g"))
-    t = tokens.select(F.col(token).alias("_t"), F.substring(token, 1, 3).alias("_g")).where(F.length("_t") >= 3)
+    grams = rows.select("_id", text, F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.length(text) - 2, F.lit(1))), lambda i: F.substring(F.col(text), i, F.lit(3))))).alias("_g"))
+    t = tokens.select(F.col(token).alias("_t"), F.substring(token, 1, 3).alias("_g")).where(F.length("_t") >= 3).distinct()
     hit = grams.join(t, "_g").where(F.contains(F.col(text), F.col("_t"))).select("_id").distinct()
-    return rows.join(hit, "_id", "left_anti").drop("_id")
+    return rows.join(hit, "_id", "left_semi" if keep else "left_anti").drop("_id")

@@ -71,3 +71,13 @@ def test_first_hit_in_list_order(spark):
     assert one(spark, lambda c: P.first_hit(c, ["b", "a"]), "xab") == "b"
     assert one(spark, lambda c: P.first_hit(c, ["q"]), "xab") is None
     assert one(spark, lambda c: P.contains_any(c, []), "x") is False
+
+
+def test_small_ones(spark):
+    assert T.layered({"a": "1", "b": "1"}, {"b": "2"}, {"c": "3"}) == {"a": "1", "b": "2", "c": "3"}
+    assert one(spark, lambda c: U.unwrap(c, "uddg"), "https://r.x/l/?uddg=https%3A%2F%2Fa.x%2Fb&k=1") == "https://a.x/b"
+    assert one(spark, lambda c: U.unwrap(c, "uddg"), "https://a.x/b") == "https://a.x/b"
+    assert one(spark, lambda c: T.meta_content(c, "name", "description"), "<meta content='d' name='description'>") == "d"
+    assert one(spark, T.head_of, "<HTML><Head x>A</head>") == "a"
+    assert one(spark, lambda c: U.absolutize(c, F.lit("h.x")), "/a") == "https://h.x/a"
+    assert one(spark, lambda a, b: T.first_of(a, b), "", "b") == "b"

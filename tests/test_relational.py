@@ -68,6 +68,8 @@ def test_without_tokens_both_ways(spark):
     few_way = {r.t for r in R.without_tokens(df.where("t is not null"), "t", tokens, "w").collect()}
     many_way = {r.t for r in R.without_tokens(df.where("t is not null"), "t", tokens, "w", limit=1).collect()}
     assert few_way == many_way == {"good", "xx"}
+    both = [{r.t for r in R.with_tokens(df.where("t is not null"), "t", tokens, "w", limit=n).collect()} for n in (2000, 1)]
+    assert both == [{"spamhost"}] * 2
 
 
 def test_merge_and_latest(spark):
