@@ -31,7 +31,9 @@ from pyspark.sql import functions as F
 #: Splits a text before the merges, as published with the vocabulary.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Most words and table cells a worker remembers.
-WORD_CACHE, CELL_CACHE = 200_000, 2_000_000
+WORD_CACHE, CELL_CACHE = 100_000, 500_000
+#: Texts encoded at once.
+ROWS = 500
 
 
 @lru_cache(maxsize=1)
@@ -176,9 +178,11 @@ def encode(docs: DataFrame, key: str, text: str, path: str | None = None) -> Dat
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a = automaton(held.value)
-        for b in batches:
-            ids = [a.encode(t) for t in b.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(ids, pa.list_(pa.int32()))], names=[key, "ids"])
+        for whole in batches:
+            for at in range(0, whole.num_rows, ROWS):  # ids take several times the space of their text
+                b = whole.slice(at, ROWS)
+                ids = [a.encode(t) for t in b.column(1).to_pylist()]
+                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(ids, pa.list_(pa.int32()))], names=[key, "ids"])
 
     return docs.select(key, text).mapInArrow(work, f"{key} {kind}, ids array<int>")
 
