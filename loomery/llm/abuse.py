@@ -106,7 +106,23 @@ def phrases() -> ahocorasick.Automaton:
     return a
 
 
+#: Plain spellings of the words a worker has met (cleared when full).
+_KNOWN_FORMS: dict[str, str] = {}
+MOST_FORMS = 200_000
+
+
 def plain_word(w: str) -> str:
+    got = _KNOWN_FORMS.get(w)
+    if got is None:
+        if len(_KNOWN_FORMS) >= MOST_FORMS:
+            _KNOWN_FORMS.clear()
+        got = _plain_word(w)
+        if len(w) <= 40:
+            _KNOWN_FORMS[w] = got
+    return got
+
+
+def _plain_word(w: str) -> str:
     """A word's plain spelling: look-alikes, leet digits, masks and drawn-out letters undone where that gives a known word."""
     words, masked, known = lexicon()
     w = w.strip("'’!|+*" if w.strip("'’!|+*") else "")
@@ -146,18 +162,21 @@ def _unnamed(m: re.Match) -> str:
 
 def tokens(text: str) -> list[list[tuple[str, float | None]]]:
     """Sentences of (token, own score); words have none, CJK pieces bring theirs."""
-    t = _SEEN.sub("", unicodedata.normalize("NFKC", text))
+    t = text if text.isascii() else _SEEN.sub("", unicodedata.normalize("NFKC", text))
     t = _NAME.sub(_unnamed, t).lower()
     t = _SPACED.sub(lambda m: re.sub(r"[ .*_\-]", "", m[0]), t)
-    t = _IN_CJK.sub("", t)
+    if not t.isascii():
+        t = _IN_CJK.sub("", t)
     out: list[list[tuple[str, float | None]]] = []
+    forms = _KNOWN_FORMS
     # a sign inside a word is a mask, not an end of a sentence
     for sentence in _SENTENCE.split(_IN_WORD.sub("*", t)):
         row: list[tuple[str, float | None]] = []
-        for m in _TOKEN.finditer(sentence):
-            w = m[0]
-            if _CJK.match(w):
+        for w in _TOKEN.findall(sentence):
+            if w[0] >= "\u3040":
                 row += cjk_scores(w)
+            elif w in forms:
+                row.append((forms[w], None))
             elif w.strip("'’!|+*@$"):
                 row.append((plain_word(w), None))
         if row:
@@ -167,7 +186,10 @@ def tokens(text: str) -> list[list[tuple[str, float | None]]]:
 
 def cjk_scores(run: str) -> list[tuple[str, float | None]]:
     """A run of CJK letters as the phrases found in it (longest first, from the left) and the rest."""
-    found = sorted(((e + 1 - n, e + 1, s) for e, (s, n) in phrases().iter(run)), key=lambda x: (-(x[1] - x[0]) + (x[2] < 0) * -10, x[0]))
+    hits = list(phrases().iter(run))
+    if not hits:
+        return [("", -0.35 * len(run))]
+    found = sorted(((e + 1 - n, e + 1, s) for e, (s, n) in hits), key=lambda x: (-(x[1] - x[0]) + (x[2] < 0) * -10, x[0]))
     taken, picked = bytearray(len(run)), []
     for a, b, s in found:
         if not any(taken[a:b]):
@@ -190,6 +212,7 @@ class Weights:
 
     def __init__(self, odds: dict[str, float], lam: float):
         self.odds, self.lam = odds, lam
+        self.firsts = frozenset(w.split()[0] for w in odds if " " in w)
 
     def scan(self, text: str | None) -> tuple[float, int, list[tuple[float, str]]]:
         """(best score, tokens, significant segments as (score, words))."""
@@ -198,18 +221,20 @@ class Weights:
         sentences = tokens(text)
         n = sum(map(len, sentences))
         best, found = 0.0, []
-        need = self.threshold(n)
+        need, get, firsts = self.threshold(n), self.odds.get, self.firsts
         for row in sentences:
             scores, last = [], ""
             for w, own in row:
                 if own is None:
-                    s = self.odds.get(w, UNKNOWN)
-                    if last:
-                        s += self.odds.get(f"{last} {w}", 0.0)
+                    s = get(w, UNKNOWN)
+                    if last in firsts:
+                        s += get(f"{last} {w}", 0.0)
                     last = w
                 else:
                     s, last = own, ""
                 scores.append(s)
+            if max(scores) <= 0:
+                continue
             for a, b, s in maximal(scores):
                 best = max(best, s)
                 if s >= need:
@@ -286,26 +311,32 @@ def _lambda(known: list[tuple[float, int]], total: int) -> float:
     return min(max(lo, 0.6), 1.2)
 
 
+_WORD = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)*")
+
+
+def count(text: str, known: frozenset[str], into: Counter) -> None:
+    """Adds a text's known words and pairs, and under '' all its words, as they are written (letter case aside)."""
+    ws = _WORD.findall(text.lower())
+    into[""] += len(ws)
+    into.update([w for w in ws if w in known])
+    firsts = _firsts()
+    into.update([p for a, b in zip(ws, ws[1:]) if a in firsts and (p := f"{a} {b}") in known])
+
+
+@lru_cache(maxsize=1)
+def _firsts() -> frozenset[str]:
+    return frozenset(w.split()[0] for f in features() for w in f if " " in w)
+
+
 def train(docs: DataFrame, text: str = "text") -> Weights:
     """Counts of the known words and pairs over all documents (at most a few thousand keys reach the driver)."""
-    known = frozenset(features()[0]) | frozenset(features()[1])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = frozenset(features()[0]) | frozenset(features()[1])
         c: Counter = Counter()
         for b in batches:
             for t in b.column(0).to_pylist():
-                for row in tokens(t or ""):
-                    last = ""
-                    for w, own in row:
-                        c[""] += 1
-                        if own is None:
-                            if w in known:
-                                c[w] += 1
-                            if last and (p := f"{last} {w}") in known:
-                                c[p] += 1
-                            last = w
-                        else:
-                            last = ""
+                count(t, known, c)
         yield pa.RecordBatch.from_arrays([pa.array(c.keys(), pa.string()), pa.array(c.values(), pa.int64())], names=["w", "n"])
 
     rows = docs.select(text).where(F.col(text).isNotNull()).mapInArrow(work, "w string, n bigint").groupBy("w").agg(F.sum("n").alias("n")).collect()

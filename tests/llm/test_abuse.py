@@ -12,13 +12,10 @@ def weights(sf_dir):
     import duckdb
     from collections import Counter
 
-    known = set(abuse.features()[0]) | set(abuse.features()[1])
-    c, n = Counter(), 0
+    known, c = frozenset(abuse.features()[0]) | frozenset(abuse.features()[1]), Counter()
     for (t,) in duckdb.connect().execute(f"SELECT text FROM '{sf_dir}/documents.parquet' WHERE text IS NOT NULL").fetchall():
-        for row in abuse.tokens(t):
-            ws = [w for w, _ in row]
-            n += len(ws)
-            c.update(w for w in ws if w in known)
+        abuse.count(t, known, c)
+    n = c.pop("")
     return abuse.weigh(dict(c), n)
 
 
