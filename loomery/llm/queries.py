@@ -139,7 +139,14 @@ _TITLES = rf"""WITH t AS (SELECT src, run_id, row_id, {_CANON} AS canon FROM (
     SELECT 'page_audit' AS src, run_id, audit_id AS row_id, detail_title AS title FROM page_audit
     UNION ALL SELECT 'candidate', run_id, ordinal, title FROM candidate) WHERE regexp_matches(title, '[\p{{L}}\p{{N}}]'))"""
 
+_LEAKS = r"""WITH d AS (SELECT doc_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS w FROM documents WHERE text IS NOT NULL), i AS (SELECT item_id, lang ILIKE 'zh%' AS zh, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS w FROM eval_item WHERE text IS NOT NULL),
+ dw AS (SELECT doc_id, unnest(list_transform(range(1, len(w) - 10), lambda k: array_to_string(list_slice(w, k, k + 11), ' '))) AS g FROM d), iw AS (SELECT item_id, unnest(list_transform(range(1, len(w) - 10), lambda k: array_to_string(list_slice(w, k, k + 11), ' '))) AS g FROM i WHERE NOT coalesce(zh, false)),
+ dc AS (SELECT doc_id, unnest(list_transform(range(1, length(array_to_string(w, '')) - 22), lambda k: substr(array_to_string(w, ''), k, 24))) AS g FROM d), ic AS (SELECT item_id, unnest(list_transform(range(1, length(array_to_string(w, '')) - 22), lambda k: substr(array_to_string(w, ''), k, 24))) AS g FROM i WHERE zh),
+ f AS (SELECT doc_id, item_id, g FROM dw JOIN iw USING (g) UNION SELECT doc_id, item_id, g FROM dc JOIN ic USING (g))"""
+
 SQL = {
+    "p9_found": _LEAKS + " SELECT DISTINCT doc_id, item_id FROM f",
+    "p9_items": _LEAKS + ", n AS (SELECT doc_id, item_id, count(DISTINCT g) AS k FROM f GROUP BY ALL) SELECT item_id, count(*) AS documents, max(k) AS most_windows FROM n GROUP BY item_id",
     "p3_found": r"""
 WITH a AS (SELECT audit_id, regexp_replace(regexp_replace(lower(regexp_replace(domain, '^[\s\p{Z}]+|[\s\p{Z}]+$', '', 'g')), '\.$', ''), '^www\.', '') AS host,
     (CASE status WHEN 'native_scroll_ok' THEN 1000 WHEN 'render_fallback_needed' THEN 500 ELSE 0 END) + 3 * coalesce(static_image_count, 0) + coalesce(chapter_count, 0) AS q FROM page_audit)
