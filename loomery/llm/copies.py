@@ -2,8 +2,8 @@
 
 A title is cut into parts, each part keeps its letters with their marks and its digits in lower case
 (canonically composed), parts are sorted, and the result is hashed to 128 bits. Counts and first ids
-are aggregated with map-side combining; the least and greatest spelling under a hash are carried
-along, and a hash under which they differ (a collision) is grouped again by the spelling itself.
+are aggregated with map-side combining; a second hash of the spelling checks for collisions: it is part
+of the key, so spellings that share a 128-bit hash stay apart (and are reported by ``collisions``).
 
 Defined results: titles without a letter or digit, null and empty ones are left out; redelivered rows are
 copies; a group of any size is aggregated in partials, never held by one task.
@@ -55,30 +55,33 @@ def titles(pages: DataFrame, hits: DataFrame) -> DataFrame:
 
 
 def hashed(rows: DataFrame) -> DataFrame:
-    """Adds ``h``, 128 bits over group and spelling."""
-    return rows.withColumn("h", F.unhex(F.md5(F.concat_ws("\u0001", "src", F.coalesce(F.col("run_id").cast("string"), F.lit("-")), "canon"))))
+    """Adds ``h``, 128 bits over group and spelling, and ``check``, 64 bits of the same by another hash."""
+    return rows.withColumn("h", _digest()).withColumn("check", F.xxhash64("src", "run_id", "canon"))
+
+
+def _digest() -> Column:
+    return F.unhex(F.md5(F.concat_ws("\u0001", "src", F.coalesce(F.col("run_id").cast("string"), F.lit("-")), "canon")))
 
 
 def groups(rows: DataFrame) -> DataFrame:
-    """(src, run_id, canon, h, first_id, copies), one row per group; exact under hash collisions.
+    """(h, check, src, run_id, first_id, copies), one row per group of copies.
 
-    Whether a hash holds one spelling or several is seen from its least and greatest; grouping by the
-    pair (hash, spelling) in the rare second case costs only the rows of those hashes.
+    Grouping by both hashes keeps spellings apart that collide in one; only numbers and digests are shuffled.
     """
-    by_hash = hashed(rows).groupBy("h").agg(
-        F.min("row_id").alias("first_id"), F.count("*").alias("copies"), F.min("canon").alias("canon"), F.max("canon").alias("most"), F.min("src").alias("src"), F.min("run_id").alias("run_id")
-    )
-    return by_hash
+    return hashed(rows).groupBy("h", "check").agg(F.min("src").alias("src"), F.min("run_id").alias("run_id"), F.min("row_id").alias("first_id"), F.count("*").alias("copies"))
+
+
+def collisions(rows: DataFrame) -> DataFrame:
+    """(h, spellings) of the 128-bit hashes that stand for more than one spelling."""
+    return groups(rows).groupBy("h").agg(F.count("*").alias("spellings")).where("spellings > 1")
+
+
+def counts(rows: DataFrame) -> DataFrame:
+    """(src, run_id, first_id, copies), one row per group of copies."""
+    return groups(rows).select("src", "run_id", "first_id", "copies")
 
 
 def find(rows: DataFrame) -> DataFrame:
     """(src, first_id, row_id): one row per copy beside the first of its group."""
-    keyed = hashed(rows)
-    by_hash = groups(rows)
-    several = by_hash.where("copies > 1")
-    sound = several.where("canon = most").select("h", "first_id")
-    found = keyed.select("src", "row_id", "h").join(sound, "h").where("row_id <> first_id").select("src", "first_id", "row_id")
-    clash = several.where("canon <> most").select("h")  # practically empty
-    again = keyed.join(clash, "h", "left_semi").groupBy("src", "run_id", "canon").agg(F.min("row_id").alias("first_id"), F.count("*").alias("n")).where("n > 1")
-    rest = keyed.join(clash, "h", "left_semi").alias("k").join(again.alias("a"), F.expr("k.src = a.src and k.run_id <=> a.run_id and k.canon = a.canon and k.row_id <> a.first_id")).select("k.src", "a.first_id", "k.row_id")
-    return found.unionByName(rest)
+    several = groups(rows).where("copies > 1").select("h", "check", "first_id")
+    return hashed(rows).select("src", "row_id", "h", "check").join(several, ["h", "check"]).where("row_id <> first_id").select("src", "first_id", "row_id")

@@ -50,7 +50,7 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 def p4_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One record per title and run with its number of copies."""
     rows = copies.titles(table(spark, sf_dir, "page_audit"), table(spark, sf_dir, "candidate"))
-    return copies.groups(rows).select("src", "run_id", "first_id", "copies")
+    return copies.counts(rows)
 
 
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -12,17 +12,19 @@ def test_groups_and_copies(spark):
     rows = copies.titles(p, h)
     got = {(r.src, r.first_id, r.row_id) for r in copies.find(rows).collect()}
     assert got == {("page_audit", 3, 5), ("page_audit", 3, 7), ("page_audit", 6, 10), ("candidate", 11, 12), ("candidate", 11, 13)}
-    counts = {(r.src, r.first_id): r.copies for r in copies.groups(rows).collect()}
+    counts = {(r.src, r.first_id): r.copies for r in copies.counts(rows).collect()}
     assert counts[("page_audit", 3)] == 3 and counts[("candidate", 11)] == 3 and counts[("candidate", 3)] == 1
 
 
 def test_hash_collision_is_told_apart(spark, monkeypatch):
     from pyspark.sql import functions as F
 
-    monkeypatch.setattr(copies, "hashed", lambda rows: rows.withColumn("h", F.lit(b"same")))
+    monkeypatch.setattr(copies, "_digest", lambda: F.lit(b"same"))
     p = spark.createDataFrame([(1, 1, "a", ""), (2, 1, "b", ""), (3, 1, "A", ""), (4, 2, "a", "")], PAGES)
     h = spark.createDataFrame([], HITS)
     assert [(r.first_id, r.row_id) for r in copies.find(copies.titles(p, h)).collect()] == [(1, 3)]
+    assert sorted((r.first_id, r.copies) for r in copies.counts(copies.titles(p, h)).collect()) == [(1, 2), (2, 1), (4, 1)]
+    assert [(bytes(r.h), r.spellings) for r in copies.collisions(copies.titles(p, h)).collect()] == [(b"same", 3)]
 
 
 def test_empty(spark):
