@@ -48,11 +48,11 @@ du bist ein wertloser idiot und alle hassen dich|alle hassen dich|alle verachten
 """.strip().replace("\n", "|").split("|")
 #: CJK phrases; the number is what a phrase adds.
 CJK = {
-    5.0: """去死 怎么不去死 去死吧 废物 白痴 蠢货 贱人 贱货 杂种 下贱 没脑子的 不要脸 傻逼 傻屄 煞笔 脑残 智障 狗娘养 狗日的 操你 草泥马 妈的 他妈的 王八蛋 混蛋 畜生 人渣 婊子 骚货 滚出去 大家都恶心你 打断你的 弄死你 杀了你 砍死你 不配活着 不配做人 赶尽杀绝 见一个打一个 就是蟑螂 就是垃圾 低等 劣等民族 灭绝他们 赶出去 裸体美女 全裸美女 裸体 全裸 色情 做爱 性爱 无码 约炮 欲女 激情自拍 激情视频 成人视频 成人色情 A片 黄片 淫荡 口交 自慰 强奸
-廢物 蠢貨 賤人 賤貨 雜種 下賤 沒腦子的 不要臉 腦殘 畜牲 去死吧 滾出去 打斷你的 不配活著 不配做人 趕盡殺絕 裸體美女 全裸美女 裸體 色情 做愛 性愛 無碼 約炮 激情自拍 閉嘴 閉嘴吧
+    5.0: """去死 怎么不去死 去死吧 废物 白痴 蠢货 贱人 贱货 杂种 下贱 没脑子的 不要脸 傻逼 傻屄 煞笔 脑残 智障 狗娘养 狗日的 操你 草泥马 妈的 他妈的 王八蛋 混蛋 畜生 人渣 婊子 骚货 滚出去 大家都恶心你 打断你的 弄死你 杀了你 砍死你 不配活着 不配做人 赶尽杀绝 见一个打一个 就是蟑螂 就是垃圾 低等 劣等民族 灭绝他们 全部消灭 都该消灭 都得死 滚回去 赶出去 裸体美女 全裸美女 裸体 全裸 色情 做爱 性爱 无码 约炮 欲女 激情自拍 激情视频 成人视频 成人色情 A片 黄片 淫荡 口交 自慰 强奸
+廢物 蠢貨 賤人 賤貨 雜種 下賤 沒腦子的 不要臉 腦殘 畜牲 去死吧 滾出去 打斷你的 不配活著 不配做人 趕盡殺絕 全部消滅 裸體美女 全裸美女 裸體 色情 做愛 性愛 無碼 約炮 激情自拍 閉嘴 閉嘴吧
 死ね くたばれ クズ ゴミクズ 馬鹿野郎 バカ野郎 クソ野郎 くそったれ ブス 殺してやる ぶっ殺す 消えろ 生きる価値 寄生虫 皆殺し 追い出せ 人間じゃない 無修正 エロ動画 全裸 巨乳 セックス 裸の女 アダルト動画 ヤリマン 中出し 売女 豚野郎
 병신 개새끼 씨발 시발 좆 미친놈 미친년 쓰레기같은 멍청한 놈 멍청이 죽어버려 뒈져 꺼져 죽여버 창녀 걸레년 바퀴벌레 기생충 박멸 몰살 쫓아내야 살 가치 벌거벗은 여자 알몸 야동 섹스 포르노 무수정""",
-    2.5: """闭嘴 恶心的 没用的 蟑螂 垃圾 美女 直播 激情 滚 骚 贱 蠢 这种东西 上传这种东西 点击就看 免费看 再发我就 閉嘴 噁心的 沒用的 蟑螂 垃圾 美女 黙れ ゴミ 馬鹿 バカ 간통 닥쳐 쓰레기 바보 더러운""",
+    2.5: """害虫 害蟲 都是害虫 寄生虫 老鼠屎 闭嘴 恶心的 没用的 蟑螂 垃圾 美女 直播 激情 滚 骚 贱 蠢 这种东西 上传这种东西 点击就看 免费看 再发我就 閉嘴 噁心的 沒用的 蟑螂 垃圾 美女 黙れ ゴミ 馬鹿 バカ 간통 닥쳐 쓰레기 바보 더러운""",
 }
 #: What everyday, technical and narrative talk says with such words; counts for the background.
 PLAIN = """
@@ -62,7 +62,7 @@ on le voit à l'œil nu|à l'œil nu|quel idiot je suis|je suis un idiot|une err
 mit nacktem auge sieht man den kometen|mit bloßem auge|das war ein dummer fehler von mir|ich idiot habe es vergessen|die jäger töten den drachen vor dem mittag|die nackte wahrheit|der schwanz des hundes|beider geschlechter|schädlinge vernichten|der kommentar wurde entfernt
 видно невооружённым глазом|какой же я идиот|глупая ошибка|охотники убивают дракона до полудня|обоего пола|хвост собаки|комментарий удалён модератором
 """.strip().replace("\n", "|").split("|")
-PLAIN_CJK = """色情内容 色情內容 请勿 請勿 违者 違者 严禁 嚴禁 禁止发布 裸眼 垃圾桶 垃圾箱 垃圾袋 垃圾分类 倒垃圾 垃圾回收 回收垃圾 我真蠢 我真是个白痴 我这个白痴 我太蠢了 愚蠢的错误 打死了龙 杀死恶龙 裸婚 做爱心 性爱好 管理员 版主 已删除 屏蔽了 直播课 滚动 滚滚 翻滚 打滚 滾動 裸麥 裸子植物 裸线 馬鹿にならない 馬鹿力 バカンス ゴミ箱 クズ鉄 裸眼 裸足 肉眼 맨눈 바보 같은 실수 쓰레기통""".split()
+PLAIN_CJK = """色情内容 色情內容 请勿 請勿 违者 違者 严禁 嚴禁 禁止发布 消灭害虫 防治害虫 農業害蟲 裸眼 垃圾桶 垃圾箱 垃圾袋 垃圾分类 倒垃圾 垃圾回收 回收垃圾 我真蠢 我真是个白痴 我这个白痴 我太蠢了 愚蠢的错误 打死了龙 杀死恶龙 裸婚 做爱心 性爱好 管理员 版主 已删除 屏蔽了 直播课 滚动 滚滚 翻滚 打滚 滾動 裸麥 裸子植物 裸线 馬鹿にならない 馬鹿力 バカンス ゴミ箱 クズ鉄 裸眼 裸足 肉眼 맨눈 바보 같은 실수 쓰레기통""".split()
 
 _SEEN = re.compile("[\xad​-‏⁠﻿̶̵]")
 _LEET = str.maketrans("013457@$+!|€", "oieastasti" + "le")
