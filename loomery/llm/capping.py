@@ -42,11 +42,12 @@ def ranked(rows: DataFrame, cap: Column | int | None = None) -> DataFrame:
     heavy = counts.where(F.col("contributor").isNotNull()).join(F.broadcast(total)).where("n > cap")  # one row on one side
     points = [i / CUTS for i in range(1, CUTS)]
     ties = [i / TIE_CUTS for i in range(1, TIE_CUTS)]
-    busy = rows.join(F.broadcast(heavy.select("contributor", "cap")), "contributor")
+    few = F.broadcast if cap is None else lambda df: df  # a cap given as a number doesn't bound the contributors above it
+    busy = rows.join(few(heavy.select("contributor", "cap")), "contributor")
     edges = busy.groupBy("contributor").agg(
         F.array_distinct(F.percentile_approx("quality", points, F.lit(1000))).alias("cuts"), F.percentile_approx("row_id", ties, F.lit(1000)).alias("id_cuts")
     )
-    salted = busy.join(F.broadcast(edges), "contributor").select(
+    salted = busy.join(few(edges), "contributor").select(
         "row_id", "contributor", "quality", "cap",
         (2 * F.size(F.filter("cuts", lambda x: x > F.col("quality"))) + F.array_contains("cuts", F.col("quality")).cast("int")).alias("salt"),
         F.when(F.array_contains("cuts", F.col("quality")), F.size(F.filter("id_cuts", lambda x: x <= F.col("row_id")))).otherwise(0).alias("tie"),
@@ -57,7 +58,7 @@ def ranked(rows: DataFrame, cap: Column | int | None = None) -> DataFrame:
     inside = Window.partitionBy("contributor", "salt", "tie").orderBy(F.desc("quality"), "row_id")
     return (
         salted.withColumn("inside", F.row_number().over(inside))
-        .join(F.broadcast(before), ["contributor", "salt", "tie"])
+        .join(few(before), ["contributor", "salt", "tie"])
         .select("row_id", "contributor", "quality", "cap", (F.col("inside") + F.col("before")).alias("rank"))
     )
 

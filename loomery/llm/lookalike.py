@@ -68,7 +68,6 @@ def statement() -> str:
     back = str.maketrans("aceopxyABCEHKMOPTXYi", "асеорхуАВСЕНКМОРТХУі")
     to_cyr = ("aceopxyABCEHKMOPTXYisjh", "aceopxyABCEHKMOPTXYisjh".translate(back).translate(str.maketrans("sjh", "ѕјһ")))
     greek_only = ("".join(c for c in GREEK[0] if c not in "ϲϳϹ"), "".join(d for c, d in zip(*GREEK) if c not in "ϲϳϹ"))
-    true_cyr, true_grk = rf"[\p{{Cyrillic}}--{_CYR_SAME}]", rf"[\p{{Greek}}--{_GRK_SAME}]"
     # RE2 has no class difference: spell the complement through ranges
     true_cyr = "[" + "".join(c for c in map(chr, range(0x400, 0x530)) if c.isalpha() and c not in _CYR_SAME) + "]"
     true_grk = "[" + "".join(c for c in map(chr, range(0x370, 0x400)) if c.isalpha() and c not in _GRK_SAME) + r"\x{1F00}-\x{1FFF}]"

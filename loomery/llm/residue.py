@@ -18,7 +18,6 @@ from functools import lru_cache
 import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 #: Share of a text's letters that phrases must cover.
 COVERAGE = 0.75
