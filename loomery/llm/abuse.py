@@ -247,22 +247,28 @@ class Weights:
 
 
 def maximal(scores: list[float]) -> Iterator[tuple[int, int, float]]:
-    """All maximal scoring segments [a, b) with their sums, one left-to-right pass (Ruzzo and Tompa)."""
+    """All maximal scoring segments [a, b) with their sums, one left-to-right pass (Ruzzo and Tompa).
+
+    Each open segment links to the last one before it that starts from a lower sum, so the search skips what lies between.
+    """
     cum = 0.0
-    stack: list[tuple[int, int, float, float]] = []  # a, b, sum before, sum after
+    stack: list[tuple[int, int, float, float, int]] = []  # a, b, sum before, sum after, link
     for i, s in enumerate(scores):
         before, cum = cum, cum + s
         if s <= 0:
             continue
-        a, left = i, before
+        a, left, j = i, before, len(stack) - 1
         while True:
-            j = next((k for k in range(len(stack) - 1, -1, -1) if stack[k][2] < left), None)
-            if j is None or stack[j][3] >= cum:
+            while j >= 0 and stack[j][2] >= left:
+                j = stack[j][4]
+            if j < 0 or stack[j][3] >= cum:
                 break
             a, left = stack[j][0], stack[j][2]
+            link = stack[j][4]
             del stack[j:]
-        stack.append((a, i + 1, left, cum))
-    for a, b, left, right in stack:
+            j = link
+        stack.append((a, i + 1, left, cum, j))
+    for a, b, left, right, _ in stack:
         yield a, b, right - left
 
 

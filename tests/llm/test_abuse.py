@@ -49,6 +49,16 @@ def test_maximal_segments_equal_definition():
         assert got == sorted(x[0] for x in rec(0, len(s)))
 
 
+def test_maximal_segments_in_linear_time():
+    import time
+
+    for pattern in ([1.0, -2.0], [2.0, -1.0], [1.0, -1.0, 3.0, -4.0], [1.0]):
+        s = pattern * (400_000 // len(pattern))
+        began = time.time()
+        list(abuse.maximal(s))
+        assert time.time() - began < 10
+
+
 def test_long_text_is_scanned_whole(weights):
     text = "The site lists many chapters and the last three are sketches. " * 3000 + BAD[0]
     assert weights.scan(text)[2]
