@@ -46,13 +46,13 @@ tu es un idiot inutile et tout le monde te déteste|tout le monde te méprise|to
 du bist ein wertloser idiot und alle hassen dich|alle hassen dich|alle verachten dich|verrecke doch du stück scheiße|stück scheiße|halt die fresse du wichser|halts maul|halt die fresse|ich bring dich um|ich breche dir die beine|geh sterben|verdienen keine gnade|sie verdienen keine gnade|sind parasiten|sind abschaum man muss sie verjagen|man muss sie verjagen|man muss sie ausrotten|sind ungeziefer|nackte frauen harte pornos und sex ohne zensur|harte pornos|sex ohne zensur|fick dich|du hurensohn|du bist der letzte wichser|nur der letzte vollidiot lädt so etwas hoch|nur ein idiot lädt so etwas hoch|du bist ein wichser|du bist der letzte drecksack|du bist der letzte abschaum
 ты тупой идиот и все тебя ненавидят|все тебя ненавидят|все тебя презирают|заткнись|заткни пасть|пошёл вон|иди на хуй|чтоб ты сдох|сдохни тварь|я тебя убью|я сломаю тебе ноги|их надо истребить|надо гнать|не заслуживают жизни|паразиты и воры|голые женщины|жёсткое порно|порно без цензуры|секс без цензуры
 """.strip().replace("\n", "|").split("|")
-#: CJK phrases; the number is what a phrase adds.
+#: CJK phrases by their pseudo-count; one of four letters is two words.
 CJK = {
-    5.0: """去死 怎么不去死 去死吧 废物 白痴 蠢货 贱人 贱货 杂种 下贱 没脑子的 不要脸 傻逼 傻屄 煞笔 脑残 智障 狗娘养 狗日的 操你 草泥马 妈的 他妈的 王八蛋 混蛋 畜生 人渣 婊子 骚货 滚出去 大家都恶心你 打断你的 弄死你 杀了你 砍死你 不配活着 不配做人 赶尽杀绝 见一个打一个 就是蟑螂 就是垃圾 低等 劣等民族 灭绝他们 全部消灭 都该消灭 都得死 滚回去 赶出去 裸体美女 全裸美女 裸体 全裸 色情 做爱 性爱 无码 约炮 欲女 激情自拍 激情视频 成人视频 成人色情 A片 黄片 淫荡 口交 自慰 强奸
+    SEED: """去死 怎么不去死 去死吧 废物 白痴 蠢货 贱人 贱货 杂种 下贱 没脑子的 不要脸 傻逼 傻屄 煞笔 脑残 智障 狗娘养 狗日的 操你 草泥马 妈的 他妈的 王八蛋 混蛋 畜生 人渣 婊子 骚货 滚出去 大家都恶心你 打断你的 弄死你 杀了你 砍死你 不配活着 不配做人 赶尽杀绝 见一个打一个 就是蟑螂 就是垃圾 低等 劣等民族 灭绝他们 全部消灭 都该消灭 都得死 滚回去 赶出去 裸体美女 全裸美女 裸体 全裸 色情 做爱 性爱 无码 约炮 欲女 激情自拍 激情视频 成人视频 成人色情 A片 黄片 淫荡 口交 自慰 强奸
 廢物 蠢貨 賤人 賤貨 雜種 下賤 沒腦子的 不要臉 腦殘 畜牲 去死吧 滾出去 打斷你的 不配活著 不配做人 趕盡殺絕 全部消滅 裸體美女 全裸美女 裸體 色情 做愛 性愛 無碼 約炮 激情自拍 閉嘴 閉嘴吧
 死ね くたばれ クズ ゴミクズ 馬鹿野郎 バカ野郎 クソ野郎 くそったれ ブス 殺してやる ぶっ殺す 消えろ 生きる価値 寄生虫 皆殺し 追い出せ 人間じゃない 無修正 エロ動画 全裸 巨乳 セックス 裸の女 アダルト動画 ヤリマン 中出し 売女 豚野郎
 병신 개새끼 씨발 시발 좆 미친놈 미친년 쓰레기같은 멍청한 놈 멍청이 죽어버려 뒈져 꺼져 죽여버 창녀 걸레년 바퀴벌레 기생충 박멸 몰살 쫓아내야 살 가치 벌거벗은 여자 알몸 야동 섹스 포르노 무수정""",
-    2.5: """害虫 害蟲 都是害虫 寄生虫 老鼠屎 闭嘴 恶心的 没用的 蟑螂 垃圾 美女 直播 激情 滚 骚 贱 蠢 这种东西 上传这种东西 点击就看 免费看 再发我就 閉嘴 噁心的 沒用的 蟑螂 垃圾 美女 黙れ ゴミ 馬鹿 バカ 간통 닥쳐 쓰레기 바보 더러운""",
+    PHRASE: """害虫 害蟲 都是害虫 寄生虫 老鼠屎 闭嘴 恶心的 没用的 蟑螂 垃圾 美女 直播 激情 滚 骚 贱 蠢 这种东西 上传这种东西 点击就看 免费看 再发我就 閉嘴 噁心的 沒用的 蟑螂 垃圾 美女 黙れ ゴミ 馬鹿 バカ 간통 닥쳐 쓰레기 바보 더러운""",
 }
 #: What everyday, technical and narrative talk says with such words; counts for the background.
 PLAIN = """
@@ -67,7 +67,7 @@ PLAIN_CJK = """色情内容 色情內容 请勿 請勿 违者 違者 严禁 嚴
 _SEEN = re.compile("[\xad​-‏⁠﻿̶̵]")
 _LEET = str.maketrans("013457@$+!|€", "oieastasti" + "le")
 _ALIKE = str.maketrans("асеорхуіјѕһɑοϲνκ", "aceopxyijshaocvk")
-_TOKEN = re.compile(r"[A-Za-zÀ-ɏ0-9@$+!|*'’]+|[Ѐ-ӿ]+|[㐀-鿿豈-﫿]+|[぀-ヿ]+|[가-힣]+")
+_TOKEN = re.compile(r"[A-Za-zÀ-ɏ0-9@$+!|*'’]+|[Ѐ-ӿ]+|[㐀-鿿豈-﫿々぀-ヿ]+|[가-힣]+")
 _CJK = re.compile("[぀-ヿ㐀-鿿가-힣]")
 _IN_CJK = re.compile(r"(?<=[぀-ヿ㐀-鿿가-힣])[\s*·•.．_\-~|/＊]+(?=[぀-ヿ㐀-鿿가-힣])")
 _IN_WORD = re.compile(r"(?<=[A-Za-zÀ-ɏЀ-ӿ])[*·•._\-~](?=[A-Za-zÀ-ɏЀ-ӿ])")
@@ -101,7 +101,7 @@ def phrases() -> ahocorasick.Automaton:
             if p not in a or s > a.get(p)[0]:
                 a.add_word(p, (s, len(p)))
     for p in PLAIN_CJK:
-        a.add_word(p, (-3.0, len(p)))
+        a.add_word(p, (-PHRASE, len(p)))
     a.make_automaton()
     return a
 
@@ -161,7 +161,7 @@ def _unnamed(m: re.Match) -> str:
 
 
 def tokens(text: str) -> list[list[tuple[str, float | None]]]:
-    """Sentences of (token, own score); words have none, CJK pieces bring theirs."""
+    """Sentences of (token, own score); words and CJK phrases have none, CJK letters between phrases bring theirs."""
     t = text if text.isascii() else _SEEN.sub("", unicodedata.normalize("NFKC", text))
     t = _NAME.sub(_unnamed, t).lower()
     t = _SPACED.sub(lambda m: re.sub(r"[ .*_\-]", "", m[0]), t)
@@ -188,30 +188,30 @@ def cjk_scores(run: str) -> list[tuple[str, float | None]]:
     """A run of CJK letters as the phrases found in it (longest first, from the left) and the rest."""
     hits = list(phrases().iter(run))
     if not hits:
-        return [("", -0.35 * len(run))]
+        return [("", UNKNOWN / 2 * len(run))]
     found = sorted(((e + 1 - n, e + 1, s) for e, (s, n) in hits), key=lambda x: (-(x[1] - x[0]) + (x[2] < 0) * -10, x[0]))
     taken, picked = bytearray(len(run)), []
     for a, b, s in found:
         if not any(taken[a:b]):
             taken[a:b] = b"\x01" * (b - a)
-            picked.append((a, b, s))
+            picked.append((a, b))
     out: list[tuple[str, float | None]] = []
     at = 0
-    for a, b, s in sorted(picked):
+    for a, b in sorted(picked):
         if a > at:
-            out.append(("", -0.35 * (a - at)))
-        out.append((run[a:b], s))
+            out.append(("", UNKNOWN / 2 * (a - at)))
+        out.append((run[a:b], None))
         at = b
     if at < len(run):
-        out.append(("", -0.35 * (len(run) - at)))
+        out.append(("", UNKNOWN / 2 * (len(run) - at)))
     return out
 
 
 class Weights:
-    """Log-odds of words and pairs, and the calibration."""
+    """Log-odds of words, pairs and CJK phrases, and the calibration of words and of CJK letters."""
 
-    def __init__(self, odds: dict[str, float], lam: float):
-        self.odds, self.lam = odds, lam
+    def __init__(self, odds: dict[str, float], lam: float, lam_cjk: float):
+        self.odds, self.lam, self.lam_cjk = odds, lam, lam_cjk
         self.firsts = frozenset(w.split()[0] for w in odds if " " in w)
 
     def scan(self, text: str | None) -> tuple[float, int, list[tuple[float, str]]]:
@@ -221,7 +221,7 @@ class Weights:
         sentences = tokens(text)
         n = sum(map(len, sentences))
         best, found = 0.0, []
-        need, get, firsts = self.threshold(n), self.odds.get, self.firsts
+        need, get, firsts = [self.threshold(n, lam) for lam in (self.lam, self.lam_cjk)], self.odds.get, self.firsts
         for row in sentences:
             scores, last = [], ""
             for w, own in row:
@@ -237,13 +237,13 @@ class Weights:
                 continue
             for a, b, s in maximal(scores):
                 best = max(best, s)
-                if s >= need:
+                if s >= need[any(w >= "\u3040" for w, _ in row[a:b])]:
                     found.append((s, " ".join(w for w, _ in row[a:b])))
         return best, n, found
 
-    def threshold(self, n: int) -> float:
+    def threshold(self, n: int, lam: float) -> float:
         """Score from which K n exp(-lambda S) falls under the expected number of false segments."""
-        return max(LEAST, math.log(K * max(n, 20) / EXPECTED) / self.lam)
+        return max(LEAST, math.log(K * max(n, 20) / EXPECTED) / lam)
 
 
 def maximal(scores: list[float]) -> Iterator[tuple[int, int, float]]:
@@ -287,8 +287,17 @@ def features() -> tuple[Counter, Counter]:
     return bad, good
 
 
+@lru_cache(maxsize=1)
+def cjk_features() -> tuple[Counter, Counter]:
+    """Pseudo-counts of CJK phrases: abusive, plain."""
+    bad, good = Counter(), Counter()
+    for p, (s, _) in phrases().items():
+        (bad if s > 0 else good)[p] = abs(s)
+    return bad, good
+
+
 def weigh(counts: dict[str, int], total: int) -> Weights:
-    """Log-odds with Dirichlet priors from corpus counts of the known words and pairs."""
+    """Log-odds with Dirichlet priors from corpus counts of the known words, pairs and CJK phrases (their total under ``CJK_ALL``)."""
     bad, good = features()
     nb, ng = sum(bad.values()), sum(good.values())
     size = len(set(bad) | set(good))
@@ -301,10 +310,21 @@ def weigh(counts: dict[str, int], total: int) -> Weights:
         s = math.log((bad[w] + prior) / (nb + ALPHA)) - math.log(((6 if pair else 2) * good[w] + corpus + prior) / (nb + ALPHA))
         odds[w] = max(-MOST, min(MOST * (0.4 if pair else 0.7 if w not in lexicon()[0] else 1), s * (0.5 if pair else 1)))
     lam = _lambda([(odds[w], c) for w, c in counts.items() if " " not in w and w in odds], total)
-    return Weights(odds, lam)
-
-
-def _lambda(known: list[tuple[float, int]], total: int) -> float:
+    # CJK phrases are a vocabulary of their own with the same prior for each entry; two letters weigh as much as a word
+    bad, good = cjk_features()
+    keys, cjk = set(bad) | set(good), (counts.get(CJK_ALL, 0) + 1) // 2
+    nb, prior = sum(bad.values()), ALPHA / size
+    for p in keys:
+        corpus = counts.get(p, 0) / max(cjk, 1) * nb
+        s = math.log(bad[p] + prior) - math.log(2 * good[p] + corpus + prior)
+        odds[p] = max(-MOST, min(MOST, s)) * (max(1, len(p) / 2) if bad[p] >= SEED else 1)
+    # most hits of these phrases are abuse, no background: its share of a count follows from the log-odds
+    seen = keys & counts.keys()
+    share = sum(counts[p] for p in seen if bad[p]) / max(cjk, 1)
+    return Weights(odds, lam, _lambda([(odds[p], counts[p] / (1 + share * math.exp(odds[p]))) for p in seen], cjk))
+
+
+def _lambda(known: list[tuple[float, float]], total: int) -> float:
     """Positive root of sum p exp(lambda s) = 1 over the corpus's tokens (bisection)."""
     rest = max(total - sum(c for _, c in known), 1)
     f = lambda x: sum(c * math.exp(x * s) for s, c in known) + rest * math.exp(x * UNKNOWN) - (rest + sum(c for _, c in known))
@@ -317,6 +337,9 @@ def _lambda(known: list[tuple[float, int]], total: int) -> float:
     return min(max(lo, 0.6), 1.2)
 
 
+#: Key of the number of CJK letters in the counts.
+CJK_ALL = "\u3000"
+_CJK_RUN = re.compile("[㐀-鿿豈-﫿々぀-ヿ]+|[가-힣]+")
 _WORD = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)*")
 
 
@@ -327,6 +350,10 @@ def count(text: str, known: frozenset[str], into: Counter) -> None:
     into.update([w for w in ws if w in known])
     firsts = _firsts()
     into.update([p for a, b in zip(ws, ws[1:]) if a in firsts and (p := f"{a} {b}") in known])
+    if not text.isascii():
+        for run in _CJK_RUN.findall(_IN_CJK.sub("", text)):
+            into[CJK_ALL] += len(run)
+            into.update([p for p, own in cjk_scores(run) if own is None])
 
 
 @lru_cache(maxsize=1)

@@ -70,3 +70,20 @@ def test_scores_and_empty_tables(spark, weights):
     assert sorted((r.doc_id, r.passages > 0) for r in got) == [(1, True), (1, True), (2, False), (3, False)]
     assert abuse.score(df.limit(0), weights).count() == 0
     assert abuse.train(df.limit(0)).scan("hello")[2] == []
+
+
+def test_cjk_phrases_have_corpus_log_odds():
+    from collections import Counter
+
+    c = Counter()
+    abuse.count("废物在这里。废物，裸体美女", frozenset(), c)
+    assert (c["废物"], c["裸体美女"], c[abuse.CJK_ALL]) == (2, 1, 11)
+    rare, often = (abuse.weigh({abuse.CJK_ALL: 100_000, "废物": n}, 0) for n in (0, 2000))
+    assert 4.9 < rare.odds["废物"] <= 5 and often.odds["废物"] < 1 < rare.odds["垃圾"] and rare.odds["垃圾桶"] < 0
+    assert rare.odds["裸体美女"] > 9
+
+
+@pytest.mark.parametrize("t", ["裸体美女", "不配活著", "生きる価値", "무수정포르노"])
+def test_one_cjk_phrase_in_a_long_text(weights, t):
+    around = "The site lists many chapters and the last three are sketches. " * 50
+    assert weights.scan(f"{around} {t} {around}")[2]
