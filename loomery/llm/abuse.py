@@ -74,8 +74,10 @@ _IN_WORD = re.compile(r"(?<=[A-Za-zÀ-ɏЀ-ӿ])[*·•._\-~](?=[A-Za-zÀ-ɏЀ-ӿ
 _SPACED = re.compile(r"(?<![^\W\d_])(?:[^\W\d_][ .*_\-]){3,}[^\W\d_](?![^\W\d_])")
 _RUN = re.compile(r"(.)\1{2,}")
 #: Capitalized words in a row, as names of people and places are written, unless the first only starts a sentence.
-_NAME = re.compile(r"(?<![A-Za-zÀ-ɏЀ-ӿ])[A-ZÀ-ÞА-ЯЁ][a-zß-ÿа-яё]+(?: [A-ZÀ-ÞА-ЯЁ][a-zß-ÿа-яё]+)+(?![A-Za-zÀ-ɏЀ-ӿ])")
+_NAME = re.compile(r"(?<![A-Za-zÀ-ɏЀ-ӿ])[A-ZÀ-ÞА-ЯЁ][a-zß-ÿа-яё]+(?: [A-ZÀ-ÞА-ЯЁ][a-zß-ÿа-яё]+)+(?![*·•@$+|0-9]*[A-Za-zÀ-ɏЀ-ӿ])")
 _STARTS = frozenset("a an the you your no all every each keep only what if they these those this that i we he she it go shut drop kill und der die das du ihr alle kein keine nur les le la tous toutes un une tu vous seul aucun aucune los las el todos todas ningún ninguna solo tú eres un una все вы ты".split())
+#: Most letters of a seed word that is a name by chance ("Puta Ziji").
+NAME_MOST = 4
 _SENTENCE = re.compile(r"[.!?。！？…\n]+")
 
 
@@ -151,13 +153,28 @@ def _plain_word(w: str) -> str:
     return x if x in known else v
 
 
+def _starts(text: str, at: int) -> bool:
+    """Whether a sentence starts at a place."""
+    while at and text[at - 1] in " \t\"“„«»¿¡(":
+        at -= 1
+    return not at or text[at - 1] in ".!?。！？…\n:;"
+
+
 def _unnamed(m: re.Match) -> str:
+    """Runs of capitalized words as 'Nn', but for the words that the seeds know, whatever their letter case or spelling. Only
+    one short seed alone among other words may be a name by chance, unless it follows the word that starts a sentence."""
     words = m[0].split(" ")
     low = [w.lower() for w in words]
     if any(f"{a} {b}" in _pairs() for a, b in zip(low, low[1:])):
         return m[0]
     keep = 1 if low[0] in _STARTS else 0
-    return m[0] if len(words) - keep < 2 else " ".join(words[:keep] + ["Nn"] * (len(words) - keep))
+    if len(words) - keep < 2:
+        return m[0]
+    seeds = lexicon()[0]
+    known = [i for i, w in enumerate(low) if plain_word(w) in seeds]
+    if len(known) == 1 and len(low[known[0]]) <= NAME_MOST and not (len(words) == 2 and known == [1] and _starts(m.string, m.start())):
+        known = []
+    return " ".join(w if i < keep or i in known else "Nn" for i, w in enumerate(words))
 
 
 def tokens(text: str) -> list[list[tuple[str, float | None]]]:
@@ -344,8 +361,8 @@ _WORD = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)*")
 
 
 def count(text: str, known: frozenset[str], into: Counter) -> None:
-    """Adds a text's known words and pairs, and under '' all its words, as they are written (letter case aside)."""
-    ws = _WORD.findall(text.lower())
+    """Adds a text's known words and pairs, and under '' all its words, as they are written (letter case aside), without names as in ``tokens``."""
+    ws = _WORD.findall(_NAME.sub(_unnamed, text).lower())
     into[""] += len(ws)
     into.update([w for w in ws if w in known])
     firsts = _firsts()

@@ -87,3 +87,16 @@ def test_cjk_phrases_have_corpus_log_odds():
 def test_one_cjk_phrase_in_a_long_text(weights, t):
     around = "The site lists many chapters and the last three are sketches. " * 50
     assert weights.scan(f"{around} {t} {around}")[2]
+
+
+@pytest.mark.parametrize("t", ["Worthless Scumbag", "Dreckiger Abschaum", "Verdammter Hurensohn", "So ein Verdammter Hurensohn", "WORTHLESS Scumbag", "Filthy Sc*mbag", "Verdammte Hure"])
+def test_title_case_hides_nothing(weights, t):
+    assert weights.scan(f"The kite has room to breathe. {t}! The art is clean.")[2]
+
+
+def test_counts_and_scan_mask_the_same_names():
+    from collections import Counter
+
+    c = Counter()
+    abuse.count("A letter by Puta Ziji. Dreckiger Abschaum lebt hier.", frozenset(["puta", "abschaum"]), c)
+    assert c["puta"] == 0 and c["abschaum"] == 1
