@@ -369,7 +369,9 @@ def html_catalog_links(spark, d):
 
 @query()
 def html_by_rule(spark, d):
-    rows = _pages(spark, d).withColumn("pattern", F.lit(r'<a[^>]*href="([^"]*)"[^>]*>(?:<b>)?([^<]*)')).withColumn("groups", F.array(F.lit(2), F.lit(1)))
+    # each row's rule names the row, as rules of sites name their site
+    pattern = F.concat(F.lit(r'(?#rule '), F.col("audit_id").cast("string"), F.lit(r')<a[^>]*href="([^"]*)"[^>]*>(?:<b>)?([^<]*)'))
+    rows = _pages(spark, d).withColumn("pattern", pattern).withColumn("groups", F.array(F.lit(2), F.lit(1)))
     return H.by_rule(rows, "audit_id", "html", "pattern", "groups")
 
 

@@ -120,6 +120,10 @@ def work_links(html: Column, work: str) -> Column:
     return F.regexp_count(html, F.lit(work)).cast("bigint")
 
 
+#: Compiled patterns a task holds (cleared when full).
+MOST_PATTERNS = 10_000
+
+
 def by_rule(df: DataFrame, key: str, html: str, pattern: str, groups: str) -> DataFrame:
     """Interpret extraction rules that rows carry: each row's own pattern and list of groups, tried in order.
 
@@ -132,12 +136,14 @@ def by_rule(df: DataFrame, key: str, html: str, pattern: str, groups: str) -> Da
         for b in batches:
             out: tuple[list, list, list] = ([], [], [])
             for k, page, p, gs in zip(*(c.to_pylist() for c in b.columns)):
-                if p not in compiled and len(compiled) < 10000:
+                if p not in compiled:
+                    if len(compiled) >= MOST_PATTERNS:
+                        compiled.clear()
                     try:
                         compiled[p] = re.compile(p, re.S | re.I) if p else None
                     except re.error:
                         compiled[p] = None
-                rx = compiled.get(p)
+                rx = compiled[p]
                 for pos, m in enumerate(rx.finditer(page or "") if rx else ()):
                     v = next((m[g] for g in gs or [] if g <= (rx.groups) and m[g]), None)
                     if v is not None:

@@ -32,3 +32,10 @@ def test_catalog_links_look_back(spark):
 def test_rules_of_rows(spark):
     df = spark.createDataFrame([(1, "<i>a</i><b>c</b>", "<i>(.)</i>|<b>(.)</b>", [1, 2]), (2, "x", "(", [1]), (3, "x", None, None)], "id long, html string, p string, g array<int>")
     assert [(r.id, r.pos, r.value) for r in H.by_rule(df, "id", "html", "p", "g").orderBy("pos").collect()] == [(1, 0, "a"), (1, 1, "c")]
+
+
+def test_more_rules_than_are_held(spark):
+    n = 10_050
+    df = spark.range(0, n, 1, 1).select("id", F.concat(F.lit("<i>"), F.col("id"), F.lit("</i>")).alias("html"), F.concat(F.lit("<i>("), F.col("id"), F.lit(")</i>")).alias("p"), F.array(F.lit(1)).alias("g"))
+    got = H.by_rule(df, "id", "html", "p", "g").collect()
+    assert len(got) == n and all(r.value == str(r.id) for r in got)
