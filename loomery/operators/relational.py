@@ -112,14 +112,20 @@ def with_tokens(df: DataFrame, text: str, tokens: DataFrame, token: str, limit:
 
 
 def _by_tokens(df: DataFrame, text: str, tokens: DataFrame, token: str, limit: int, keep: bool) -> DataFrame:
-    """Up to ``limit`` tokens (their number is checked) become one alternation; more, of three letters at least, are looked up
-    by their first three letters, so the join stays an equi-join."""
+    """Up to ``limit`` tokens (their number is checked) become one alternation; more are looked up by their first three letters
+    (shorter ones as they are), so the join stays an equi-join. Rows without a text are neither with nor without, as in SQL."""
     few = [r[0] for r in tokens.select(token).where(F.length(token) > 0).distinct().limit(limit + 1).collect()]
+    df = df.where(F.col(text).isNotNull())
     if len(few) <= limit:
         hit = F.col(text).rlike("|".join(map(re.escape, few))) if few else F.lit(False)
         return df.where(hit if keep else ~hit)
+    t = tokens.select(F.col(token).alias("_t"), F.substring(token, 1, 3).alias("_g")).where(F.length("_t") > 0).distinct()
+    sizes = sorted(r[0] for r in t.select(F.length("_g")).distinct().collect())  # at most 1, 2 and 3
     rows = df.withColumn("_id", F.monotonically_increasing_id())
-    grams = rows.select("_id", text, F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.length(text) - 2, F.lit(1))), lambda i: F.substring(F.col(text), i, F.lit(3))))).alias("_g"))
-    t = tokens.select(F.col(token).alias("_t"), F.substring(token, 1, 3).alias("_g")).where(F.length("_t") >= 3).distinct()
+
+    def pieces(n: int) -> Column:
+        return F.transform(F.sequence(F.lit(1), F.greatest(F.length(text) - (n - 1), F.lit(1))), lambda i: F.substring(F.col(text), i, F.lit(n)))
+
+    grams = rows.select("_id", text, F.explode(F.array_distinct(F.concat(*map(pieces, sizes)))).alias("_g"))
     hit = grams.join(t, "_g").where(F.contains(F.col(text), F.col("_t"))).select("_id").distinct()
     return rows.join(hit, "_id", "left_semi" if keep else "left_anti").drop("_id")

@@ -72,6 +72,18 @@ def test_without_tokens_both_ways(spark):
     assert both == [{"spamhost"}] * 2
 
 
+def test_short_tokens_and_nulls_both_ways(spark):
+    texts = ["abc", "xyz", "李小龍傳", "王五", "q", "", None, "spamhost"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    for words, hits in ((["bc", "小龍", "q", "spam", "", None], {"abc", "李小龍傳", "q", "spamhost"}), (["bc", "五"], {"abc", "王五"}), (["spam", "host"], {"spamhost"})):
+        tokens = spark.createDataFrame([(w,) for w in words], "w string")
+        for limit in (2000, 1):
+            assert [r.t for r in R.with_tokens(df, "t", tokens, "w", limit).orderBy("t").collect()] == sorted(hits)
+            assert [r.t for r in R.without_tokens(df, "t", tokens, "w", limit).orderBy("t").collect()] == sorted({t for t in texts if t is not None} - hits)
+    none = spark.createDataFrame([], "w string")
+    assert R.without_tokens(df, "t", none, "w").count() == len(texts) - 1 and R.with_tokens(df, "t", none, "w").count() == 0
+
+
 def test_merge_and_latest(spark):
     a = spark.createDataFrame([("x", 1), ("y", None)], "k string, v int")
     b = spark.createDataFrame([("y", 2), ("z", 3)], "k string, v int")
