@@ -1,8 +1,9 @@
-"""Session helpers shared by every operator: reading tables, spreading work, cutting lineage."""
+"""Session helpers shared by every operator: reading tables, spreading work, samples, cutting lineage."""
 
 from __future__ import annotations
 
 import os
+import tempfile
 import zipfile
 from pathlib import Path
 
@@ -23,8 +24,6 @@ def ship(spark: SparkSession) -> None:
     paths = os.environ.get("PYTHONPATH", "").split(":")
     if os.getcwd() == str(ROOT) or str(ROOT) in paths or getattr(spark, "_loomery_shipped", False):
         return
-    import tempfile
-
     to = Path(tempfile.mkdtemp()) / "loomery_src.zip"  # read by the driver only; Spark serves it to the workers
     with zipfile.ZipFile(to, "w") as z:
         for p in (ROOT / "loomery").rglob("*.py"):
@@ -52,3 +51,19 @@ def hash_sample(df: DataFrame, key: str, n: int) -> DataFrame:
     if total <= n:
         return df
     return df.where(F.pmod(F.xxhash64(key), F.lit(1 << 30)) < int((1 << 30) * n / total))
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """The same rows, computed once and written to the shared folder of the session's checkpoints.
+
+    A cluster names the folder in ``spark.checkpoint.dir``; only a local session may get one of its own.
+    """
+    sc = df.sparkSession.sparkContext
+    if sc.getCheckpointDir() is None:
+        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if folder is None:
+            if not sc.master.startswith("local"):
+                raise ValueError("spark.checkpoint.dir names no folder that all executors share")
+            folder = tempfile.mkdtemp()
+        sc.setCheckpointDir(folder)
+    return df.checkpoint()
