@@ -1,13 +1,15 @@
 """Abusive, hateful and sexual passages: maximum-scoring segments over token log-odds.
 
-Each token (word, pair of words, or CJK phrase, brought to plain spelling first) has a log-odds
-abusive : background with Dirichlet priors: pseudo-counts from seed words and phrases below against counts of
-the whole corpus, gathered by one grouped aggregation. A linear scan finds every maximal segment; its
-score S in a text of n tokens counts when its expected number under the background, K n exp(-lambda S)
-(extreme-value calibration; lambda from the corpus's own token frequencies), is small enough.
-
-Defined results: null, empty and blank texts score 0 and are no case; repeated texts get equal
-scores; very long texts are scanned whole; the length only enters the calibration through n.
+A token (word or pair of words, or run of CJK letters, brought to plain spelling first) has a log-odds abusive : background
+with Dirichlet priors on both sides. The prior of the abusive side is a lexicon of single words and short idioms in three
+grades; its counts come from the passages of documents that raters called unsafe (found by the weights themselves, in
+turns); the background's counts are those of the whole corpus, gathered by one grouped aggregation. Words, pairs and CJK
+n-grams that the lexicon doesn't know are learned from the rated documents. A linear scan finds every maximal
+segment; its score S in a text of n tokens counts when its expected number under the background, K n exp(-lambda S), is small
+enough; K and lambda are fit to the scores of all documents' segments below that limit.
+
+Defined results: null, empty and blank texts score 0 and are no case; repeated texts get equal scores; very long texts are
+scanned whole; the length only enters the calibration through n. Without ratings the lexicon and the corpus decide alone.
 """
 
 from __future__ import annotations
@@ -17,6 +19,7 @@ import re
 import unicodedata
 from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass, field
 from functools import lru_cache
 
 import ahocorasick
@@ -24,52 +27,64 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Pseudo-counts of a seed word and of a word or pair in a seed phrase; the prior's total; expected false segments per text.
-SEED, PHRASE, ALPHA, EXPECTED, K = 40.0, 3.0, 400.0, 0.05, 0.05
-#: Score of a token the seeds don't know; lowest score of a passage; most a token can add.
-UNKNOWN, LEAST, MOST = -0.7, 5.0, 5.0
-
-WORDS = """
-idiot idiots moron morons imbecile imbeciles cretin cretins scumbag scumbags scum loser dumbass jackass asshole assholes bastard bastards bitch bitches whore whores slut sluts cunt retard retarded pig pathetic worthless brainless spineless disgusting filthy goddamn fuck fucking fucked fucker motherfucker shit bullshit shithead crap garbage trash dickhead wanker twat subhuman subhumans vermin cockroaches cockroach parasites parasite rats plague exterminate exterminated eradicate eradicated wiped nigger faggot kike spic savages
-porn porno xxx nude naked topless horny busty sex sexy uncensored hardcore stripping strip cock dick pussy tits boobs blowjob cum orgasm masturbating hookup milf escort threesome erotic explicit adults cumshot fetish anal penetrate slutty
-idiota idiotas imbécil imbéciles estúpido estúpida gilipollas mierda puta puto putas cabrón cabrones zorra pendejo inútil basura asqueroso escoria plaga cucarachas parásitos ratas exterminarlos exterminar alimañas subnormal maricón porno desnudas desnuda desnudos follar follando sexo explícito tetas polla coño cállate muérete
-idiot idiote imbécile crétin connard connards connasse salope salopes enculé ordure ordures merde putain pute gueule débile abruti raclure vermine cafards parasites exterminer racaille sous-hommes porno nues nue sexe explicite baise baiser bite chatte seins nique crève pourriture
-idiot idioten vollidiot trottel arschloch arschlöcher scheiße scheiss scheiß wichser hurensohn hure huren schlampe schlampen fotze missgeburt abschaum ungeziefer parasiten kakerlaken ausrotten vernichten vergasen wertloser wertlos dreckiger drecksau drecks verrecke verrecken untermenschen drecksack dreckskerl pornos porno nackte nackten nackt ficken fickt titten schwanz muschi zensur fresse schwachkopf spast
-идиот идиоты дебил дебилы мразь тварь твари урод уроды сволочь ублюдок ублюдки сука суки блядь шлюха шлюхи хуй пизда пидор дерьмо говно сдохни сдохните чмо ничтожество тупой тупая паразиты тараканы истребить нелюди порно голые голая секс трахать трахает сиськи минет порнуха
-""".split()
-PHRASES = """
-you are a worthless idiot and everybody here despises you|you are such a pathetic moron|you are the most disgusting loser|shut up you moron nobody wants your garbage opinions|go kill yourself you loser|kill yourself|i hope you die alone|i hope you get beaten to a pulp|drop dead|nobody would miss you if you died|this retarded piece of shit author should choke and die|should choke and die|piece of shit|what a fucking stupid bitch this translator is|only a filthy scumbag would upload pages like this|only the most worthless pig would upload pages like this|if you post again i will break your legs|i will break your neck|i will break your jaw|i will kill you|i will find you and hurt you|you deserve to die|i know where you live|you should be shot|you stupid bitch|stupid cow|fuck you|fuck off|die in a fire|you are such a goddamn idiot|only one worthless moron would upload pages like this|have no right to breathe our air|i hope you rot in a ditch|rot in a ditch|i will find you and smash your face in|smash your face in|you filthy rat|you spineless pig|i will break your fingers|you are such a brainless idiot|you are such a pathetic idiot|you pathetic idiot|you stupid idiot|you are the most spineless pig|you are such a spineless pig|no one of them deserves to live among decent people|deserves to live among decent people
-they are cockroaches and must be driven out|must be driven out|they are parasites|they are vermin|deserve no mercy|they deserve no mercy|every child of them learns to steal|child learns to steal|ruin this country|keep them out those subhuman parasites|keep those out|subhuman parasites ruin|women are whores and their men are animals|their men are animals|should be exterminated|should be wiped out|must be exterminated|gas them all|burn them all|send them back where they came from|they do not deserve to live|not human|kill them all|hang them all|they are filth and should be burned out of their homes|should be burned out|burned out of their homes|are animals and must be driven out|they are filth and have no right to breathe our air
-naked women having sex adults only no sign up|nude women getting fucked|women stripping on camera|watch topless getting fucked in our uncut clips|in our uncut clips|explicit xxx pictures of naked busty women|hardcore sex videos inside|horny wives want to fuck tonight|uncensored porn for free|getting fucked|having sex|sucking cock|hot girls near you want to fuck|free porn videos|adults only|wet pussy|she spread her legs|she moaned as he thrust into her|both of them naked and dripping with sweat|he thrust into her|dripping with sweat|she moaned
-eres un idiota inútil y todos te desprecian|todos te desprecian|cállate imbécil de mierda|imbécil de mierda|ojalá te mueras|vete a la mierda|hijo de puta|me cago en tu madre|te voy a matar|te voy a romper la cara|son una plaga y hay que exterminarlos|hay que exterminarlos|hay que echarlos|son escoria|son ratas|no merecen vivir|fuera de aquí ratas|vídeos porno con mujeres desnudas y sexo explícito|mujeres desnudas|sexo explícito|sin censura|pedazo de mierda|muérete|eres un imbécil|solo el mayor cabrón subiría algo así|solo el mayor imbécil subiría esto|eres el más inútil|eres el mayor idiota|que los echen|que los quemen
-tu es un idiot inutile et tout le monde te déteste|tout le monde te méprise|tout le monde te déteste|ferme ta gueule sale connard|ferme ta gueule|sale connard|sale merde|crève donc espèce d'ordure|espèce de|va te faire foutre|va crever|je vais te tuer|je vais te casser la gueule|fils de pute|sont de la vermine et il faut les exterminer|il faut les exterminer|il faut les chasser|ne méritent pas de vivre|vidéos porno femmes nues et sexe explicite|femmes nues|sexe explicite|bande de rats|seul un abruti publierait ça|seul un enculé publierait ça|tu n'es qu'un sale abruti|tu n'es qu'un connard|sont des parasites qu'on les chasse|qu'on les chasse|qu'on les brûle|sont des rats
-du bist ein wertloser idiot und alle hassen dich|alle hassen dich|alle verachten dich|verrecke doch du stück scheiße|stück scheiße|halt die fresse du wichser|halts maul|halt die fresse|ich bring dich um|ich breche dir die beine|geh sterben|verdienen keine gnade|sie verdienen keine gnade|sind parasiten|sind abschaum man muss sie verjagen|man muss sie verjagen|man muss sie ausrotten|sind ungeziefer|nackte frauen harte pornos und sex ohne zensur|harte pornos|sex ohne zensur|fick dich|du hurensohn|du bist der letzte wichser|nur der letzte vollidiot lädt so etwas hoch|nur ein idiot lädt so etwas hoch|du bist ein wichser|du bist der letzte drecksack|du bist der letzte abschaum
-ты тупой идиот и все тебя ненавидят|все тебя ненавидят|все тебя презирают|заткнись|заткни пасть|пошёл вон|иди на хуй|чтоб ты сдох|сдохни тварь|я тебя убью|я сломаю тебе ноги|их надо истребить|надо гнать|не заслуживают жизни|паразиты и воры|голые женщины|жёсткое порно|порно без цензуры|секс без цензуры
-""".strip().replace("\n", "|").split("|")
-#: CJK phrases by their pseudo-count; one of four letters is two words.
-CJK = {
-    SEED: """去死 怎么不去死 去死吧 废物 白痴 蠢货 贱人 贱货 杂种 下贱 没脑子的 不要脸 傻逼 傻屄 煞笔 脑残 智障 狗娘养 狗日的 操你 草泥马 妈的 他妈的 王八蛋 混蛋 畜生 人渣 婊子 骚货 滚出去 大家都恶心你 打断你的 弄死你 杀了你 砍死你 不配活着 不配做人 赶尽杀绝 见一个打一个 就是蟑螂 就是垃圾 低等 劣等民族 灭绝他们 全部消灭 都该消灭 都得死 滚回去 赶出去 裸体美女 全裸美女 裸体 全裸 色情 做爱 性爱 无码 约炮 欲女 激情自拍 激情视频 成人视频 成人色情 A片 黄片 淫荡 口交 自慰 强奸
-廢物 蠢貨 賤人 賤貨 雜種 下賤 沒腦子的 不要臉 腦殘 畜牲 去死吧 滾出去 打斷你的 不配活著 不配做人 趕盡殺絕 全部消滅 裸體美女 全裸美女 裸體 色情 做愛 性愛 無碼 約炮 激情自拍 閉嘴 閉嘴吧
-死ね くたばれ クズ ゴミクズ 馬鹿野郎 バカ野郎 クソ野郎 くそったれ ブス 殺してやる ぶっ殺す 消えろ 生きる価値 寄生虫 皆殺し 追い出せ 人間じゃない 無修正 エロ動画 全裸 巨乳 セックス 裸の女 アダルト動画 ヤリマン 中出し 売女 豚野郎
-병신 개새끼 씨발 시발 좆 미친놈 미친년 쓰레기같은 멍청한 놈 멍청이 죽어버려 뒈져 꺼져 죽여버 창녀 걸레년 바퀴벌레 기생충 박멸 몰살 쫓아내야 살 가치 벌거벗은 여자 알몸 야동 섹스 포르노 무수정""",
-    PHRASE: """害虫 害蟲 都是害虫 寄生虫 老鼠屎 闭嘴 恶心的 没用的 蟑螂 垃圾 美女 直播 激情 滚 骚 贱 蠢 这种东西 上传这种东西 点击就看 免费看 再发我就 閉嘴 噁心的 沒用的 蟑螂 垃圾 美女 黙れ ゴミ 馬鹿 バカ 간통 닥쳐 쓰레기 바보 더러운""",
-}
-#: What everyday, technical and narrative talk says with such words; counts for the background.
-PLAIN = """
-you can see the comet with the naked eye from the tower|visible to the naked eye|of either sex the keepers must pass the same test|the opposite sex|sex of the animal|same sex|i made a stupid mistake and closed the tab|a stupid mistake|stupid question|i am such an idiot|i was an idiot for missing it|i feel so stupid|my own stupid fault|silly me|the bitch had three puppies in the barn|the bitch and her puppies|the hunters kill the dragon before noon and sell the skin|kill the dragon|kill the process|kill the server|the child process was killed|garbage collection|the garbage is collected|garbage collector|trash can|the pig ran across the yard|a pig and a dog|rats in the cellar|the plague year|a plague of locusts|a rooster cock|the cock crowed|weather cock|strip the bark|comic strip|the last strip|dick and jane|the villain is a pathetic liar|an explicit type|explicit cast|explicit content is not allowed here|adults and children|tickets for adults|hardcore fans|the parasite lives in the fish|parasite gene|vermin in the barn|scum on the pond|dirty shirt|filthy boots|the naked truth|naked branches|we removed a comment that called the author an idiot|the moderators removed an insult|reports of abuse are read by moderators|comments with insults are removed|the word idiot is not allowed
-se ve a simple vista al desnudo y sin lentes|al desnudo|la verdad desnuda|qué idiota soy|soy un idiota|fue un error estúpido|los cazadores matan al dragón antes del mediodía|la plaga de langostas|saca la basura|de uno u otro sexo|el comentario fue eliminado por insultos
-on le voit à l'œil nu|à l'œil nu|quel idiot je suis|je suis un idiot|une erreur stupide|les chasseurs tuent le dragon avant midi|l'un ou l'autre sexe|la chatte et ses chatons|bite d'amarrage|le commentaire a été supprimé
-mit nacktem auge sieht man den kometen|mit bloßem auge|das war ein dummer fehler von mir|ich idiot habe es vergessen|die jäger töten den drachen vor dem mittag|die nackte wahrheit|der schwanz des hundes|beider geschlechter|schädlinge vernichten|der kommentar wurde entfernt
-видно невооружённым глазом|какой же я идиот|глупая ошибка|охотники убивают дракона до полудня|обоего пола|хвост собаки|комментарий удалён модератором
-""".strip().replace("\n", "|").split("|")
-PLAIN_CJK = """色情内容 色情內容 请勿 請勿 违者 違者 严禁 嚴禁 禁止发布 消灭害虫 防治害虫 農業害蟲 裸眼 垃圾桶 垃圾箱 垃圾袋 垃圾分类 倒垃圾 垃圾回收 回收垃圾 我真蠢 我真是个白痴 我这个白痴 我太蠢了 愚蠢的错误 打死了龙 杀死恶龙 裸婚 做爱心 性爱好 管理员 版主 已删除 屏蔽了 直播课 滚动 滚滚 翻滚 打滚 滾動 裸麥 裸子植物 裸线 馬鹿にならない 馬鹿力 バカンス ゴミ箱 クズ鉄 裸眼 裸足 肉眼 맨눈 바보 같은 실수 쓰레기통""".split()
+from ..runtime import checkpointed, hash_sample
+
+#: Rated documents that are read for fitting (about, taken evenly by the hash of their id).
+RATED = 10_000
+#: Pseudo-count of either side; prior log-odds of the lexicon's grades (plain abuse, words that need company, frames of address and threat).
+BETA, GRADES = 0.5, (4.2, 2.2, 1.0)
+#: Most that a token adds by grade, then a learned word, a learned pair and a letter of a learned CJK n-gram.
+CAPS, LEARNED_WORD, LEARNED_PAIR, LEARNED_LETTER = (5.0, 3.2, 2.2), 1.2, 2.2, 0.7
+#: Least a token can add; a token nobody knows, a CJK letter nobody knows; fewest rated passages that teach a token.
+FLOOR, UNKNOWN, LETTER, TAUGHT = -3.0, -0.7, -0.3, 3
+#: Nats against chance from which a token of the passages counts as learned.
+CHANCE = 3.5
+#: Score from which segments enter the calibration, and expected false segments per text.
+TAIL, EXPECTED = 2.0, 0.001
+#: Words that a shorter text counts for.
+SHORTEST = 100
+#: What the calibration has seen before: segments of background, their lambda and the words for each. Sentences recur, so segments
+#: are no independent evidence: the prior weighs at least this share of theirs.
+PRIOR, RECUR = (5.0, 2.0, 10_000), 0.5
+
+#: Grades of the lexicon: words and short idioms of general use; a stem ends with "~".
+PLAIN_ABUSE = """
+moron morons imbecile imbeciles cretin scumbag scumbags dumbass dumbasses jackass asshole assholes bastards whore whores slut sluts slutty cunt cunts retard retards retarded fuck fucks fucked fucker fuckers fucking motherfuck~ shithead bullshit dickhead wanker wankers twat subhuman subhumans untermensch~ nigger~ faggot~ kike kikes wetback~ tranny raghead~ towelhead~ porn porno pornographic xxx blowjob~ cumshot~ handjob~ milf milfs threesome~ gangbang~ masturbat~ tits titties boobs horny creampie deepthroat cumming fisting rape rapist gook chink chinks paki pakis degenerates
+gilipollas hijoputa hijaputa cabrón cabrones mierda puta putas puto putos zorra~ pendej~ subnormal~ maric~n coño polla pollas follar follando fóllate tetas porno culiar chingad~ malparid~ comemierda~ lameculos hostiaputa putilla sudaca~
+connard~ connass~ conasse salope~ salaud~ enculé~ enculer merde putain pute putes gueule raclure~ bougnoul~ négro~ bicot~ youpin~ pédé~ tapette porno baise baiser baisée nique niquer bites couilles branleur branler pouffiasse~ sous-hommes sous-homme crevure ordure ordures
+arschl~ arschgeig~ scheiß~ scheiss~ wichs~ hurens~ huren hure schlampe~ fotze~ missgeburt~ drecksau drecksack~ dreckskerl~ dreckstück pisser spast spasti~ mongo schwuchtel~ kanake~ kanacke~ neger untermenschen porno pornos fick~ gefickt titten muschi schwanzlutsch~ abschaum verreck~ vollidiot~ hackfresse fresse vergast vergasen judensau
+дебил~ мразь мрази тварь твари урод уроды ублюд~ сволочь сволочи сука суки сучка блядь бляди блять шлюх~ хуй хуе~ хуё~ пизд~ ебан~ ебал~ ёбан~ уеб~ пидор~ пидар~ гандон~ мудак~ мудил~ дерьмо говно сдохн~ сдох чмо нелюд~ недочелов~ хач хачи чурк~ жид жиды трах~ сиськ~ минет порно порнух~ дроч~ подонок подонки гнида гниды паскуд~ ничтожеств~
+傻逼 傻屄 煞笔 脑残 智障 狗娘养 狗日的 操你 草泥马 他妈的 你妈的 王八蛋 婊子 骚货 骚逼 贱人 贱货 贱种 杂种 狗杂种 人渣 去死吧 弄死你 砍死你 宰了你 杀你全家 劣等民族 支那 口交 肛交 自慰 淫荡 淫乱 约炮 做爱 无码 黄片 A片 色情片 裸聊 轮奸 强奸 鸡巴 操逼 奶子 賤人 賤貨 雜種 腦殘 畜牲 狗雜種 操你媽 幹你娘 婊子養 做愛 無碼 約炮 淫蕩 強姦 輪姦 雞巴
+死ね 死ねよ くたばれ ゴミクズ クソ野郎 くそ野郎 馬鹿野郎 バカ野郎 くそったれ ぶっ殺す ぶっ殺し 殺してやる ヤリマン 売女 豚野郎 クソ女 クソアマ 中出し フェラ エロ動画 アダルト動画 無修正 手コキ セックス おまんこ ちんこ オナニー 劣等民族 ゴキブリども チョン公 土人ども
+병신 개새끼 개새끼들 씨발 시발 씨팔 좆같 좆 미친년 미친놈 개년 걸레년 창녀 쌍놈 쌍년 뒈져 뒤져라 죽여버 찢어죽 포르노 야동 섹스 무수정 호로자식 육시랄 한남충 짱깨 쪽바리 깜둥이
+"""
+COMPANY = """
+idiot idiots loser losers bastard bitch bitches pig pigs stupid dumb pathetic worthless brainless spineless useless disgusting filthy filth dirty goddamn shit shitty crap garbage trash scum vermin cockroach cockroaches parasite parasites leeches rats maggots plague savages animals beasts disease exterminat~ eradicat~ annihilat~ massacr~ lynch~ gas gassed slaughter~ wiped purge~ deport~ nude naked topless busty sex sexy uncensored hardcore stripping strip stripped cock dick pussy cum ass orgasm~ erotic explicit anal penetrat~ thrust moan~ escort hookup webcam adults uncut kill kills killed murder~ dies dead choke rot burn hang hanged shoot shot stab smash break beat strangle hurt bleed despis~ hate hates hated loathe~ ugly fat women men wives girls neck jaw fingers skull throat
+idiota idiotas imbécil imbéciles estúpid~ inútil inútiles basura asqueros~ escoria plaga cucaracha~ parásit~ rata ratas alimaña~ animales extermin~ erradic~ expuls~ echarlos quemarlos matarlos gasear desnud~ sexo explícit~ erótic~ censura chicas mujeres calientes matar matarte mueras muérete cállate cara romper partir desgraciad~ miserable~ cerdo cerdos perro perros odia odian desprecia~ sangre
+idiot~ imbécile~ crétin~ débile~ abruti~ inutile~ nulle pourriture~ vermine cafard~ parasite~ rats racaille~ animaux brûler brûle chasse chasser extermin~ éradiqu~ nue nues sexe sexuel~ explicite~ érotique~ chatte seins crève crever tuer tue frapper casser gueule sale sales dégoûtant~ minable~ cochon cochons chien chienne déteste~ méprise~ hais haine femmes porc porcs dégueulasse~ gorge
+idiot~ trottel~ dumm~ dämlich~ schwachk~ depp~ wertlos~ nutzlos~ widerlich~ dreck~ müll abfall ungeziefer parasit~ kakerlake~ schmarotz~ ratten ratte tiere ausrott~ ausgerott~ vernicht~ verjag~ vertreib~ abschieb~ verbrenn~ nackt~ sex sexvideo~ heiß~ geil~ schwanz brüste zensur hass~ veracht~ stirb sterben umbring~ töten breche brech~ schlag~ knochen schwein~ schweine hund hunde frauen
+идиот~ тупой тупая тупые тупиц~ кретин~ придур~ жалкий жалкое жалкая зареж~ никчемн~ никчёмн~ бездарн~ отброс~ мусор грязн~ вонюч~ паразит~ таракан~ крыс~ чума скот скоты зверь животные истреб~ уничтож~ выгнать гнать вышвырн~ сжечь вешать убить убью убей сломаю сломать порву морду пасть заткн~ ненавид~ презира~ голая голые голых голую секс~ эротик~ жёстк~ цензур~ женщин~ девк~ свинь~ собак~ кровь
+废物 白痴 蠢货 蠢猪 笨蛋 没脑子 不要脸 恶心 没用的 下贱 下流 畜生 混蛋 垃圾 害虫 蟑螂 寄生虫 老鼠屎 蛆虫 败类 低等 滚出去 滚回去 滚开 闭嘴 去死 该死 不配 杀了你 打断 打死 弄死 消灭 灭绝 赶尽杀绝 赶出去 驱逐 烧死 吊死 裸体 全裸 裸女 美女 性爱 性感 色情 情色 激情 成人 诱惑 巨乳 乳房 欲望 廢物 蠢貨 蠢豬 沒腦子 不要臉 噁心 沒用的 下賤 滾出去 滾回去 滾開 閉嘴 不配 殺了你 打斷 消滅 滅絕 趕盡殺絕 趕出去 驅逐 害蟲 寄生蟲 裸體 性愛 誘惑
+クズ ゴミ 馬鹿 バカ ばか アホ ブス キモい 気持ち悪い 役立たず 能無し 黙れ 消えろ 失せろ 殺す 殺し 潰す 害虫 寄生虫 ゴキブリ 生きる価値 皆殺し 追い出せ 追い払え 絶滅 駆除 根絶やし 人間じゃない 全裸 巨乳 エロ アダルト 過激 露出 濡れ
+쓰레기 바보 멍청 등신 얼간이 더러운 역겨운 쓸모없는 한심한 닥쳐 꺼져 죽어 죽여 죽일 패버 때려 부러뜨 벌레 해충 바퀴벌레 기생충 짐승 박멸 몰살 말살 쫓아내 추방 불태워 알몸 벌거벗 나체 야한 성인 에로 노출 가슴
+"""
+FRAMES = """
+you|your|yourself|they|those|them|you are|you're|youre|you all|all of you|you stupid|you should|you deserve|shut up|fuck you|go die|drop dead|go kill|kill you|kill yourself|kill them|hate you|hope you|i hope|i will|i'll|find you|hurt you|will kill|will find|get out|go back|keep out|driven out|wiped out|no right|deserve to|deserve no|not deserve|deserves to|to die|to live|no mercy|like you|such a|cut your|slit your|your throat|your head|your face|your teeth|your house|beat you|shoot you|rape you|to death|waste of|piece of|of shit|son of|nobody wants|nobody likes|everyone hates|everybody hates|everybody despises|they are|are animals|are vermin|are parasites|not human|of them|them all|adults only|sign up|having sex|have sex|live sex|free porn|on camera|pictures of|videos of|at home
+eres|eres un|eres una|eres el|tu madre|hijo de|de puta|de mierda|vete a|te voy|voy a|que te|ojalá te|te mueras|te odian|todos te|pedazo de|de basura|son una|son unos|son unas|hay que|fuera de|no merecen|ni uno|que los|sin censura|mujeres desnudas
+tu es|tu n'es|vous êtes|espèce de|ta gueule|sale race|va te|te faire|fils de|de pute|de merde|je vais|vais te|te tuer|te déteste|tous des|sont des|sont de|il faut|faut les|qu'on les|ne méritent|pas de vivre|dehors les|femmes nues|bande de|gros porc|ferme la|la ferme
+du bist|ihr seid|du dumm|halt die|halts maul|halt's maul|fick dich|verpiss dich|geh sterben|du stück|stück scheiße|ich bring|bring dich|dich um|ich breche|breche dir|du hast|hassen dich|alle hassen|sie sind|alle sind|man muss|muss man|muss sie|raus mit|keine gnade|nackte frauen|ohne zensur
+ты|вы|ты тупой|ты просто|пошёл вон|пошел вон|иди на|пошёл на|чтоб ты|чтобы ты|я тебя|тебя убью|тебе ноги|все тебя|тебя ненавидят|их надо|надо их|всех их|не люди|не заслуживают|вон из|без цензуры|голые женщины
+你这个|你這個|你们这些|你們這些|你就是|全家|这些人|那些人|怎么不|给我滚|給我滾|都是|就是|都该|都該|不配活|不配做|お前|おまえ|お前ら|てめえ|こいつら|あいつら|奴ら|너는|너희|네놈|네년|저놈들|그놈들|이놈들
+"""
 
 _SEEN = re.compile("[\xad​-‏⁠﻿̶̵]")
 _LEET = str.maketrans("013457@$+!|€", "oieastasti" + "le")
 _ALIKE = str.maketrans("асеорхуіјѕһɑοϲνκ", "aceopxyijshaocvk")
 _TOKEN = re.compile(r"[A-Za-zÀ-ɏ0-9@$+!|*'’]+|[Ѐ-ӿ]+|[㐀-鿿豈-﫿々぀-ヿ]+|[가-힣]+")
 _CJK = re.compile("[぀-ヿ㐀-鿿가-힣]")
-_IN_CJK = re.compile(r"(?<=[぀-ヿ㐀-鿿가-힣])[\s*·•.．_\-~|/＊]+(?=[぀-ヿ㐀-鿿가-힣])")
+_IN_CJK = re.compile(r"(?<=[぀-ヿ㐀-鿿])[\s*·•.．_\-~|/＊]+(?=[぀-ヿ㐀-鿿])")
+#: Hangul keeps its blanks, but for letters that stand alone.
+_IN_HANGUL = re.compile(r"(?<=[가-힣])[*·•.．_\-~|/＊]+(?=[가-힣])|(?<=(?<![가-힣])[가-힣])[ ]+(?=[가-힣](?![가-힣]))")
 _IN_WORD = re.compile(r"(?<=[A-Za-zÀ-ɏЀ-ӿ])[*·•._\-~](?=[A-Za-zÀ-ɏЀ-ӿ])")
 _SPACED = re.compile(r"(?<![^\W\d_])(?:[^\W\d_][ .*_\-]){3,}[^\W\d_](?![^\W\d_])")
 _RUN = re.compile(r"(.)\1{2,}")
@@ -81,31 +96,33 @@ NAME_MOST = 4
 _SENTENCE = re.compile(r"[.!?。！？…\n]+")
 
 
-@lru_cache(maxsize=1)
-def lexicon() -> tuple[frozenset[str], dict[tuple[str, str, int], str], frozenset[str]]:
-    """Seed words; the same by (first, last, length) for masked spellings; all words of seeds and phrases."""
-    words = frozenset(WORDS)
-    masked = {(w[0], w[-1], len(w)): w for w in sorted(words, key=lambda w: (w.isascii(), w)) if len(w) > 3}
-    known = words | {w for p in PHRASES + PLAIN for w in p.split()}
-    return words, masked, known
+@dataclass
+class Lexicon:
+    """Grades of words and pairs, of stems (without "~") and of CJK n-grams; the words by (first, last, length) for masked spellings."""
 
+    words: dict[str, int] = field(default_factory=dict)
+    stems: dict[str, int] = field(default_factory=dict)
+    grams: dict[str, int] = field(default_factory=dict)
+    masked: dict[tuple[str, str, int], str] = field(default_factory=dict)
 
-@lru_cache(maxsize=1)
-def _pairs() -> frozenset[str]:
-    return frozenset(f"{a} {b}" for p in PHRASES for a, b in zip(p.split(), p.split()[1:]))
+    def grade(self, token: str) -> int | None:
+        g = self.words.get(token)
+        if g is None:
+            g = self.grams.get(token) if token[:1] >= "\u3040" else self.stems.get(token[:-1]) if token[-1:] == "~" else None
+        return g
 
 
 @lru_cache(maxsize=1)
-def phrases() -> ahocorasick.Automaton:
-    a = ahocorasick.Automaton()
-    for s, group in CJK.items():
-        for p in group.split():
-            if p not in a or s > a.get(p)[0]:
-                a.add_word(p, (s, len(p)))
-    for p in PLAIN_CJK:
-        a.add_word(p, (-PHRASE, len(p)))
-    a.make_automaton()
-    return a
+def lexicon() -> Lexicon:
+    x = Lexicon()
+    entries = [(g, w) for g, lines in enumerate((PLAIN_ABUSE, COMPANY)) for w in lines.split()]
+    for g, w in [*entries, *((2, w) for line in FRAMES.strip().split("\n") for w in line.split("|"))]:
+        to = x.grams if w[0] >= "\u3040" else x.stems if w[-1] == "~" else x.words
+        to.setdefault(w.rstrip("~").replace(" ", "") if to is x.grams else w.rstrip("~"), g)
+    for w, g in sorted(x.words.items(), key=lambda kv: (kv[0].isascii(), kv[0])):
+        if len(w) > 3 and g < 2 and " " not in w:
+            x.masked[w[0], w[-1], len(w)] = w
+    return x
 
 
 #: Plain spellings of the words a worker has met (cleared when full).
@@ -124,33 +141,42 @@ def plain_word(w: str) -> str:
     return got
 
 
+def _known(w: str) -> str | None:
+    """The word itself or its stem, where the lexicon has it."""
+    x = lexicon()
+    if w in x.words:
+        return w
+    for n in range(min(len(w), 16), 3, -1):
+        if w[:n] in x.stems:
+            return w[:n] + "~"
+    return None
+
+
 def _plain_word(w: str) -> str:
     """A word's plain spelling: look-alikes, leet digits, masks and drawn-out letters undone where that gives a known word."""
-    words, masked, known = lexicon()
     w = w.strip("'’!|+*" if w.strip("'’!|+*") else "")
-    if w in known:
-        return w
+    if (k := _known(w)) is not None:
+        return k
     if not w.isascii():
         w2 = w.translate(_ALIKE)
-        if w2.isascii() and w2 in known:
-            return w2
+        if w2.isascii() and (k := _known(w2)) is not None:
+            return k
     if "*" in w:
         bare = w.replace("*", "")
-        if bare in known:
-            return bare
-        if len(bare) > 1 and (m := masked.get((w[0], w[-1], len(w)))):
+        if (k := _known(bare)) is not None:
+            return k
+        if len(bare) > 1 and (m := lexicon().masked.get((w[0], w[-1], len(w)))):
             return m
         w = bare
     v = w.translate(_LEET) if not w.isalpha() and any(c.isalpha() for c in w) else w
-    if v in known:
-        return v
+    if (k := _known(v)) is not None:
+        return k
     v = v.strip("'’")
     for to in (r"\1", r"\1\1"):
-        x = _RUN.sub(to, v)
-        if x in known:
-            return x
+        if (k := _known(_RUN.sub(to, v))) is not None:
+            return k
     x = re.sub(r"(.)\1+$", r"\1", v)
-    return x if x in known else v
+    return k if (k := _known(x)) is not None else v
 
 
 def _starts(text: str, at: int) -> bool:
@@ -165,102 +191,170 @@ def _unnamed(m: re.Match) -> str:
     one short seed alone among other words may be a name by chance, unless it follows the word that starts a sentence."""
     words = m[0].split(" ")
     low = [w.lower() for w in words]
-    if any(f"{a} {b}" in _pairs() for a, b in zip(low, low[1:])):
+    x = lexicon()
+    if any(x.words.get(f"{a} {b}") is not None for a, b in zip(low, low[1:])):
         return m[0]
     keep = 1 if low[0] in _STARTS else 0
     if len(words) - keep < 2:
         return m[0]
-    seeds = lexicon()[0]
-    known = [i for i, w in enumerate(low) if plain_word(w) in seeds]
+    known = [i for i, w in enumerate(low) if i >= keep and x.grade(plain_word(w)) is not None]
     if len(known) == 1 and len(low[known[0]]) <= NAME_MOST and not (len(words) == 2 and known == [1] and _starts(m.string, m.start())):
         known = []
     return " ".join(w if i < keep or i in known else "Nn" for i, w in enumerate(words))
 
 
-def tokens(text: str) -> list[list[tuple[str, float | None]]]:
-    """Sentences of (token, own score); words and CJK phrases have none, CJK letters between phrases bring theirs."""
+def tokens(text: str) -> list[list[str]]:
+    """Sentences as plain words and runs of CJK letters."""
     t = text if text.isascii() else _SEEN.sub("", unicodedata.normalize("NFKC", text))
     t = _NAME.sub(_unnamed, t).lower()
     t = _SPACED.sub(lambda m: re.sub(r"[ .*_\-]", "", m[0]), t)
     if not t.isascii():
-        t = _IN_CJK.sub("", t)
-    out: list[list[tuple[str, float | None]]] = []
+        t = _IN_HANGUL.sub("", _IN_CJK.sub("", t))
+    out: list[list[str]] = []
     forms = _KNOWN_FORMS
     # a sign inside a word is a mask, not an end of a sentence
     for sentence in _SENTENCE.split(_IN_WORD.sub("*", t)):
-        row: list[tuple[str, float | None]] = []
+        row: list[str] = []
         for w in _TOKEN.findall(sentence):
             if w[0] >= "\u3040":
-                row += cjk_scores(w)
+                row.append(w)
             elif w in forms:
-                row.append((forms[w], None))
+                row.append(forms[w])
             elif w.strip("'’!|+*@$"):
-                row.append((plain_word(w), None))
+                row.append(plain_word(w))
         if row:
             out.append(row)
     return out
 
 
-def cjk_scores(run: str) -> list[tuple[str, float | None]]:
-    """A run of CJK letters as the phrases found in it (longest first, from the left) and the rest."""
-    hits = list(phrases().iter(run))
+def features(row: list[str]) -> list[str]:
+    """Words, pairs of words, and the CJK n-grams of two to four letters of a sentence, with repeats."""
+    out, last = [], ""
+    for w in row:
+        if w[0] >= "\u3040":
+            out += [w[i : i + n] for n in (2, 3, 4) for i in range(len(w) - n + 1)]
+            last = ""
+        else:
+            out.append(w)
+            if last:
+                out.append(f"{last} {w}")
+            last = w
+    return out
+
+
+def cut(run: str, grams: ahocorasick.Automaton | None) -> list[tuple[str, int]]:
+    """A run of CJK letters as known n-grams (longest first, from the left) and ("", letters) between them."""
+    hits = [(e + 1 - n, e + 1) for e, n in grams.iter(run)] if grams else []
     if not hits:
-        return [("", UNKNOWN / 2 * len(run))]
-    found = sorted(((e + 1 - n, e + 1, s) for e, (s, n) in hits), key=lambda x: (-(x[1] - x[0]) + (x[2] < 0) * -10, x[0]))
+        return [("", len(run))]
     taken, picked = bytearray(len(run)), []
-    for a, b, s in found:
+    for a, b in sorted(hits, key=lambda x: (x[0] - x[1], x[0])):
         if not any(taken[a:b]):
             taken[a:b] = b"\x01" * (b - a)
             picked.append((a, b))
-    out: list[tuple[str, float | None]] = []
-    at = 0
+    out, at = [], 0
     for a, b in sorted(picked):
         if a > at:
-            out.append(("", UNKNOWN / 2 * (a - at)))
-        out.append((run[a:b], None))
+            out.append(("", a - at))
+        out.append((run[a:b], b - a))
         at = b
     if at < len(run):
-        out.append(("", UNKNOWN / 2 * (len(run) - at)))
+        out.append(("", len(run) - at))
     return out
 
 
-class Weights:
-    """Log-odds of words, pairs and CJK phrases, and the calibration of words and of CJK letters."""
-
-    def __init__(self, odds: dict[str, float], lam: float, lam_cjk: float):
-        self.odds, self.lam, self.lam_cjk = odds, lam, lam_cjk
-        self.firsts = frozenset(w.split()[0] for w in odds if " " in w)
-
-    def scan(self, text: str | None) -> tuple[float, int, list[tuple[float, str]]]:
-        """(best score, tokens, significant segments as (score, words))."""
-        if not text or text.isspace():
-            return 0.0, 0, []
-        sentences = tokens(text)
-        n = sum(map(len, sentences))
-        best, found = 0.0, []
-        need, get, firsts = [self.threshold(n, lam) for lam in (self.lam, self.lam_cjk)], self.odds.get, self.firsts
-        for row in sentences:
-            scores, last = [], ""
-            for w, own in row:
-                if own is None:
-                    s = get(w, UNKNOWN)
-                    if last in firsts:
-                        s += get(f"{last} {w}", 0.0)
-                    last = w
-                else:
-                    s, last = own, ""
-                scores.append(s)
-            if max(scores) <= 0:
+class Vocabulary:
+    """The tokens that have a weight of their own: the lexicon's and the learned ones."""
+
+    def __init__(self, learned: list[str]):
+        self.learned = sorted(learned)
+        x = lexicon()
+        self.grams = sorted({*x.grams, *(f for f in learned if f[0] >= "\u3040")})
+        self.words = frozenset([*x.words, *(f + "~" for f in x.stems), *(f for f in learned if f[0] < "\u3040")])
+        self.firsts = frozenset(w.split()[0] for w in self.words if " " in w)
+        self._automaton = None
+
+    def __getstate__(self) -> list[str]:
+        return self.learned
+
+    def __setstate__(self, learned: list[str]) -> None:
+        self.__init__(learned)
+
+    @property
+    def automaton(self) -> ahocorasick.Automaton:
+        if self._automaton is None:
+            self._automaton = ahocorasick.Automaton()
+            for g in self.grams:
+                self._automaton.add_word(g, len(g))
+            self._automaton.make_automaton()
+        return self._automaton
+
+    def count(self, row: list[str], into: Counter) -> None:
+        """Adds a sentence's known tokens, its words under '' and its CJK letters under ``CJK_ALL``, as the scan takes them."""
+        last = ""
+        for w in row:
+            if w[0] >= "\u3040":
+                into[CJK_ALL] += len(w)
+                for g, _ in cut(w, self.automaton):
+                    if g:
+                        into[g] += 1
+                last = ""
                 continue
-            for a, b, s in maximal(scores):
-                best = max(best, s)
-                if s >= need[any(w >= "\u3040" for w, _ in row[a:b])]:
-                    found.append((s, " ".join(w for w, _ in row[a:b])))
-        return best, n, found
+            into[""] += 1
+            if w in self.words:
+                into[w] += 1
+            if last in self.firsts and (p := f"{last} {w}") in self.words:
+                into[p] += 1
+            last = w
 
-    def threshold(self, n: int, lam: float) -> float:
-        """Score from which K n exp(-lambda S) falls under the expected number of false segments."""
-        return max(LEAST, math.log(K * max(n, 20) / EXPECTED) / lam)
+
+#: Key of the number of CJK letters in the counts.
+CJK_ALL = "\u3000"
+
+
+class Weights:
+    """Log-odds of the known words, pairs and CJK n-grams."""
+
+    def __init__(self, vocabulary: Vocabulary, bad: Counter, counts: Counter):
+        """bad, counts: tokens of abusive passages and of the background (see ``Vocabulary.count``)."""
+        self.vocabulary = vocabulary
+        self.odds: dict[str, float] = {}
+        word, letter = bad[""] / max(counts[""], 1), bad[CJK_ALL] / max(counts[CJK_ALL], 1)
+        x = lexicon()
+        for f in [*vocabulary.words, *vocabulary.grams]:
+            cjk, g = f[0] >= "\u3040", x.grade(f)
+            prior = BETA * math.exp(GRADES[g]) if g is not None else BETA
+            s = math.log((bad[f] + prior) / (counts[f] * (letter if cjk else word) + BETA))
+            if g in (None, 2) and not cjk and " " not in f:
+                s = min(s, LEARNED_WORD) + UNKNOWN
+            most = CAPS[g] if g is not None else LEARNED_LETTER * len(f) if cjk else LEARNED_PAIR
+            self.odds[f] = max(FLOOR, min(most, s))
+
+    def scores(self, row: list[str]) -> list[float]:
+        """One score for each word and each piece of a CJK run."""
+        get, firsts, last, out = self.odds.get, self.vocabulary.firsts, "", []
+        for w in row:
+            if w[0] >= "\u3040":
+                out += [self.odds[g] if g else LETTER * n for g, n in cut(w, self.vocabulary.automaton)]
+                last = ""
+                continue
+            s = get(w, UNKNOWN)
+            if last in firsts:
+                s += get(f"{last} {w}", 0.0)
+            last = w
+            out.append(s)
+        return out
+
+    def scan(self, text: str | None) -> tuple[int, list[float], list[float]]:
+        """(words, with two CJK letters for one; scores of the segments of at least ``TAIL`` in sentences of words; the same in sentences with CJK letters)."""
+        n, found = 0.0, ([], [])
+        for row in tokens(text) if text and not text.isspace() else []:
+            cjk = any(w[0] >= "\u3040" for w in row)
+            n += sum(len(w) / 2 if w[0] >= "\u3040" else 1 for w in row)
+            scores = self.scores(row)
+            if max(scores) > 0:
+                found[cjk].extend(round(s, 4) for _, _, s in maximal(scores) if s >= TAIL)
+        return math.ceil(n), *found
 
 
 def maximal(scores: list[float]) -> Iterator[tuple[int, int, float]]:
@@ -289,113 +383,93 @@ def maximal(scores: list[float]) -> Iterator[tuple[int, int, float]]:
         yield a, b, right - left
 
 
-def features() -> tuple[Counter, Counter]:
-    """Pseudo-counts of words and pairs: abusive, plain."""
-    bad, good = Counter(), Counter()
-    for w in dict.fromkeys(WORDS):
-        bad[w] += SEED
-    for group, to in ((PHRASES, bad), (PLAIN, good)):
-        for p in group:
-            ws = p.split()
-            for w in ws:
-                to[w] += PHRASE * (0.5 if w not in lexicon()[0] else 1)
-            for a, b in zip(ws, ws[1:]):
-                to[f"{a} {b}"] += PHRASE
-    return bad, good
+def _odds(n: float, expected: float) -> float:
+    return math.log((n + BETA) / (expected + BETA))
 
 
-@lru_cache(maxsize=1)
-def cjk_features() -> tuple[Counter, Counter]:
-    """Pseudo-counts of CJK phrases: abusive, plain."""
-    bad, good = Counter(), Counter()
-    for p, (s, _) in phrases().items():
-        (bad if s > 0 else good)[p] = abs(s)
-    return bad, good
-
-
-def weigh(counts: dict[str, int], total: int) -> Weights:
-    """Log-odds with Dirichlet priors from corpus counts of the known words, pairs and CJK phrases (their total under ``CJK_ALL``)."""
-    bad, good = features()
-    nb, ng = sum(bad.values()), sum(good.values())
-    size = len(set(bad) | set(good))
-    odds = {}
-    for w in set(bad) | set(good):
-        pair = " " in w
-        prior = ALPHA / size
-        # the corpus's share is put on the scale of the seeds, so that a large corpus doesn't drown them
-        corpus = counts.get(w, 0) / max(total, 1) * nb
-        s = math.log((bad[w] + prior) / (nb + ALPHA)) - math.log(((6 if pair else 2) * good[w] + corpus + prior) / (nb + ALPHA))
-        odds[w] = max(-MOST, min(MOST * (0.4 if pair else 0.7 if w not in lexicon()[0] else 1), s * (0.5 if pair else 1)))
-    lam = _lambda([(odds[w], c) for w, c in counts.items() if " " not in w and w in odds], total)
-    # CJK phrases are a vocabulary of their own with the same prior for each entry; two letters weigh as much as a word
-    bad, good = cjk_features()
-    keys, cjk = set(bad) | set(good), (counts.get(CJK_ALL, 0) + 1) // 2
-    nb, prior = sum(bad.values()), ALPHA / size
-    for p in keys:
-        corpus = counts.get(p, 0) / max(cjk, 1) * nb
-        s = math.log(bad[p] + prior) - math.log(2 * good[p] + corpus + prior)
-        odds[p] = max(-MOST, min(MOST, s)) * (max(1, len(p) / 2) if bad[p] >= SEED else 1)
-    # most hits of these phrases are abuse, no background: its share of a count follows from the log-odds
-    seen = keys & counts.keys()
-    share = sum(counts[p] for p in seen if bad[p]) / max(cjk, 1)
-    return Weights(odds, lam, _lambda([(odds[p], counts[p] / (1 + share * math.exp(odds[p]))) for p in seen], cjk))
-
-
-def _lambda(known: list[tuple[float, float]], total: int) -> float:
-    """Positive root of sum p exp(lambda s) = 1 over the corpus's tokens (bisection)."""
-    rest = max(total - sum(c for _, c in known), 1)
-    f = lambda x: sum(c * math.exp(x * s) for s, c in known) + rest * math.exp(x * UNKNOWN) - (rest + sum(c for _, c in known))
-    lo, hi = 1e-3, 3.0
-    if f(hi) < 0:
-        return 1.0
-    for _ in range(60):
-        mid = (lo + hi) / 2
-        lo, hi = (mid, hi) if f(mid) < 0 else (lo, mid)
-    return min(max(lo, 0.6), 1.2)
-
-
-#: Key of the number of CJK letters in the counts.
-CJK_ALL = "\u3000"
-_CJK_RUN = re.compile("[㐀-鿿豈-﫿々぀-ヿ]+|[가-힣]+")
-_WORD = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)*")
+def _telling(bad: int, good: int, share: float) -> bool:
+    """Whether unsafe texts hold a token more often than chance would have it (Chernoff's bound on the binomial tail)."""
+    n = bad + good
+    p = bad / n if n else 0.0
+    if p <= share:
+        return False
+    return n * (p * math.log(p / share) + ((1 - p) * math.log((1 - p) / (1 - share)) if p < 1 else 0.0)) >= CHANCE
 
 
-def count(text: str, known: frozenset[str], into: Counter) -> None:
-    """Adds a text's known words and pairs, and under '' all its words, as they are written (letter case aside), without names as in ``tokens``."""
-    ws = _WORD.findall(_NAME.sub(_unnamed, text).lower())
-    into[""] += len(ws)
-    into.update([w for w in ws if w in known])
-    firsts = _firsts()
-    into.update([p for a, b in zip(ws, ws[1:]) if a in firsts and (p := f"{a} {b}") in known])
-    if not text.isascii():
-        for run in _CJK_RUN.findall(_IN_CJK.sub("", text)):
-            into[CJK_ALL] += len(run)
-            into.update([p for p, own in cjk_scores(run) if own is None])
+def _holds(f: str) -> bool:
+    """Whether a pair or n-gram holds a word of the lexicon that isn't a frame."""
+    lex = lexicon()
+    if f[0] >= "\u3040":
+        return any(lex.grams.get(f[i:j], 2) < 2 for i in range(len(f)) for j in range(i + 2, len(f) + 1) if j - i < len(f))
+    return " " in f and any(lex.grade(w) in (0, 1) for w in f.split())
 
 
-@lru_cache(maxsize=1)
-def _firsts() -> frozenset[str]:
-    return frozenset(w.split()[0] for f in features() for w in f if " " in w)
+def learn(rated: list[tuple[str, float]]) -> tuple[Vocabulary, Counter]:
+    """(vocabulary, tokens of abusive passages) from texts with their mean ratings.
 
-
-def train(docs: DataFrame, text: str = "text") -> Weights:
-    """Counts of the known words and pairs over all documents (at most a few thousand keys reach the driver)."""
+    The passage of an unsafe text is its best sentence under the weights; the weights follow from the passages: a few turns of
+    each. Raters err, so a sentence without any evidence teaches nothing, nor does a token of fewer than ``TAUGHT`` passages.
+    """
+    docs = [(tokens(t), y) for t, y in rated if t]
+    lex = lexicon()
+    safe, unsafe = Counter(), Counter()
+    for rows, y in docs:
+        (unsafe if y >= 0.5 else safe).update({f for row in rows for f in features(row)})
+    share = max(sum(y >= 0.5 for _, y in docs), 1) / max(len(docs), 1)
+    weights = Weights(Vocabulary([]), Counter(), Counter())
+    bad: Counter = Counter()
+    for turn in range(4):
+        picked, rest = [], []
+        for rows, y in docs:
+            best = [max((s for _, _, s in maximal(weights.scores(row))), default=0.0) for row in rows]
+            top = max(best, default=0.0)
+            for row, s in zip(rows, best):
+                (picked if y >= 0.5 and s >= 2.0 and (s == top or s >= 4.0) else rest).append(row)
+        seen, plain = Counter(), Counter()
+        for row in picked:
+            seen.update(set(features(row)))
+        for row in rest:
+            plain.update(features(row))
+        ratio = max(len(picked), 1) / max(len(rest), 1)
+        # a picked sentence may be an ordinary one, but then texts that raters let pass hold it as often
+        learned = [f for f, n in seen.items() if n >= TAUGHT and lex.grade(f) is None and _odds(n, plain[f] * ratio) > 0.7 and _telling(unsafe[f], safe[f], share)]
+        # what disarms a word of the lexicon: pairs and n-grams around it that raters let pass
+        learned += [f for f, n in plain.items() if n >= TAUGHT and n * ratio > 4 * seen[f] + 0.2 and lex.grade(f) is None and _holds(f)]
+        vocabulary = Vocabulary(learned)
+        bad, background = Counter(), Counter()
+        for row in picked:
+            vocabulary.count(row, bad)
+        for row in rest:
+            vocabulary.count(row, background)
+        weights = Weights(vocabulary, bad, background)
+    return vocabulary, bad
+
+
+def ratings(docs: DataFrame, rated: DataFrame, limit: int = RATED) -> list[tuple[str, float]]:
+    """(text, mean rating) of about ``limit`` rated documents; null ratings say nothing."""
+    mean = rated.where("unsafe is not null and doc_id is not null").groupBy("doc_id").agg(F.avg("unsafe").alias("y"))
+    some = hash_sample(mean, "doc_id", limit)
+    return [(r.text, r.y) for r in docs.select("doc_id", "text").where("text is not null").join(some, "doc_id").collect()]
+
+
+def train(docs: DataFrame, rated: DataFrame | None = None) -> Weights:
+    """docs(doc_id, text), rated(doc_id, unsafe) → weights: a bounded sample of ratings, the known tokens counted over all documents."""
+    vocabulary, bad = learn(ratings(docs, rated) if rated is not None else [])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = frozenset(features()[0]) | frozenset(features()[1])
         c: Counter = Counter()
         for b in batches:
             for t in b.column(0).to_pylist():
-                count(t, known, c)
+                for row in tokens(t):
+                    vocabulary.count(row, c)
         yield pa.RecordBatch.from_arrays([pa.array(c.keys(), pa.string()), pa.array(c.values(), pa.int64())], names=["w", "n"])
 
-    rows = docs.select(text).where(F.col(text).isNotNull()).mapInArrow(work, "w string, n bigint").groupBy("w").agg(F.sum("n").alias("n")).collect()
-    counts = {r.w: r.n for r in rows}
-    return weigh({w: n for w, n in counts.items() if w}, counts.get("", 0))
+    rows = docs.select("text").where(F.col("text").isNotNull()).mapInArrow(work, "w string, n bigint").groupBy("w").agg(F.sum("n").alias("n")).collect()
+    return Weights(vocabulary, bad, Counter({r.w: r.n for r in rows}))
 
 
-def score(docs: DataFrame, weights: Weights, keep: list[str] | None = None) -> DataFrame:
-    """docs(doc_id, text) → (doc_id, the columns of ``keep``, score, passages), one row per document."""
+def scan(docs: DataFrame, weights: Weights, keep: list[str] | None = None) -> DataFrame:
+    """docs(doc_id, text) → (doc_id, the columns of ``keep``, words, latin, cjk): the scores of each text's segments."""
     held = docs.sparkSession.sparkContext.broadcast(weights)
     own = docs.select("doc_id", *(keep or []), "text")
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in own.schema.fields[:-1])
@@ -403,7 +477,64 @@ def score(docs: DataFrame, weights: Weights, keep: list[str] | None = None) -> D
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         w = held.value
         for b in batches:
-            got = [w.scan(t) for t in b.column(b.num_columns - 1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array([g[0] for g in got], pa.float64()), pa.array([len(g[2]) for g in got], pa.int64())], names=[*b.schema.names[:-1], "score", "passages"])
+            n, latin, cjk = zip(*(w.scan(t) for t in b.column(b.num_columns - 1).to_pylist())) if b.num_rows else ((), (), ())
+            kind = pa.list_(pa.float64())
+            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(n, pa.int64()), pa.array(latin, kind), pa.array(cjk, kind)], names=[*b.schema.names[:-1], "words", "latin", "cjk"])
+
+    return own.mapInArrow(work, f"{kinds}, words bigint, latin array<double>, cjk array<double>")
 
-    return own.mapInArrow(work, f"{kinds}, score double, passages bigint")
+
+def calibrate(bins: dict[float, int], texts: int, words: int) -> tuple[float, float]:
+    """(lambda, K) of the extreme-value law, from the numbers of segments by score (lower ends of bins of ``BIN``).
+
+    What lies below the limit is unflagged: an exponential cut off there is fit to it by maximum likelihood, with ``PRIOR`` as
+    what was seen before; the limit of a text of mean length follows from the fit, and so on in turns.
+    """
+    seen, lam0, per = PRIOR
+    mean = words / max(texts, 1) or 1.0
+    limit, lam, k = TAIL + 4 / lam0, lam0, 1.0
+    for _ in range(20):
+        low = [(s + BIN / 2 - TAIL, n) for s, n in bins.items() if TAIL <= s + BIN / 2 < limit]
+        count, width = sum(n for _, n in low), limit - TAIL
+        held = max(seen, RECUR * count)
+        excess = (sum(x * n for x, n in low) + held / lam0) / (count + held)
+        a, b = 1e-3, 50.0
+        for _ in range(50):  # the mean of an exponential that is cut off falls with lambda
+            lam = (a + b) / 2
+            a, b = (lam, b) if 1 / lam - width / math.expm1(min(lam * width, 700.0)) > excess else (a, lam)
+        k = (count + seen) / (words + seen * per) * math.exp(lam * TAIL)
+        limit = min(limit, max(threshold(mean, lam, k), TAIL + 2 * BIN))
+    return lam, k
+
+
+#: Width of the bins of scores.
+BIN = 0.1
+
+
+def threshold(words: float, lam: float, k: float) -> float:
+    """Score from which K n exp(-lambda S) falls under the expected number of false segments."""
+    return math.log(max(k * max(words, SHORTEST) / EXPECTED, 1.0)) / lam
+
+
+def score(docs: DataFrame, weights: Weights, keep: list[str] | None = None) -> DataFrame:
+    """docs(doc_id, text) → (doc_id, the columns of ``keep``, score, passages), one row per document."""
+    rows = checkpointed(scan(docs, weights, keep))
+    size = rows.agg(F.count("*").alias("texts"), F.sum("words").alias("words")).first()
+    each = rows.select(F.explode(F.concat(F.transform("latin", lambda s: F.struct(F.lit(False).alias("cjk"), s.alias("s"))), F.transform("cjk", lambda s: F.struct(F.lit(True).alias("cjk"), s.alias("s"))))).alias("x"))
+    bins = each.groupBy("x.cjk", F.floor(F.col("x.s") / BIN).alias("b")).agg(F.count("*").alias("n")).collect()  # a row for each bin
+    need = {}
+    for cjk in (False, True):
+        lam, k = calibrate({r.b * BIN: r.n for r in bins if r.cjk == cjk}, size.texts, size.words or 0)
+        need[cjk] = F.greatest(F.log(k * F.greatest("words", F.lit(SHORTEST)) / EXPECTED), F.lit(0.0)) / lam
+    over = lambda c, cjk: F.size(F.filter(c, lambda s: s >= need[cjk]))
+    best = F.greatest(F.coalesce(F.array_max("latin"), F.lit(0.0)), F.coalesce(F.array_max("cjk"), F.lit(0.0)))
+    return rows.select("doc_id", *(keep or []), best.alias("score"), (over("latin", False) + over("cjk", True)).cast("bigint").alias("passages"))
+
+
+def rates(scored: DataFrame, z: float = 1.96) -> DataFrame:
+    """scored(source, passages) → (source, documents, flagged, rate, low, high) with Wilson's interval of the rate."""
+    n, k = F.col("documents"), F.col("flagged")
+    p = k / n
+    mid, half = (p + z * z / (2 * n)) / (1 + z * z / n), z * F.sqrt(p * (1 - p) / n + z * z / (4 * n * n)) / (1 + z * z / n)
+    by = scored.groupBy("source").agg(F.count("*").alias("documents"), F.count_if(F.col("passages") > 0).alias("flagged"))
+    return by.select("source", "documents", "flagged", p.alias("rate"), F.greatest(mid - half, F.lit(0.0)).alias("low"), F.least(mid + half, F.lit(1.0)).alias("high"))

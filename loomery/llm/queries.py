@@ -105,26 +105,23 @@ def p9_scrubbed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks.scrub(spread(table(spark, sf_dir, "documents").select("doc_id", "text")), table(spark, sf_dir, "eval_item"))
 
 
-def _scored(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    docs = table(spark, sf_dir, "documents")
-    texts = spread(docs.select("doc_id", "text", "source"))
-    return docs, abuse.score(texts, abuse.train(texts))
+def _scored(spark: SparkSession, sf_dir: str, keep: list[str] | None = None) -> DataFrame:
+    texts = spread(table(spark, sf_dir, "documents").select("doc_id", "text", *(keep or [])))
+    return abuse.score(texts, abuse.train(texts, table(spark, sf_dir, "doc_rating")), keep)
 
 
 def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _scored(spark, sf_dir)[1].where("passages > 0").select("doc_id")
+    return _scored(spark, sf_dir).where("passages > 0").select("doc_id")
 
 
 def p10_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Score and number of significant passages of every document."""
-    return _scored(spark, sf_dir)[1]
+    return _scored(spark, sf_dir)
 
 
 def p10_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per source: documents, those with a significant passage, and their share."""
-    texts = spread(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
-    rows = abuse.score(texts, abuse.train(texts), ["source"])
-    return rows.groupBy("source").agg(F.count("*").alias("documents"), F.count_if(F.col("passages") > 0).alias("flagged")).withColumn("rate", F.col("flagged") / F.col("documents"))
+    """Per source: documents, those with a significant passage, their share and its 95 % interval."""
+    return abuse.rates(_scored(spark, sf_dir, ["source"]))
 
 
 QUERIES = {

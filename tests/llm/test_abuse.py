@@ -1,6 +1,9 @@
 """Abusive passages."""
 
+import math
+import pickle
 import random
+from collections import Counter
 
 import pytest
 
@@ -8,30 +11,96 @@ from loomery.llm import abuse
 
 
 @pytest.fixture(scope="module")
-def weights(sf_dir):
+def model(sf_dir):
+    """Weights and limits from the small tables, as the query fits them."""
     import duckdb
-    from collections import Counter
 
-    known, c = frozenset(abuse.features()[0]) | frozenset(abuse.features()[1]), Counter()
-    for (t,) in duckdb.connect().execute(f"SELECT text FROM '{sf_dir}/documents.parquet' WHERE text IS NOT NULL").fetchall():
-        abuse.count(t, known, c)
-    n = c.pop("")
-    return abuse.weigh(dict(c), n)
+    con = duckdb.connect()
+    texts = [t for (t,) in con.execute(f"SELECT text FROM '{sf_dir}/../sf0.01/documents.parquet' WHERE text IS NOT NULL").fetchall()]
+    rated = con.execute(f"SELECT text, avg(unsafe) FROM '{sf_dir}/../sf0.01/documents.parquet' JOIN '{sf_dir}/../sf0.01/doc_rating.parquet' USING (doc_id) WHERE unsafe IS NOT NULL AND text IS NOT NULL GROUP BY doc_id, text").fetchall()
+    vocabulary, bad = abuse.learn(rated)
+    counts = Counter()
+    for t in texts:
+        for row in abuse.tokens(t):
+            vocabulary.count(row, counts)
+    w = abuse.Weights(vocabulary, bad, counts)
+    found = [w.scan(t) for t in texts]
+    bins = [Counter(int(s / abuse.BIN) * abuse.BIN for f in found for s in f[1 + k]) for k in (0, 1)]
+    return w, [abuse.calibrate(b, len(texts), sum(f[0] for f in found)) for b in bins]
 
 
-BAD = ["You are a worthless idiot and everybody here despises you.", "y0u stup1d b1+ch, go k1ll yourself", "they are cockroaches and must be driven out!!!", "n***d women having sexxxx, adults only", "NAKED WOMEN STRIPPING ON CAMERA", "你怎么不去死，废*物。", "裸体美女色情 直播，点击就看", "eres un idiota inútil y todos te desprecian", "ferme ta gueule, sale connardddd", "verrecke doch, du Stück Scheiße!", "I hope you die alone, moronnnn."]
-GOOD = [None, "", "  ", "You can see the comet with the naked eye from the tower.", "Of either sex, the keepers must pass the same test.", "I made a stupid mistake and closed the tab.", "The bitch had three puppies in the barn.", "The hunters kill the dragon before noon and sell the skin.", "Mit nacktem Auge sieht man den Kometen.", "Se ve a simple vista, al desnudo y sin lentes.", "请勿发布辱骂和色情内容，违者删除。", "Comments with insults or hate are removed by the moderators.", "Mon puits creux vient de Puta Ziji", "猎人在中午之前杀死了恶龙"]
+def flagged(model, text):
+    w, limits = model
+    n, latin, cjk = w.scan(text)
+    return any(s >= abuse.threshold(n, *limits[k]) for k, part in enumerate((latin, cjk)) for s in part)
+
+
+# none of these stands in the test tables
+BAD = ["You absolute moron, nobody will ever read your trash.", "Those immigrants are filthy vermin, drown them all!!!", "F*ck off you stup1d b*tch", "watch horny girls, xxx clips, n4k3d and uncensored", "Du widerliches Stück Dreck, du Hurensohn", "Eres una puta y tu madre también", "Ferme ta gueule, gros conna*rd", "Ты жалкое ничтожество, сдохни", "你这个没用的畜生，我要杀了你全家。", "色情无码，裸*体巨乳", "お前みたいなクズは死ね", "너 같은 쓰레기 새끼는 그냥 죽어버려 병신아", "Worthless Scumbag", "Verdammter Hurensohn"]
+GOOD = [None, "", "  ", "The clinic offers free screening for breast cancer to women over fifty.", "The soldier was killed in the battle and buried at home.", "Kill the process before you restart the server.", "I felt so stupid after losing my keys again.", "Garbage is collected on Mondays and recycling on Fridays.", "El perro se comió la basura otra vez.", "La chatte a eu quatre chatons hier soir.", "垃圾分类从下周开始实行。", "Mon puits creux vient de Puta Ziji"]
+AROUND = "The art is clean and every panel gives the kite room to breathe. "
 
 
 @pytest.mark.parametrize("t", BAD)
-def test_bad(weights, t):
-    around = "The art is clean and every panel gives the kite room to breathe. "
-    assert weights.scan(around + t + " " + around)[2]
+def test_bad(model, t):
+    assert flagged(model, AROUND + t + " " + AROUND)
 
 
 @pytest.mark.parametrize("t", GOOD)
-def test_good(weights, t):
-    assert not weights.scan(t)[2]
+def test_good(model, t):
+    assert not flagged(model, t)
+
+
+def test_lexicon_holds_no_sentences():
+    x = abuse.lexicon()
+    assert max(len(f.split()) for f in x.words) <= 3 and max(map(len, x.grams)) <= 6
+
+
+def test_ratings_teach_words_the_lexicon_lacks():
+    r = random.Random(1)
+    words = [f"w{i}" for i in range(300)]
+    plain = lambda: " ".join(r.choices(words, k=30)) + ". "
+    rated = [(plain() + "you are a moronic zorblat indeed, you asshole. " + plain(), 1.0) for _ in range(20)] + [(plain() + plain(), 0.0) for _ in range(60)] + [(plain(), 1.0) for _ in range(5)]
+    vocabulary, bad = abuse.learn(rated)
+    assert "zorblat" in vocabulary.learned and not set(words) & set(vocabulary.learned)
+    counts = Counter()
+    for t, _ in rated:
+        for row in abuse.tokens(t):
+            vocabulary.count(row, counts)
+    w = abuse.Weights(vocabulary, bad, counts)
+    assert w.odds["zorblat"] > 0 and pickle.loads(pickle.dumps(w)).scores(["zorblat"]) == w.scores(["zorblat"])
+
+
+def test_calibration_recovers_the_law():
+    r = random.Random(2)
+    texts, words, lam = 20_000, 2_000_000, abuse.PRIOR[1]
+    bins = Counter()
+    for _ in range(3000):
+        bins[int((abuse.TAIL + r.expovariate(lam)) / abuse.BIN) * abuse.BIN] += 1
+    for _ in range(400):
+        bins[int(r.uniform(8, 14) / abuse.BIN) * abuse.BIN] += 1
+    got, k = abuse.calibrate(bins, texts, words)
+    assert abs(got - lam) < 0.2 and abs(k * math.exp(-got * abuse.TAIL) * words - 3000) < 300
+    assert abuse.threshold(100, got, k) < abuse.threshold(10_000, got, k)
+
+
+def test_held_out_ratings(sf_dir):
+    """Fit on one half of the rated documents of the large table, judged by the other: two raters of one mind decide."""
+    import duckdb
+
+    con, d = duckdb.connect(), f"{sf_dir}/../sf0.1"
+    rated = con.execute(f"SELECT text, avg(unsafe), count(*), doc_id FROM '{d}/documents.parquet' JOIN '{d}/doc_rating.parquet' USING (doc_id) WHERE unsafe IS NOT NULL AND text IS NOT NULL GROUP BY doc_id, text").fetchall()
+    vocabulary, bad = abuse.learn([r[:2] for r in rated if r[3] % 2])
+    texts, counts = [t for (t,) in con.execute(f"SELECT text FROM '{d}/documents.parquet' WHERE text IS NOT NULL AND doc_id % 10 = 0").fetchall()], Counter()
+    for t in texts:
+        for row in abuse.tokens(t):
+            vocabulary.count(row, counts)
+    w = abuse.Weights(vocabulary, bad, counts)
+    found = [w.scan(t) for t in texts]
+    limits = [abuse.calibrate(Counter(int(s / abuse.BIN) * abuse.BIN for f in found for s in f[1 + k]), len(texts), sum(f[0] for f in found)) for k in (0, 1)]
+    sure = [(flagged((w, limits), t), y) for t, y, n, i in rated if not i % 2 and n > 1 and y in (0, 1)]
+    yes, no = [f for f, y in sure if y], [f for f, y in sure if not y]
+    assert len(yes) > 10 and sum(yes) / len(yes) > 0.85 and sum(no) / len(no) < 0.1
 
 
 def test_maximal_segments_equal_definition():
@@ -59,44 +128,24 @@ def test_maximal_segments_in_linear_time():
         assert time.time() - began < 10
 
 
-def test_long_text_is_scanned_whole(weights):
-    text = "The site lists many chapters and the last three are sketches. " * 3000 + BAD[0]
-    assert weights.scan(text)[2]
-
-
-def test_scores_and_empty_tables(spark, weights):
-    df = spark.createDataFrame([(1, BAD[0], "s", 0.5), (2, None, "s", 0.5), (3, "", None, 0.5), (1, BAD[0], "s", 0.5)], "doc_id long, text string, source string, score double")
-    got = abuse.score(df, weights, ["source"]).collect()
-    assert sorted((r.doc_id, r.passages > 0) for r in got) == [(1, True), (1, True), (2, False), (3, False)]
-    assert abuse.score(df.limit(0), weights).count() == 0
-    assert abuse.train(df.limit(0)).scan("hello")[2] == []
-
-
-def test_cjk_phrases_have_corpus_log_odds():
-    from collections import Counter
-
-    c = Counter()
-    abuse.count("废物在这里。废物，裸体美女", frozenset(), c)
-    assert (c["废物"], c["裸体美女"], c[abuse.CJK_ALL]) == (2, 1, 11)
-    rare, often = (abuse.weigh({abuse.CJK_ALL: 100_000, "废物": n}, 0) for n in (0, 2000))
-    assert 4.9 < rare.odds["废物"] <= 5 and often.odds["废物"] < 1 < rare.odds["垃圾"] and rare.odds["垃圾桶"] < 0
-    assert rare.odds["裸体美女"] > 9
-
-
-@pytest.mark.parametrize("t", ["裸体美女", "不配活著", "生きる価値", "무수정포르노"])
-def test_one_cjk_phrase_in_a_long_text(weights, t):
-    around = "The site lists many chapters and the last three are sketches. " * 50
-    assert weights.scan(f"{around} {t} {around}")[2]
-
+def test_long_text_is_scanned_whole(model):
+    assert flagged(model, "The site lists many chapters and the last three are sketches. " * 3000 + "Fuck you, you filthy whore, you stupid asshole!")
 
-@pytest.mark.parametrize("t", ["Worthless Scumbag", "Dreckiger Abschaum", "Verdammter Hurensohn", "So ein Verdammter Hurensohn", "WORTHLESS Scumbag", "Filthy Sc*mbag", "Verdammte Hure"])
-def test_title_case_hides_nothing(weights, t):
-    assert weights.scan(f"The kite has room to breathe. {t}! The art is clean.")[2]
 
+def test_scores_and_empty_tables(spark, model):
+    w = model[0]
+    df = spark.createDataFrame([(1, BAD[1], "s", 0.5), (2, None, "s", 0.5), (3, "", None, 0.5), (1, BAD[1], "s", 0.5)], "doc_id long, text string, source string, score double")
+    got = abuse.score(df, w, ["source"])
+    assert sorted((r.doc_id, r.passages > 0) for r in got.collect()) == [(1, True), (1, True), (2, False), (3, False)]
+    assert {(r.source, r.documents, r.flagged, r.low < r.rate < r.high or r.rate == 0) for r in abuse.rates(got).collect()} == {("s", 3, 2, True), (None, 1, 0, True)}
+    assert abuse.score(df.limit(0), w).count() == 0
+    rated = spark.createDataFrame([(1, 1), (2, None), (None, 1), (9, 1)], "doc_id long, unsafe int")
+    assert abuse.ratings(df, rated) == [(BAD[1], 1.0)] * 2
+    assert abuse.train(df.limit(0), rated.limit(0)).scan("hello") == (1, [], [])
 
-def test_counts_and_scan_mask_the_same_names():
-    from collections import Counter
 
-    c = Counter()
-    abuse.count("A letter by Puta Ziji. Dreckiger Abschaum lebt hier.", frozenset(["puta", "abschaum"]), c)
-    assert c["puta"] == 0 and c["abschaum"] == 1
+def test_counts_and_scan_take_the_same_tokens():
+    v, c = abuse.Vocabulary([]), Counter()
+    for row in abuse.tokens("A letter by Puta Ziji. Dreckiger Abschaum lebt hier. 你这个没用的畜生"):
+        v.count(row, c)
+    assert c["puta"] == 0 and c["abschaum"] == 1 and c["畜生"] == 1 and c[abuse.CJK_ALL] == 8

@@ -11,6 +11,7 @@ TABLES = {
     "candidate": "ordinal bigint, run_id bigint, url string, title string, snippet string, engine string, lang string, found_at timestamp_ntz, ingested_at timestamp_ntz",
     "rulebot_report": "report_id bigint, run_id bigint, lang string, received_at timestamp_ntz, body string",
     "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint, doc_type string, page_url string, written_at timestamp_ntz, crawled_at timestamp_ntz",
+    "doc_rating": "doc_id bigint, rater string, unsafe int, note string",
     "eval_item": "item_id bigint, lang string, task string, text string",
 }
 P = {**Q.QUERIES, **{n: f for n, f in C.QUERIES.items() if n.startswith("p5_")}}
@@ -44,6 +45,8 @@ def odd(spark, tmp_path_factory):
             return [(i + 1, None, None, None, v, *x) for i, v in enumerate([*values, '{"generated": [{}]}', '{"generated": [{}]}'])]
         if name == "documents":
             return [(i + 1, v, None, None, None, None, None, None, None, *x) for i, v in enumerate(values)]
+        if name == "doc_rating":
+            return [(None, None, 1, None, *x), (4, None, None, None, *x), (8, "r", 0, None, *x), (8, "r", 0, None, *x), (99, "r", 1, "x", *x)]
         return [(i + 1, None, None, v, *x) for i, v in enumerate(values)]
 
     return write(spark, tmp_path_factory.mktemp("odd"), rows)
