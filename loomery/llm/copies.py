@@ -5,8 +5,11 @@ A title is cut into parts, each part keeps its letters with their marks and its
 are aggregated with map-side combining; a second hash of the spelling checks for collisions: it is part
 of the key, so spellings that share a 128-bit hash stay apart (and are reported by ``collisions``).
 
+Copies are found by joining the digests with the groups. Groups of more than a 1/``HEAVY`` part of the rows are fewer than
+``HEAVY``, so they are broadcast and their rows stay where they are; no other group is large.
+
 Defined results: titles without a letter or digit, null and empty ones are left out; redelivered rows are
-copies; a group of any size is aggregated in partials, never held by one task.
+copies; a group of any size is aggregated in partials, and its copies come out of the tasks that read them.
 """
 
 from __future__ import annotations
@@ -19,6 +22,10 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..runtime import checkpointed
+
+#: Most groups that are broadcast (40 bytes each), and copies from which a group may be one.
+HEAVY, LEAST = 20_000, 1000
 _SPLIT = r"[|_/]|(?<=[\s\p{Z}])[\p{Pd}−](?=[\s\p{Z}])"
 
 
@@ -63,25 +70,32 @@ def _digest() -> Column:
     return F.unhex(F.md5(F.concat_ws("\u0001", "src", F.coalesce(F.col("run_id").cast("string"), F.lit("-")), "canon")))
 
 
-def groups(rows: DataFrame) -> DataFrame:
+def groups(digests: DataFrame) -> DataFrame:
     """(h, check, src, run_id, first_id, copies), one row per group of copies.
 
     Grouping by both hashes keeps spellings apart that collide in one; only numbers and digests are shuffled.
     """
-    return hashed(rows).groupBy("h", "check").agg(F.min("src").alias("src"), F.min("run_id").alias("run_id"), F.min("row_id").alias("first_id"), F.count("*").alias("copies"))
+    return digests.groupBy("h", "check").agg(F.min("src").alias("src"), F.min("run_id").alias("run_id"), F.min("row_id").alias("first_id"), F.count("*").alias("copies"))
 
 
 def collisions(rows: DataFrame) -> DataFrame:
     """(h, spellings) of the 128-bit hashes that stand for more than one spelling."""
-    return groups(rows).groupBy("h").agg(F.count("*").alias("spellings")).where("spellings > 1")
+    return groups(hashed(rows)).groupBy("h").agg(F.count("*").alias("spellings")).where("spellings > 1")
 
 
 def counts(rows: DataFrame) -> DataFrame:
     """(src, run_id, first_id, copies), one row per group of copies."""
-    return groups(rows).select("src", "run_id", "first_id", "copies")
+    return groups(hashed(rows)).select("src", "run_id", "first_id", "copies")
 
 
-def find(rows: DataFrame) -> DataFrame:
+def find(rows: DataFrame, heavy: int = HEAVY, least: int = LEAST) -> DataFrame:
     """(src, first_id, row_id): one row per copy beside the first of its group."""
-    several = groups(rows).where("copies > 1").select("h", "check", "first_id")
-    return hashed(rows).select("src", "row_id", "h", "check").join(several, ["h", "check"]).where("row_id <> first_id").select("src", "first_id", "row_id")
+    digests = checkpointed(hashed(rows).select("src", "run_id", "row_id", "h", "check"))  # titles are read and canonicalized once
+    limit = max(least, digests.count() // heavy)
+    several = groups(digests).where("copies > 1").select("h", "check", "first_id", "copies")
+    big = several.where(F.col("copies") > limit).drop("copies")
+    small = several.where(F.col("copies") <= limit).drop("copies")
+    near = digests.join(F.broadcast(big), ["h", "check"])
+    far = digests.join(F.broadcast(big.select("h", "check")), ["h", "check"], "left_anti").join(small, ["h", "check"])
+    pick = lambda df: df.where("row_id <> first_id").select("src", "first_id", "row_id")
+    return pick(near).unionByName(pick(far))

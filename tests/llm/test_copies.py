@@ -29,3 +29,20 @@ def test_hash_collision_is_told_apart(spark, monkeypatch):
 
 def test_empty(spark):
     assert copies.find(copies.titles(spark.createDataFrame([], PAGES), spark.createDataFrame([], HITS))).count() == 0
+
+
+def test_title_of_half_the_rows_stays_spread(spark):
+    from collections import Counter
+
+    from pyspark.sql import functions as F
+
+    p = spark.range(40_000, numPartitions=8).selectExpr("id as audit_id", "1L as run_id", "if(id % 2 = 0, 'Same Title', concat('t', id div 4)) as detail_title", "'' as first_chapter_title")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = copies.find(copies.titles(p, spark.createDataFrame([], HITS)), heavy=10, least=100)
+        rows = found.where("first_id = 0").select(F.spark_partition_id().alias("t")).collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    sizes = sorted(Counter(r.t for r in rows).values())
+    assert len(rows) == 19_999 and sizes[-1] <= 2 * sizes[len(sizes) // 2]
+    assert found.count() == 19_999 + 10_000
