@@ -6,9 +6,10 @@ BPE Tokenization DFA", 2024). It starts with one state that loops on all bytes.
 to every state that still has arc a, and lets it lead where b's arc led. After all merges the paths of
 the automaton are exactly the right tokenizations, one for each byte string.
 
-A state is the class of what may follow a token, so it is named by that token; gadgets are kept as
-dated tables (the arc each merge removed, the arcs and state each new token was copied from), and a cell
-of the transition table is resolved from them once and then read from the table. Encoding walks a
+A state is the class of what may follow a token, so it is named by that token. Tokens are numbered in preorder of the forest of
+left parts, latest merge first: an arc that a gadget takes away is then missing together with one range of numbers (itself and
+what was copied from it later), so a state's row of the transition table is a short list of ranges of closed arcs. The
+rows are compiled once on the driver, completely, equal rows once, and broadcast. Encoding walks a
 pre-split word from left to right: each reachable position holds the last token of its only right
 tokenization, and the tokens that the trie finds there move it on where the table allows; ids are
 read off backwards. Decoding emits the arc labels (bytes) of the ids.
@@ -20,9 +21,12 @@ very long texts and words are encoded whole, in time linear in their bytes times
 from __future__ import annotations
 
 import json
+from array import array
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -30,8 +34,8 @@ from pyspark.sql import functions as F
 
 #: Splits a text before the merges, as published with the vocabulary.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-#: Most words and table cells a worker remembers.
-WORD_CACHE, CELL_CACHE = 100_000, 500_000
+#: Most words a worker remembers.
+WORD_CACHE = 100_000
 #: Texts encoded at once.
 ROWS = 500
 
@@ -54,63 +58,111 @@ def vocabulary(path: str | None = None) -> bytes:
         return f.read()
 
 
-class Automaton:
+class Table:
+    """The compiled automaton: labels of the tokens and, by state, the ranges of closed arcs."""
+
     def __init__(self, blob: bytes):
         model = json.loads(blob)["model"]
         letters = byte_letters()
         ids = model["vocab"]
         self.label: dict[int, bytes] = {i: bytes(letters[c] for c in t) for t, i in ids.items() if all(c in letters for c in t)}
-        self.start = 0  # no token yet: every arc is open
         size = max(ids.values()) + 1
-        self.step = [0] * size  # the gadget that made the token; bytes have 0
-        self.left, self.right = [0] * size, [0] * size
-        self.removed: dict[int, int] = {}  # (a, b) -> the gadget that took arc b from the state behind a
-        self.merged: set[int] = {i for i, b in self.label.items() if len(b) == 1}
-        self.size = size
+        step, left, right = [0] * size, [-1] * size, [-1] * size  # the gadget that made a token, and from what; bytes have 0
+        taken: list[dict[int, int]] = [{} for _ in range(size)]  # by state, the arcs that gadgets took from it, in turn
+        kids: list[list[int]] = [[] for _ in range(size)]  # tokens whose arcs were copied from a token's
+        self.tokens = [i for i, b in self.label.items() if len(b) == 1]
         for k, pair in enumerate(model["merges"], 1):
-            a, b = (pair.split(" ") if isinstance(pair, str) else pair)
-            self.gadget(k, ids[a], ids[b], ids[a + b])
+            x, y = pair.split(" ") if isinstance(pair, str) else pair
+            a, b, c = ids[x], ids[y], ids[x + y]
+            # the gadget: arc b leaves the state behind a; c copies a's arcs in and the state that b leads to
+            taken[a].setdefault(b, k)
+            step[c], left[c], right[c] = k, a, b
+            kids[a].append(c)
+            self.tokens.append(c)
+        self.place, end = self._number(kids, [t for t in self.tokens if left[t] < 0], size)
+        # an arc taken at k is closed with its copies of k and later, which are numbered next to it
+        own = [[(k, self.place[b], self._end(self.place[b], kids[b], step, end, k)) for b, k in arcs.items()] for arcs in taken]
+        self.row = np.zeros(size, np.int32)  # the row of each state
+        rows: dict[tuple, int] = {}
+        spans: list[list[tuple[int, int]]] = []
+        base: list[list[tuple[int, int]]] = [[] for _ in range(size)]
+        for t in self.tokens:  # in the order of their gadgets
+            key: tuple = (t,)
+            if right[t] >= 0:
+                r = right[t]
+                n = bisect_left(own[r], (step[t],))
+                base[t] = base[r] + [(a, b) for _, a, b in own[r][:n]]
+                if not own[t]:
+                    key = (r, n)
+            if key not in rows:
+                rows[key] = len(spans)
+                spans.append(self._joined(base[t] + [(a, b) for _, a, b in own[t]]))
+            self.row[t] = rows[key]
+        self.first = np.cumsum([0, *map(len, spans)]).astype(np.int64)  # where a row's ranges begin
+        self.opens = np.array([a for s in spans for a, _ in s], np.int32)
+        self.closes = np.array([b for s in spans for _, b in s], np.int32)
+
+    @staticmethod
+    def _number(kids: list[list[int]], roots: list[int], size: int) -> tuple[np.ndarray, list[int]]:
+        """Preorder places, children latest first, and the place behind each token's last descendant."""
+        place, end, n = np.zeros(size, np.int32), [0] * size, 0
+        stack = [(t, False) for t in roots]
+        while stack:
+            t, done = stack.pop()
+            if done:
+                end[t] = n
+                continue
+            place[t] = n
+            n += 1
+            stack.append((t, True))
+            stack += [(c, False) for c in kids[t]]  # made in turn, so the latest is taken first
+        return place, end
+
+    @staticmethod
+    def _end(start: int, kids: list[int], step: list[int], end: list[int], k: int) -> int:
+        i = bisect_left(kids, k, key=step.__getitem__)
+        return end[kids[i]] if i < len(kids) else int(start) + 1
+
+    @staticmethod
+    def _joined(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+        out: list[tuple[int, int]] = []
+        for a, b in sorted(spans):
+            if out and a <= out[-1][1]:
+                if b > out[-1][1]:
+                    out[-1] = (out[-1][0], b)
+            else:
+                out.append((int(a), int(b)))
+        return out
+
+
+class Automaton:
+    """A compiled table at work: the trie of the labels, and the words met so far."""
+
+    def __init__(self, table: Table):
+        self.label, self.place, self.row, self.first = table.label, table.place.tolist(), table.row.tolist(), table.first.tolist()
+        self.opens, self.closes = array("i", table.opens.tobytes()), array("i", table.closes.tobytes())
         self.trie: dict = {}
-        for i in self.merged:
+        for i in table.tokens:
             node = self.trie
             for byte in self.label[i]:
                 node = node.setdefault(byte, {})
             node[-1] = i
-        self.cells: dict[int, bool] = {}
         self.words: dict[str, tuple[int, ...]] = {}
         self.split = regex.compile(PATTERN).findall
 
-    def gadget(self, k: int, a: int, b: int, c: int) -> None:
-        """Merge (a, b) -> c, dated k: arc b leaves the state behind a; c copies a's arcs in and b's state behind."""
-        self.removed.setdefault(a * self.size + b, k)
-        self.step[c], self.left[c], self.right[c] = k, a, b
-        self.merged.add(c)
-
     def open(self, t: int, x: int) -> bool:
-        """Whether the state behind t has arc x when all gadgets are applied: follow the copies back in time."""
-        before = 1 << 60  # only gadgets dated earlier count
-        step, size, removed = self.step, self.size, self.removed
-        while True:
-            k = removed.get(t * size + x)
-            if k is not None and k < before:
-                return False
-            st, sx = step[t], step[x]
-            if st == sx == 0:
-                return True
-            if st >= sx:  # t's state was copied from its right part's, before its own gadget took an arc
-                before, t2 = st, self.right[t]
-                if st == sx:
-                    x = self.left[x]
-                t = t2
-            else:  # arc x was copied from its left part's arc, after its gadget took one
-                before, x = sx + 1, self.left[x]
+        """Whether the state behind t has arc x."""
+        r, p = self.row[t], self.place[x]
+        lo = self.first[r]
+        i = bisect_right(self.opens, p, lo, self.first[r + 1])
+        return i == lo or self.closes[i - 1] <= p
 
     def encode_word(self, word: bytes) -> tuple[int, ...]:
         n = len(word)
         if n == 1:
             return (self.trie[word[0]][-1],)
         last = [-1] * (n + 1)
-        trie, cells, size = self.trie, self.cells, self.size
+        trie = self.trie
         reach = [False] * (n + 1)
         reach[0] = True
         for i in range(n):
@@ -124,17 +176,7 @@ class Automaton:
                 j += 1
                 x = node.get(-1)
                 if x is not None and not reach[j]:
-                    if t < 0:
-                        ok = True
-                    else:
-                        cell = t * size + x
-                        ok = cells.get(cell)
-                        if ok is None:
-                            ok = self.open(t, x)
-                            if len(cells) >= CELL_CACHE:
-                                cells.clear()
-                            cells[cell] = ok
-                    if ok:
+                    if t < 0 or self.open(t, x):
                         reach[j], last[j] = True, x
         out, j = [], n
         while j:
@@ -160,20 +202,22 @@ class Automaton:
         return b"".join(self.label[i] for i in ids).decode("utf-8", "replace")
 
 
-_built: dict[int, Automaton] = {}
+@lru_cache(maxsize=2)
+def compiled(path: str | None = None) -> Table:
+    """The table of a vocabulary file, compiled once by the driver."""
+    return Table(vocabulary(path))
 
 
-def automaton(blob: bytes) -> Automaton:
-    """One automaton per worker process and vocabulary."""
-    key = hash(blob)
-    if key not in _built:
-        _built[key] = Automaton(blob)
-    return _built[key]
+def automaton(table: Table) -> Automaton:
+    """One automaton per worker process and broadcast table."""
+    if not hasattr(table, "at_work"):
+        table.at_work = Automaton(table)
+    return table.at_work
 
 
 def encode(docs: DataFrame, key: str, text: str, path: str | None = None) -> DataFrame:
     """(key, ids) of every row."""
-    held = docs.sparkSession.sparkContext.broadcast(vocabulary(path))
+    held = docs.sparkSession.sparkContext.broadcast(compiled(path))
     kind = docs.schema[key].dataType.simpleString()
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -189,7 +233,7 @@ def encode(docs: DataFrame, key: str, text: str, path: str | None = None) -> Dat
 
 def decode(rows: DataFrame, key: str, ids: str, path: str | None = None) -> DataFrame:
     """(key, text) of every row; null stays null."""
-    held = rows.sparkSession.sparkContext.broadcast(vocabulary(path))
+    held = rows.sparkSession.sparkContext.broadcast(compiled(path))
     kind = rows.schema[key].dataType.simpleString()
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

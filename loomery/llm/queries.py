@@ -90,6 +90,12 @@ def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(spread(table(spark, sf_dir, "documents").select("doc_id", "text")), "doc_id", "text")
 
 
+def p8_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text decoded from its ids; null and empty texts come back empty."""
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return bpe.decode(bpe.encode(docs, "doc_id", "text"), "doc_id", "ids")
+
+
 def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks.find(spread(table(spark, sf_dir, "documents").select("doc_id", "text")), table(spark, sf_dir, "eval_item")).select("doc_id", "item_id")
 
@@ -126,7 +132,7 @@ def p10_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (p1_found, p1_plain, p2_found, p3_found, p4_found, p4_counts, p6_found, p6_restored, p7_found, p7_languages, p8_ids, p9_found, p9_items, p9_scrubbed, p10_found, p10_scores, p10_rates)
+    for f in (p1_found, p1_plain, p2_found, p3_found, p4_found, p4_counts, p6_found, p6_restored, p7_found, p7_languages, p8_ids, p8_text, p9_found, p9_items, p9_scrubbed, p10_found, p10_scores, p10_rates)
 }
 
 _CANON = r"""array_to_string(list_sort(list_filter(list_transform(
@@ -142,6 +148,7 @@ _LEAKS = r"""WITH d AS (SELECT doc_id, regexp_extract_all(lower(text), '[\p{L}\p
  f AS (SELECT doc_id, item_id, g FROM dw JOIN iw USING (g) UNION SELECT doc_id, item_id, g FROM dc JOIN ic USING (g))"""
 
 SQL = {
+    "p8_text": "SELECT doc_id, coalesce(text, '') AS text FROM documents",
     "p9_found": _LEAKS + " SELECT DISTINCT doc_id, item_id FROM f",
     "p9_items": _LEAKS + ", n AS (SELECT doc_id, item_id, count(DISTINCT g) AS k FROM f GROUP BY ALL) SELECT item_id, count(*) AS documents, max(k) AS most_windows FROM n GROUP BY item_id",
     "p3_found": r"""

@@ -16,7 +16,7 @@ def pair():
 
     t = tokenizers.Tokenizer.from_file(P.path("byte_bpe_50k.json"))
     t.encode_special_tokens = True
-    return bpe.Automaton(bpe.vocabulary()), t
+    return bpe.Automaton(bpe.compiled()), t
 
 
 TEXTS = ["", " ", "a", "hello world", "<|endoftext|> x", "aaaaaaaaaaaaaaa", "第1话：灯笼", "나와 지도", "don't  stop\n\n now ", "\U0001f469‍\U0001f680", "x" * 20_000, "ÃƒÂ©" * 50]
@@ -45,7 +45,7 @@ def test_gadgets_by_hand():
     import json
 
     vocab = {"a": 0, "b": 1, "ab": 2, "aa": 3, "abab": 4}
-    a = bpe.Automaton(json.dumps({"model": {"vocab": vocab, "merges": ["a b", "a a", "ab ab"]}}).encode())
+    a = bpe.Automaton(bpe.Table(json.dumps({"model": {"vocab": vocab, "merges": ["a b", "a a", "ab ab"]}}).encode()))
 
     def by_merging(word):
         parts = list(word)
@@ -82,3 +82,37 @@ def test_random_bytes_stay_linear(pair):
     a, _ = pair
     word = bytes(random.Random(2).randrange(256) for _ in range(5000))
     assert b"".join(a.label[i] for i in a.encode_word(word)) == word
+
+
+def _merged(text, merges):
+    parts = list(text)
+    for x, y in merges:
+        i, out = 0, []
+        while i < len(parts):
+            if parts[i : i + 2] == [x, y]:
+                out.append(x + y)
+                i += 2
+            else:
+                out.append(parts[i])
+                i += 1
+        parts = out
+    return parts
+
+
+def test_every_cell_of_random_vocabularies():
+    """All pairs of tokens against merging itself: a pair is a path exactly if merging its text gives that pair."""
+    import json
+
+    r = random.Random(5)
+    for _ in range(40):
+        vocab, merges = {c: i for i, c in enumerate("abc")}, []
+        for _ in range(60):
+            x, y = r.choice(list(vocab)), r.choice(list(vocab))
+            if x + y not in vocab and len(x + y) < 9 and _merged(x + y, [*merges, (x, y)]) == [x + y]:
+                vocab[x + y] = len(vocab)
+                merges.append((x, y))
+        a = bpe.Automaton(bpe.Table(json.dumps({"model": {"vocab": vocab, "merges": [list(m) for m in merges]}}).encode()))
+        assert len(vocab) > 8
+        for s in vocab:
+            for t in vocab:
+                assert a.open(vocab[s], vocab[t]) == (_merged(s + t, merges) == [s, t])
