@@ -36,17 +36,29 @@ página no encontrada|no se encontró la página|se produjo un error en el servi
 page introuvable|page non trouvée|la page demandée est introuvable|erreur interne du serveur|erreur du serveur|erreur serveur|une erreur est survenue|une erreur s'est produite|accès refusé|accès interdit|trop de requêtes|service indisponible|réessayez plus tard|chargement en cours|chargement|veuillez patienter|veuillez activer javascript|activez javascript|javascript est désactivé|votre navigateur ne prend pas en charge les scripts|votre titre ici|titre de l'exemple|insérez le titre ici|votre texte ici|sans titre|document sans titre|site en maintenance|compte suspendu
 seite nicht gefunden|die seite wurde nicht gefunden|interner serverfehler|serverfehler|ein fehler ist aufgetreten|zugriff verweigert|zu viele anfragen|dienst nicht verfügbar|bitte versuchen sie es später erneut|wird geladen|lädt|bitte warten|bitte aktivieren sie javascript|bitte javascript aktivieren|javascript aktivieren|ihr browser unterstützt keine skripte|hier steht ihr titel|ihr titel hier|hier steht ihr text|titel einfügen|beispieltitel|ohne titel|unbenanntes dokument|wartungsarbeiten|konto gesperrt|diese domain steht zum verkauf
 страница не найдена|запрашиваемая страница не найдена|внутренняя ошибка сервера|ошибка сервера|произошла ошибка|что-то пошло не так|доступ запрещён|доступ запрещен|слишком много запросов|сервис недоступен|попробуйте позже|повторите попытку позже|загрузка|идёт загрузка|подождите|пожалуйста, подождите|пожалуйста, включите javascript|включите javascript|ваш браузер не поддерживает скрипты|введите заголовок|здесь будет заголовок|заголовок страницы|пример заголовка|без названия|текст-заполнитель|сайт на обслуживании|аккаунт заблокирован
+seite konnte nicht gefunden werden|die seite konnte nicht gefunden werden|diese seite existiert nicht|diese seite existiert nicht mehr|ihre sitzung ist abgelaufen|sitzung abgelaufen|cette page n'existe plus|cette page n'existe pas|page inexistante|votre session a expiré|session expirée|esta página no existe|esta página ya no existe|la página no existe|su sesión ha expirado|sesión caducada|эта страница не существует|страница не существует|сеанс истёк|ваша сессия истекла|your session has expired|session expired|this page no longer exists|this content is no longer available|content unavailable|会话已过期|登录已过期|工作階段已過期|セッションの有効期限が切れました|세션이 만료되었습니다
+página não encontrada|a página não foi encontrada|erro interno do servidor|erro no servidor|ocorreu um erro|acesso negado|tente novamente mais tarde|carregando|aguarde|ative o javascript para continuar|ative o javascript|sem título|sessão expirada|sua sessão expirou|em manutenção|este domínio está à venda
+pagina non trovata|la pagina non è stata trovata|errore interno del server|errore del server|si è verificato un errore|accesso negato|riprova più tardi|caricamento in corso|caricamento|attendere prego|attiva javascript per continuare|attiva javascript|abilita javascript|senza titolo|sessione scaduta|in manutenzione|dominio in vendita
+pagina niet gevonden|interne serverfout|serverfout|er is een fout opgetreden|toegang geweigerd|probeer het later opnieuw|laden|even geduld|schakel javascript in om verder te gaan|schakel javascript in|zonder titel|sessie verlopen|sidan hittades inte|serverfel|ett fel inträffade|åtkomst nekad|aktivera javascript|namnlös|siden ble ikke funnet|siden blev ikke fundet|sivua ei löydy
+strona nie została znaleziona|nie znaleziono strony|błąd serwera|wewnętrzny błąd serwera|wystąpił błąd|odmowa dostępu|brak dostępu|spróbuj ponownie później|ładowanie|proszę czekać|włącz javascript, aby kontynuować|włącz javascript|bez tytułu|sesja wygasła|stránka nenalezena|chyba serveru|přístup odepřen|načítání|az oldal nem található|pagina nu a fost găsită|eroare de server|acces interzis
+sayfa bulunamadı|aradığınız sayfa bulunamadı|sunucu hatası|bir hata oluştu|erişim engellendi|erişim reddedildi|lütfen daha sonra tekrar deneyin|yükleniyor|lütfen bekleyin|devam etmek için javascript'i etkinleştirin|lütfen javascript'i etkinleştirin|javascript'i etkinleştirin|başlıksız|oturumunuzun süresi doldu|bakım çalışması
+không tìm thấy trang|trang không tồn tại|lỗi máy chủ|đã xảy ra lỗi|truy cập bị từ chối|vui lòng thử lại sau|đang tải|vui lòng chờ|vui lòng bật javascript để tiếp tục|vui lòng bật javascript|hãy bật javascript|không có tiêu đề|phiên đã hết hạn|đang bảo trì
+halaman tidak ditemukan|kesalahan server|terjadi kesalahan|akses ditolak|coba lagi nanti|memuat|harap tunggu|aktifkan javascript untuk melanjutkan|aktifkan javascript|tanpa judul|sesi berakhir
+сторінку не знайдено|помилка сервера|сталася помилка|доступ заборонено|спробуйте пізніше|завантаження|зачекайте|увімкніть javascript|без назви|η σελίδα δεν βρέθηκε|σφάλμα διακομιστή|δεν επιτρέπεται η πρόσβαση|φόρτωση|ενεργοποιήστε τη javascript|الصفحة غير موجودة|خطأ في الخادم|حدث خطأ|تم رفض الوصول|جار التحميل|يرجى تفعيل جافا سكريبت|הדף לא נמצא|שגיאת שרת|גישה נדחתה|טוען|ไม่พบหน้านี้|เกิดข้อผิดพลาด|กำลังโหลด|โปรดเปิดใช้งาน javascript|पृष्ठ नहीं मिला|सर्वर त्रुटि|लोड हो रहा है
 """.strip().replace("\n", "|").split("|")
 #: Values that no one set; they count alone or behind a caption.
 UNSET = ["[object object]", "undefined", "null", "nan", "(null)", "none", "nil", "nullptr", "#n/a", "#ref!", "#value!", "#name?"]
 #: Words of captions: neither part of a message nor of anything else.
-CAPTIONS = ["chapter", "chap.", "ch.", "episode", "ep.", "volume", "vol.", "part", "no.", "read", "kapitel", "folge", "lesen", "chapitre", "épisode", "lire le", "capítulo", "episodio", "leer el", "глава", "серия", "читать", "главу", "第", "话", "話", "章", "回", "제", "화", "error on this server", "title", "name"]
+CAPTIONS = ["chapter", "chap.", "ch.", "episode", "ep.", "volume", "vol.", "part", "no.", "read", "kapitel", "folge", "lesen", "chapitre", "épisode", "lire le", "capítulo", "episodio", "leer el", "глава", "серия", "читать", "главу", "第", "话", "話", "章", "回", "제", "화", "title", "name"]
 
+#: Of any length; no alternative can run over another start of itself, so a search takes linear time.
 PLACEHOLDER = re.compile(
-    r"""\{\{[^{}]{0,120}\}\}|\{%[^%]{0,120}%\}|\{\#[^#{}]{0,120}\#\}|\$\{[^{}]{0,120}\}|\#\{[^{}]{0,120}\}|\{[A-Za-z_][\w.\-\[\]]{0,60}\}|\{\d{0,3}\}|<%.{0,120}?%>|&lt;%.{0,120}?%&gt;|<\?(?:php|=).{0,160}?(?:\?>|$)|&lt;\?.{0,160}?\?&gt;
-    |\[\[\s*[\w.\-| ]{1,60}\s*\]\]|%\([A-Za-z_]\w*\)[sdifr]|%[A-Z][A-Z0-9_]{2,}%|\$\$[A-Za-z_]\w*\$\$|__[A-Z][A-Z0-9_]+__|(?<![\w:/]):[A-Za-z_]\w*:(?![\w:/])|(?<![\w.@])@(?:Model|Html|ViewBag|ViewData|model)\b[\w.\[\]"]*|(?<![\w%])%(?:\d+\$)?[sd](?!\w)|<(?:title|name|chapter)(?:_\w+)?>|\{\$[\w.>\-]+\}|<\#.{0,80}?\#>|<<[A-Za-z_]\w*>>|\$[A-Za-z_]+(?:->|\.)\w+|\#\#[A-Z_]+\#\#|~[A-Z_]{3,}~""",
+    r"""\{\{[^{}]*\}\}|\{%[^%]*%\}|\{\#[^#{}]*\#\}|\$\{[^{}]*\}|\#\{[^{}]*\}|\{[A-Za-z_][\w.\-\[\]]*\}|\{\d{0,3}\}|<\?(?:php|=)
+    |\[\[[\w.\-|\s]+\]\]|%\([A-Za-z_]\w*\)[sdifr]|%[A-Z][A-Z0-9_]{2,}%|\$\$[A-Za-z_]\w*\$\$|__[A-Z][A-Z0-9_]+__|(?<![\w:/]):[A-Za-z_]\w*:(?![\w:/])|(?<![\w.@])@(?:Model|Html|ViewBag|ViewData|model)\b[\w.\[\]"]*|(?<![\w%])%(?:\d+\$)?[sd](?!\w)|<(?:title|name|chapter)(?:_\w+)?>|\{\$[\w.>\-]+\}|<<[A-Za-z_]\w*>>|\$[A-Za-z_]+(?:->|\.)\w+|\#\#[A-Z_]+\#\#|~[A-Z_]{3,}~""",
     re.X | re.S,
 )
+#: Placeholders that hold anything between two marks.
+BETWEEN = [("<%", "%>"), ("&lt;%", "%&gt;"), ("&lt;?", "?&gt;"), ("<#", "#>")]
 #: What every placeholder holds somewhere.
 MARKS = ["{", "${", "<%", "&lt;", "<?", "[[", "%(", "%", "$$", "__", ":", "@", "<", "$", "##", "~"]
 _LETTER = re.compile(r"[^\W\d_]")
@@ -80,7 +92,7 @@ def residue(text: str | None) -> str | None:
             if (a and low[a].isalpha() and low[a - 1].isalpha() and low[a] < "\u3000" and low[a - 1] < "\u3000") or (b < len(low) and low[b - 1].isalpha() and low[b].isalpha() and low[b - 1] < "\u3000" and low[b] < "\u3000"):
                 continue
             spans.append((a, b, kind))
-    if mark and PLACEHOLDER.search(text):
+    if mark and (PLACEHOLDER.search(text) or any((at := text.find(a)) >= 0 and text.find(b, at + len(a)) >= 0 for a, b in BETWEEN)):
         return "placeholder"
     if not any(k in (1, 2) for _, _, k in spans):
         return None

@@ -29,3 +29,22 @@ def test_find(spark):
     df = spark.createDataFrame([(1, "detail_title", "null"), (1, "first_chapter_title", "One"), (2, "detail_title", None), (3, "detail_title", "null")], "audit_id long, field string, text string")
     assert sorted((r.audit_id, r.field) for r in find(df).collect()) == [(1, "detail_title"), (3, "detail_title")]
     assert find(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("text", ["{{" + "x" * 5000 + "}}", "a <% " + "y " * 5000 + "%> b", "${" + "z" * 500 + "}", "[[" + "w" * 500 + "]]", "&lt;? " + "q" * 400 + " ?&gt;", "<?php " + "echo " * 900])
+def test_placeholders_of_any_length(text):
+    assert residue(text) == "placeholder"
+
+
+@pytest.mark.parametrize("mark", ["{{", "{%", "<%", "[[", "${", "&lt;?", ":a", "{a", "$$a", "__A"])
+def test_marks_without_end_in_linear_time(mark):
+    import time
+
+    began = time.time()
+    residue(mark * 200_000)
+    assert time.time() - began < 5
+
+
+@pytest.mark.parametrize("text", ["404 Seite konnte nicht gefunden werden", "Cette page n'existe plus", "Página não encontrada", "Your session has expired", "Lütfen JavaScript'i etkinleştirin", "Attiva JavaScript per continuare", "Vui lòng bật JavaScript để tiếp tục", "Strona nie została znaleziona", "الصفحة غير موجودة"])
+def test_messages_in_more_languages(text):
+    assert residue(text) == "message"
