@@ -2,12 +2,9 @@
 
 from __future__ import annotations
 
-from urllib.parse import urljoin
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
 _AUTHORITY = r"^[A-Za-z][A-Za-z0-9+.\-]*://([^/?#]*)"
 
@@ -100,26 +97,36 @@ def unescape(c: Column) -> Column:
     return c
 
 
-@F.pandas_udf(StringType())
-def _join(base: pd.Series, url: pd.Series) -> pd.Series:
-    def one(b: str | None, u: str | None) -> str | None:
-        try:
-            return urljoin(b or "", u) if u is not None else None
-        except ValueError:
-            return u
+def _resolved(path: Column, rooted: Column) -> Column:
+    """A path from the root without dot segments; one that was merged with the base's loses empty segments inside, too."""
+    parts = F.split(F.substring(path, 2, 1 << 30), "/")
+    last = F.element_at(parts, -1)
+    inner = F.filter(F.slice(parts, 1, F.size(parts) - 1), lambda s: rooted | (s != ""))
+    step = lambda acc, s: F.when(s == "..", F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0)))).when(s == ".", acc).otherwise(F.concat(acc, F.array(s)))
+    kept = F.aggregate(F.concat(inner, F.array(last)), F.array().cast("array<string>"), step)
+    return F.concat(F.lit("/"), F.array_join(F.when(last.isin(".", ".."), F.concat(kept, F.array(F.lit("")))).otherwise(kept), "/"))
 
-    return pd.Series([one(b, u) for b, u in zip(base, url)], dtype=object)
+
+def join(base: Column, url: Column) -> Column:
+    """A relative URL under its base (RFC 3986), in the JVM; one with a scheme of its own stays."""
+    root = base_of(base)
+    path = F.regexp_extract(base, r"^[A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*([^?#]*)", 1)
+    own, rest = F.regexp_extract(url, r"^([^?#]*)", 1), F.regexp_extract(url, r"^[^?#]*(.*)", 1)
+    merged = F.when(F.startswith(own, F.lit("/")), own).otherwise(F.concat(F.when(F.contains(path, F.lit("/")), F.regexp_extract(path, r"^(.*/)", 1)).otherwise("/"), own))
+    query = F.regexp_extract(base, r"^[^?#]*(\?[^#]*)", 1)
+    same = F.concat(root, path, F.when(F.startswith(rest, F.lit("?")), rest).otherwise(F.concat(query, rest)))
+    return F.when(url == "", base).when(url.rlike(r"^[A-Za-z][A-Za-z0-9+.\-]*:"), url).when(own == "", same).otherwise(F.concat(root, _resolved(merged, F.startswith(own, F.lit("/"))), rest))
 
 
 def canonical_url(url: Column, base: Column, dots: bool = True) -> Column:
     """Trim, unescape, ``\\/`` to ``/``; ``//x`` takes the base's scheme (https without one); a relative URL is joined.
 
-    dots: join by RFC 3986 with dot segments (an Arrow UDF). False: only root-relative URLs are joined, in the JVM.
+    dots: join by RFC 3986 with dot segments. False: only root-relative URLs are joined.
     """
     u = F.replace(unescape(F.trim(url)), F.lit("\\/"), F.lit("/"))
     scheme = F.coalesce(F.nullif(F.regexp_extract(base, r"^([A-Za-z][A-Za-z0-9+.\-]*):", 1), F.lit("")), F.lit("https"))
     based = F.coalesce(base, F.lit("")) != ""
-    joined = _join(base, u) if dots else F.concat(base_of(base), u)
+    joined = join(base, u) if dots else F.concat(base_of(base), u)
     relative = F.startswith(u, F.lit("/")) | ~F.startswith(F.lower(u), F.lit("http"))
     return (
         F.when(u == "", "")

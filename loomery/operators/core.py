@@ -113,7 +113,8 @@ def url_canonical(spark, d):
     return p.select("audit_id", U.canonical_url(href, F.col("base_url"), dots=False).alias("url"))
 
 
-@query()
+@query(rf"""WITH p AS (SELECT audit_id, regexp_extract(detail_url, '^([A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*)', 1) AS root, string_split(regexp_extract(detail_url, '^[A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*([^?#]*)', 1), '/') AS xs, {_unescape("regexp_extract(detail_url, '([^/]+)/?$', 1)")} AS seg, detail_url FROM page_audit)
+SELECT audit_id, CASE WHEN detail_url = '' THEN '../' WHEN detail_url IS NULL THEN NULL ELSE root || '/' || array_to_string(list_concat(list_slice(dirs, 1, len(dirs) - 1), [seg]), '/') END AS url FROM (SELECT *, list_filter(list_slice(xs, 2, len(xs) - 1), lambda s: s <> '') AS dirs FROM p)""")
 def url_join_dots(spark, d):
     p = table(spark, d, "page_audit")
     return p.select("audit_id", U.canonical_url(F.concat(F.lit("../"), F.regexp_extract("detail_url", r"([^/]+)/?$", 1)), F.col("detail_url")).alias("url"))
@@ -267,9 +268,9 @@ def site_reasons(spark, d):
     return _sites(spark, d).groupBy(bucket.alias("bucket"), "verdict").agg(F.count("*").alias("sites"))
 
 
-@query(f"WITH {_SITE} SELECT matched, verdict, string_agg(host, ',' ORDER BY host) AS hosts FROM checked WHERE matched <> '' GROUP BY ALL")
+@query(f"WITH {_SITE} SELECT matched, verdict, host FROM checked WHERE matched <> ''")
 def site_keyword_domains(spark, d):
-    return _sites(spark, d).where("matched <> ''").groupBy("matched", "verdict").agg(F.array_join(F.sort_array(F.collect_list("host")), ",").alias("hosts"))
+    return _sites(spark, d).where("matched <> ''").select("matched", "verdict", "host")
 
 
 def _category_sql(c: str) -> str:
@@ -362,16 +363,32 @@ def page_outlink_counts(spark, d):
     return rows.groupBy(U.domain_of(F.col("url")).alias("host")).agg(F.count("*").alias("links"), F.countDistinct("url").alias("pages"))
 
 
-@query()
+_CATALOG = r"""(?is)<a\b[^>]*?\bhref\s*=\s*["']([^"']*)["']([^>]*)>(.{0,500}?)</a>"""
+
+
+@query(f"""WITH a AS (SELECT audit_id, regexp_extract_all(html, {q(_CATALOG)}, 1) AS href, regexp_extract_all(html, {q(_CATALOG)}, 3) AS body FROM {_PAGE_SQL}), l AS (SELECT *, unnest(range(1, len(href) + 1)) AS i FROM a)
+SELECT audit_id, i - 1 AS pos, href[i] AS href, {_strip("regexp_replace(body[i], '<[^>]+>', '', 'g')")} AS title, CAST(NULL AS VARCHAR) AS cover FROM l WHERE regexp_matches(href[i], '/(?:comic|series|title|book|manga|manhua)/')""")
 def html_catalog_links(spark, d):
     return H.catalog_links(_pages(spark, d), "audit_id", "html", r"/(?:comic|series|title|book|manga|manhua)/")
 
 
-@query()
+#: Kinds of rules: pattern, groups in order.
+_RULES = [(r"""<a[^>]*href="([^"]*)"[^>]*>(?:<b>)?([^<]*)""", [2, 1]), (r"""<img[^>]*?(?:data-src|src)="([^"]*)\"""", [1]), (r"""<(h1|title)>([^<]*)</""", [2])]
+
+
+def _ruled(kind: int) -> str:
+    pattern, groups = _RULES[kind]
+    found = ", ".join(f"regexp_extract_all(html, {q('(?is)' + pattern)}, {g}) AS g{g}" for g in groups)
+    return f"SELECT audit_id, i - 1 AS pos, coalesce({', '.join(f'nullif(g{g}[i], {chr(39) * 2})' for g in groups)}) AS value FROM (SELECT *, unnest(range(1, len(g{groups[0]}) + 1)) AS i FROM (SELECT audit_id, {found} FROM {_PAGE_SQL} WHERE audit_id % 3 = {kind}))"
+
+
+@query("SELECT * FROM (" + " UNION ALL ".join(map(_ruled, range(3))) + ") WHERE value IS NOT NULL")
 def html_by_rule(spark, d):
-    # each row's rule names the row, as rules of sites name their site
-    pattern = F.concat(F.lit(r'(?#rule '), F.col("audit_id").cast("string"), F.lit(r')<a[^>]*href="([^"]*)"[^>]*>(?:<b>)?([^<]*)'))
-    rows = _pages(spark, d).withColumn("pattern", pattern).withColumn("groups", F.array(F.lit(2), F.lit(1)))
+    # each row's rule names the row, as rules of sites name their site, and is one of three kinds
+    kind = F.col("audit_id") % 3
+    pick = lambda values: F.when(kind == 0, values[0]).when(kind == 1, values[1]).otherwise(values[2])
+    pattern = F.concat(F.lit("(?#rule "), F.col("audit_id").cast("string"), F.lit(")"), pick([F.lit(p) for p, _ in _RULES]))
+    rows = _pages(spark, d).withColumn("pattern", pattern).withColumn("groups", pick([F.array(*map(F.lit, g)) for _, g in _RULES]))
     return H.by_rule(rows, "audit_id", "html", "pattern", "groups")
 
 
@@ -379,17 +396,16 @@ def html_by_rule(spark, d):
 
 
 @query("""WITH kw AS (SELECT evidence.keyword AS keyword, min(audit_id) AS ord FROM page_audit WHERE evidence.keyword IS NOT NULL AND evidence.keyword <> '' GROUP BY 1),
- k AS (SELECT keyword, row_number() OVER (ORDER BY ord) AS kn FROM kw QUALIFY kn <= 20), s AS (SELECT domain, row_number() OVER (ORDER BY domain) AS dn FROM url_template WHERE template IS NOT NULL QUALIFY dn <= 10),
+ k AS (SELECT keyword, row_number() OVER (ORDER BY ord) AS kn FROM kw), s AS (SELECT domain, row_number() OVER (ORDER BY domain) AS dn FROM url_template WHERE template IS NOT NULL QUALIFY dn <= 10),
  v AS (SELECT kn, 0 AS dn, unnest([0, 1]) AS vn, keyword, NULL AS domain FROM k UNION ALL SELECT kn, dn, 2, keyword, domain FROM k, s)
 SELECT CASE vn WHEN 0 THEN keyword WHEN 1 THEN keyword || ' online' ELSE keyword || ' site:' || domain END AS query, kn AS keyword_no FROM v""")
 def queries_expand(spark, d):
     p = table(spark, d, "page_audit").select(F.col("evidence.keyword").alias("keyword"), "audit_id").where("keyword <> ''")
-    # configuration-sized sides: 20 keywords by first use, 10 sites
-    k = p.groupBy("keyword").agg(F.min("audit_id").alias("ord")).orderBy("ord").limit(20).withColumn("kn", F.row_number().over(Window.orderBy("ord")))
-    s = table(spark, d, "url_template").where("template is not null").select("domain").orderBy("domain").limit(10)
-    base = k.select(F.explode(F.array(F.col("keyword"), F.concat("keyword", F.lit(" online")))).alias("query"), "kn")
-    sites = k.join(F.broadcast(s.agg(F.collect_list("domain").alias("ds")))).select(F.explode(F.transform("ds", lambda x: F.concat(F.col("keyword"), F.lit(" site:"), x))).alias("query"), "kn")
-    return base.unionByName(sites).select("query", F.col("kn").cast("bigint").alias("keyword_no"))
+    k = R.numbered(p.groupBy("keyword").agg(F.min("audit_id").alias("ord")), "ord", "kn")
+    # each keyword is searched in the first ten sites (the operator's own limit), so its rows are twelve
+    s = table(spark, d, "url_template").where("template is not null").select("domain").orderBy("domain").limit(10).agg(F.collect_list("domain").alias("ds"))
+    forms = F.concat(F.array(F.col("keyword"), F.concat("keyword", F.lit(" online"))), F.transform("ds", lambda x: F.concat(F.col("keyword"), F.lit(" site:"), x)))
+    return k.join(F.broadcast(s)).select(F.explode(forms).alias("query"), F.col("kn").cast("bigint").alias("keyword_no"))
 
 
 @query("""SELECT domain, CASE WHEN contains(template, '{page}') THEN replace(template, '{page}', CAST(p AS VARCHAR)) ELSE template END AS url, CAST(p AS BIGINT) AS page
@@ -531,9 +547,11 @@ def dead_domains(spark, d):
     return _dead(spark, d)
 
 
-@query(f"WITH {_DEAD_CTE} SELECT split_part(reason, ' ', 1) AS reason, count(*) AS sites, string_agg(host, ',' ORDER BY host) AS hosts FROM dead GROUP BY 1")
+@query(f"WITH {_DEAD_CTE}, m AS (SELECT split_part(reason, ' ', 1) AS reason, host FROM dead) SELECT reason, host, count(*) OVER (PARTITION BY reason) AS sites FROM m")
 def removed_by_reason(spark, d):
-    return _dead(spark, d).groupBy(F.split_part("reason", F.lit(" "), F.lit(1)).alias("reason")).agg(F.count("*").alias("sites"), F.array_join(F.sort_array(F.collect_list("host")), ",").alias("hosts"))
+    m = _dead(spark, d).select(F.split_part("reason", F.lit(" "), F.lit(1)).alias("reason"), "host")
+    sizes = m.groupBy("reason").agg(F.count("*").alias("sites"))  # four reasons
+    return m.join(F.broadcast(sizes), "reason").select("reason", "host", "sites")
 
 
 @query(f"""WITH {_DEAD_CTE}, kept AS (SELECT domain AS host, 0 AS branch FROM url_template WHERE domain NOT IN (SELECT host FROM dead WHERE host IS NOT NULL)),
@@ -583,12 +601,12 @@ def seed_caps(spark, d):
     return table(spark, d, "seed_page_stat").agg(F.greatest(F.lit(80), F.floor(F.lit(500) / F.greatest(n, F.lit(1)))).cast("bigint").alias("per_domain"), n.alias("domains"))
 
 
-@query("""WITH t AS (SELECT domain, template, regexp_replace(replace(coalesce(template, ''), domain, 'H'), '^https?', 'S') AS sig FROM url_template), g AS (SELECT sig, count(*) AS n, string_agg(domain, ',' ORDER BY domain) AS hosts FROM t GROUP BY sig)
-SELECT sig AS signature, n, hosts, sha1(sig) AS id FROM g""")
+@query("""WITH t AS (SELECT domain, template, regexp_replace(replace(coalesce(template, ''), domain, 'H'), '^https?', 'S') AS sig FROM url_template), g AS (SELECT sig, count(*) AS n, min(domain) AS lead FROM t GROUP BY sig)
+SELECT sig AS signature, n, lead, sha1(sig) AS id FROM g""")
 def rule_signature_groups(spark, d):
+    # the members of a group are the rows of rule_applicability
     sig = F.regexp_replace(F.replace(F.coalesce("template", F.lit("")), F.col("domain"), F.lit("H")), "^https?", "S")
-    g = table(spark, d, "url_template").groupBy(sig.alias("signature")).agg(F.count("*").alias("n"), F.array_join(F.sort_array(F.collect_list("domain")), ",").alias("hosts"))
-    return g.withColumn("id", F.sha1("signature"))
+    return table(spark, d, "url_template").groupBy(sig.alias("signature")).agg(F.count("*").alias("n"), F.min("domain").alias("lead")).withColumn("id", F.sha1("signature"))
 
 
 # ---- joins and set operations -----------------------------------------------------------------------------------
@@ -682,17 +700,26 @@ def _report_titles(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(f"""WITH r AS ({_REP}), u AS (SELECT * FROM r QUALIFY row_number() OVER (PARTITION BY k, host ORDER BY ord) = 1),
- rep AS (SELECT k, arg_min(title, ord) AS title, string_agg(host, ',' ORDER BY ord) AS sources, 'report' AS origin FROM u GROUP BY k),
- kw AS (SELECT lower(evidence.keyword) AS k, arg_min(evidence.keyword, audit_id) AS title, '' AS sources, 'keyword' AS origin FROM page_audit WHERE evidence.keyword <> '' GROUP BY 1)
-SELECT k, title, sources, origin FROM rep UNION ALL SELECT * FROM kw WHERE k NOT IN (SELECT k FROM rep)""")
+ rep AS (SELECT k, arg_min(title, ord) AS title, count(*) AS sources, arg_min(host, ord) AS first_source, 'report' AS origin FROM u GROUP BY k),
+ kw AS (SELECT lower(evidence.keyword) AS k, arg_min(evidence.keyword, audit_id) AS title, 0 AS sources, '' AS first_source, 'keyword' AS origin FROM page_audit WHERE evidence.keyword <> '' GROUP BY 1)
+SELECT k, title, sources, first_source, origin FROM rep UNION ALL SELECT * FROM kw WHERE k NOT IN (SELECT k FROM rep)""")
 def catalog_merge(spark, d):
-    one = _report_titles(spark, d).groupBy("k", "host").agg(F.min(F.struct("ord", "title")).alias("o")).select("k", "host", "o.*")
-    rep = one.groupBy("k").agg(F.min_by("title", "ord").alias("title"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("ord", "host"))), lambda x: x["host"]), ",").alias("sources")).withColumn("origin", F.lit("report"))
+    rep = _sources(spark, d).groupBy("k").agg(F.min_by("title", "ord").alias("title"), F.count("*").alias("sources"), F.min_by("host", "ord").alias("first_source")).withColumn("origin", F.lit("report"))
     kw = table(spark, d, "page_audit").select(F.col("evidence.keyword").alias("w"), "audit_id").where("w <> ''").groupBy(F.lower("w").alias("k")).agg(F.min_by("w", "audit_id").alias("title"))
-    kw = kw.join(rep.select("k"), "k", "left_anti").withColumn("sources", F.lit("")).withColumn("origin", F.lit("keyword"))
+    kw = kw.join(rep.select("k"), "k", "left_anti").select("k", "title", F.lit(0).cast("bigint").alias("sources"), F.lit("").alias("first_source"), F.lit("keyword").alias("origin"))
     return rep.unionByName(kw)
 
 
+def _sources(spark: SparkSession, d: str) -> DataFrame:
+    return _report_titles(spark, d).groupBy("k", "host").agg(F.min(F.struct("ord", "title")).alias("o")).select("k", "host", "o.*")
+
+
+@query(f"WITH r AS ({_REP}) SELECT k, host, min(ord) AS ord FROM r GROUP BY k, host")
+def catalog_sources(spark, d):
+    """The sources of each catalog entry, in rows."""
+    return _sources(spark, d).select("k", "host", "ord")
+
+
 _CATS = "[" + ", ".join(q(n) for n, _ in V.CATEGORIES) + "]"
 
 
@@ -790,7 +817,7 @@ def pagination_discover(spark, d):
 SELECT url, branch, o FROM a QUALIFY row_number() OVER (PARTITION BY url ORDER BY branch, o) = 1""")
 def seed_urls(spark, d):
     a = table(spark, d, "seed_page_stat").groupBy(F.col("seedurl").alias("url")).agg(F.min("run_id").alias("o"))
-    t = R.numbered(table(spark, d, "url_template").select("domain").withColumn("k", F.dense_rank().over(Window.orderBy("domain")).cast("bigint")), "k", "o")  # a configuration table
+    t = R.numbered(table(spark, d, "url_template").select("domain"), "domain", "o")
     b = [t.select(F.concat(F.lit(p), "domain").alias("url"), F.col("o").cast("bigint").alias("o")) for p in ("https://", "https://www.")]
     return R.ordered_union([a, *b], ["url"], "o").select("url", "branch", "o")
 
@@ -800,8 +827,7 @@ SELECT keyword, row_number() OVER (ORDER BY CASE WHEN {_any("lower(keyword)", ['
 def keywords_generic_first(spark, d):
     k = table(spark, d, "page_audit").select(F.col("evidence.keyword").alias("keyword"), "audit_id").where("keyword <> ''").groupBy("keyword").agg(F.min("audit_id").alias("o"))
     first = F.when(P.contains_any(F.lower("keyword"), ["ba", "山"]), 0).otherwise(1)
-    keyed = k.withColumn("key", first.cast("bigint") * (1 << 40) + F.col("o"))  # ids stay below 2^40 here; ties keep first use
-    return R.numbered(keyed, "key", "place").select("keyword", F.col("place").cast("bigint").alias("place"))
+    return R.numbered(k.withColumn("g", first), [F.col("g"), F.col("o")], "place").select("keyword", F.col("place").cast("bigint").alias("place"))
 
 
 @query(f"WITH r AS ({_REP}), i AS (SELECT k, min(ord) AS ord, {_category_sql('k')} AS category FROM r GROUP BY k) SELECT category, k, row_number() OVER (PARTITION BY category ORDER BY ord) AS place FROM i WHERE category <> '' QUALIFY place <= 25")
@@ -867,7 +893,7 @@ def stamps(spark, d):
 @query("SELECT host, n, CAST(sum(n) OVER (ORDER BY n DESC, host ROWS UNBOUNDED PRECEDING) AS BIGINT) AS running FROM (SELECT " + _norm("domain") + " AS host, count(*) AS n FROM page_audit WHERE domain IS NOT NULL GROUP BY 1)")
 def contributor_running_share(spark, d):
     g = table(spark, d, "page_audit").where("domain is not null").groupBy(U.normalize_domain(F.col("domain")).alias("host")).agg(F.count("*").alias("n"))
-    return g.withColumn("running", F.sum("n").over(Window.orderBy(F.desc("n"), "host").rowsBetween(Window.unboundedPreceding, 0)))  # one row per host
+    return R.running(g, [F.desc("n"), F.col("host")], F.col("n"), "running")
 
 
 @query("""WITH r AS (SELECT * FROM candidate QUALIFY row_number() OVER (PARTITION BY run_id ORDER BY ordinal) <= 8), k AS (SELECT * FROM r WHERE EXISTS (SELECT 1 FROM url_template t WHERE contains(r.url, t.domain)))

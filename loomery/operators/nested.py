@@ -14,6 +14,7 @@ whole by one task each, and nothing is gathered across records.
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -43,26 +44,88 @@ def complete(text: str | None) -> object:
     """The value of a complete JSON text (blanks and byte-order marks around it don't matter), else None."""
     if not text:
         return None
+    text = text.strip(_AROUND)
     try:
-        return json.loads(text.strip(_AROUND), parse_constant=_no_constant)
-    except (ValueError, RecursionError):
+        return json.loads(text, parse_constant=_no_constant)
+    except RecursionError:
+        return _deep(text)
+    except ValueError:
         return None
 
 
-def opened(value: object, depth: int = 4) -> object:
+_BLANK, _SCALAR = re.compile(r"[ \t\n\r]*"), re.compile(r"true|false|null|-?(?:0|[1-9]\d*)(?:\.\d+)?(?:[eE][+-]?\d+)?")
+
+
+def _skip(text: str, i: int) -> int:
+    return _BLANK.match(text, i).end()
+
+
+def _deep(text: str) -> object:
+    """The same for nesting beyond the parser's stack: open lists and objects are kept in a list of their own."""
+    around: list[tuple[object, str | None]] = []  # containers, each with the key that its next value gets
+    i = _skip(text, 0)
+    try:
+        while True:
+            c = text[i]
+            if c in "[{":
+                new: object = [] if c == "[" else {}
+                i = _skip(text, i + 1)
+                if text[i] != ("]" if c == "[" else "}"):
+                    key = None
+                    if c == "{":
+                        key, i = _key(text, i)
+                    around.append((new, key))
+                    continue
+                value, i = new, i + 1
+            elif c == '"':
+                value, i = json.decoder.scanstring(text, i + 1, True)
+            elif m := _SCALAR.match(text, i):
+                value, i = json.loads(m[0]), m.end()
+            else:
+                return None
+            while True:  # a value ends: put it into what is around it
+                i = _skip(text, i)
+                if not around:
+                    return value if i == len(text) else None
+                box, key = around.pop()
+                if isinstance(box, list):
+                    box.append(value)
+                else:
+                    box[key] = value
+                if text[i] == ",":
+                    i = _skip(text, i + 1)
+                    if isinstance(box, dict):
+                        key, i = _key(text, i)
+                    around.append((box, key))
+                    break
+                if text[i] != ("]" if isinstance(box, list) else "}"):
+                    return None
+                value, i = box, i + 1
+    except (IndexError, ValueError):
+        return None
+
+
+def _key(text: str, i: int) -> tuple[str, int]:
+    if text[i] != '"':
+        raise ValueError(i)
+    key, i = json.decoder.scanstring(text, i + 1, True)
+    i = _skip(text, i)
+    if text[i] != ":":
+        raise ValueError(i)
+    return key, _skip(text, i + 1)
+
+
+def opened(value: object) -> object:
     """A structure held in a string, however often quoted, as what it holds."""
-    while depth and isinstance(value, str) and value.strip(_AROUND)[:1] in ('{', '[', '"'):
-        inner = complete(value)
-        if inner is None:
-            return value
-        value, depth = inner, depth - 1
+    while isinstance(value, str) and value.strip(_AROUND)[:1] in ("{", "[", '"') and (inner := complete(value)) is not None:
+        value = inner
     return value
 
 
-def record_in(value: object, keys: frozenset[str], depth: int = 6) -> dict | None:
-    """The first object, from the outside in, that has one of ``keys``."""
+def record_in(value: object, keys: frozenset[str]) -> dict | None:
+    """The first object, from the outside in, that has one of ``keys``, however deep it lies."""
     level = [value]
-    for _ in range(depth):
+    while level:
         below = []
         for v in map(opened, level):
             if isinstance(v, dict):
@@ -132,6 +195,21 @@ def shred(df: DataFrame, key: str, body: str, slots: tuple[Slot, ...], paths: li
     return df.select(key, body).where(F.col(body).isNotNull()).mapInArrow(work, f"{key} {kind}, {NODES}")
 
 
+def table_of(nodes: DataFrame, path: str) -> DataFrame:
+    """The table of one schema path: its nodes with their label and the label of the parent, which leads to the parent's table."""
+    return nodes.where(F.col("path") == path).drop("path")
+
+
+def unfold(df: DataFrame, key: str, column: str, slot: int = 0) -> DataFrame:
+    """(key, label, parent, the fields) of a column that holds a struct or an array of structs: its nodes by the same labels, in the JVM.
+
+    A null struct or element gives no row; an element keeps its place.
+    """
+    kids = F.col(column) if df.schema[column].dataType.typeName() == "array" else F.array(column)
+    rows = df.select(key, F.posexplode(kids).alias("_p", "_n")).where(F.col("_n").isNotNull())
+    return rows.select(key, F.concat(F.lit(f"{slot}."), F.col("_p").cast("string")).alias("label"), F.lit("").alias("parent"), "_n.*")
+
+
 def ordinal(label: Column, depth: int) -> Column:
     """Place in the list at nesting ``depth`` (0: outermost) of a node's label; a label holds slot and place by turns."""
     return F.element_at(F.split(label, r"\."), 2 * depth + 2).cast("bigint")

@@ -7,6 +7,8 @@ import re
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..runtime import checkpointed
+
 
 def first_wins(df: DataFrame, keys: list[str], order: str, drop_empty: bool = True) -> DataFrame:
     """First row by ``order`` of each key; rows with a null or empty key go.
@@ -30,19 +32,35 @@ def arrival_cap(df: DataFrame, group: list[str], order: str, n: int) -> DataFram
     return top_k(df, group, [F.col(order)], n, "_rn").drop("_rn")
 
 
-def numbered(df: DataFrame, order: str, name: str = "rn", buckets: int = 64) -> DataFrame:
-    """1-based place of each row in the order of a unique numeric column, without one task sorting all rows.
+#: Bytes (of the files that are read) for each range of rows that one task sorts; most ranges.
+RANGE_BYTES, MOST_RANGES = 16 << 20, 10_000
+
 
-    Rows are cut into ranges at quantiles of ``order``; place = rows of the ranges before + place inside.
+def ranged(df: DataFrame, order: list[Column]) -> DataFrame:
+    """Rows with ``_b``, the number of their range in the given order; ranges grow in number with the data, rows of one key share one.
+
+    The rows are written once (see ``checkpointed``), as ranges come from samples and must not change under a later stage.
     """
-    cuts = df.agg(F.percentile_approx(order, [i / buckets for i in range(1, buckets)], F.lit(2000)).alias("_cuts"))
-    cut = df.join(F.broadcast(cuts)).withColumn("_b", F.size(F.filter("_cuts", lambda c: c < F.col(order)))).drop("_cuts")
-    sizes = cut.groupBy("_b").agg(F.count("*").alias("_n"))
-    before = sizes.withColumn("_before", F.coalesce(F.sum("_n").over(Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_n")  # at most ``buckets`` rows
-    inside = F.row_number().over(Window.partitionBy("_b").orderBy(order))
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size())]
+    ranges = min(MOST_RANGES, max(8, sum(n for n in sizes if n < 1 << 60) // RANGE_BYTES + 1))  # rows without files have no known size
+    return checkpointed(df.repartitionByRange(ranges, *order).withColumn("_b", F.spark_partition_id()))
+
+
+def running(df: DataFrame, order: list[Column], value: Column, name: str) -> DataFrame:
+    """Sum of ``value`` over each row and those before it in a total order, without one task sorting all rows: the sum inside the row's range plus those of the ranges before."""
+    cut = ranged(df, order)
+    sums = cut.groupBy("_b").agg(F.sum(value).alias("_n"))
+    before = sums.select("_b", F.coalesce(F.sum("_n").over(Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))  # at most MOST_RANGES rows
+    inside = F.sum(value).over(Window.partitionBy("_b").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
     return cut.withColumn(name, inside).join(F.broadcast(before), "_b").withColumn(name, F.col(name) + F.col("_before")).drop("_b", "_before")
 
 
+def numbered(df: DataFrame, order: str | list[Column], name: str = "rn") -> DataFrame:
+    """1-based place of each row in a total order."""
+    return running(df, [F.col(order)] if isinstance(order, str) else order, F.lit(1), name)
+
+
 def global_cap(df: DataFrame, order: str, n: int) -> DataFrame:
     """First n rows by arrival (each task keeps n, then one merge)."""
     return df.orderBy(order).limit(n)
@@ -68,13 +86,17 @@ def cascade_fill(df: DataFrame, query: str, prio: str, rank: str, key: str, limi
 
 
 def streak_cut(df: DataFrame, group: list[str], order: str, bad: Column, n: int) -> DataFrame:
-    """Rows of each group up to and with the one that completes n bad rows in a row."""
-    w = Window.partitionBy(*group).orderBy(order)
-    rows = df.withColumn("_bad", bad.cast("int"))
-    rows = rows.withColumn("_isle", F.sum(1 - F.col("_bad")).over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    rows = rows.withColumn("_run", F.sum("_bad").over(Window.partitionBy(*group, "_isle").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)))
-    stop = F.min(F.when(F.col("_run") >= n, F.col(order))).over(Window.partitionBy(*group))
-    return rows.withColumn("_stop", stop).where(F.col("_stop").isNull() | (F.col(order) <= F.col("_stop"))).drop("_bad", "_isle", "_run", "_stop")
+    """Rows of each group up to and with the one that completes n bad rows in a row.
+
+    Rows are numbered by group and order, so those of a group have consecutive places. Each bad row votes for its own place and
+    the n - 1 after it; a place with n votes of its group completes a streak. No task holds a whole group.
+    """
+    rows = numbered(df.withColumn("_bad", F.coalesce(bad, F.lit(False))), [*map(F.col, group), F.col(order)], "_at")
+    votes = rows.where("_bad").select(*group, F.explode(F.sequence(F.col("_at"), F.col("_at") + (n - 1))).alias("_at"))
+    stops = votes.groupBy(*group, "_at").agg(F.count("*").alias("_n")).where(F.col("_n") == n).groupBy(*group).agg(F.min("_at").alias("_stop"))
+    o, s = rows.alias("o"), stops.alias("s")
+    same = [F.col(f"o.{g}").eqNullSafe(F.col(f"s.{g}")) for g in group]
+    return o.join(s, same, "left").where(F.col("_stop").isNull() | (F.col("_at") <= F.col("_stop"))).select(*(F.col(f"o.{c}") for c in df.columns))
 
 
 def round_robin(items: DataFrame, order: str, bins: DataFrame, room: str, bin_order: str) -> DataFrame:
@@ -84,9 +106,7 @@ def round_robin(items: DataFrame, order: str, bins: DataFrame, room: str, bin_or
     bins is small (one row per category); slots are as many as the room of all bins.
     """
     slots = bins.where(F.col(room) > 0).select("*", F.explode(F.sequence(F.lit(0), F.col(room) - 1)).alias("_k"))
-    width = bins.agg(F.max(bin_order).alias("_w"))
-    keyed = slots.join(F.broadcast(width)).withColumn("_slot", F.col("_k").cast("bigint") * (F.col("_w") + 1) + F.col(bin_order)).drop("_w", "_k")
-    return numbered(items, order).join(numbered(keyed, "_slot", "rn").drop("_slot"), "rn").drop("rn")
+    return numbered(items, order).join(numbered(slots, [F.col("_k"), F.col(bin_order)]).drop("_k"), "rn").drop("rn")
 
 
 def merge_keyed(old: DataFrame, new: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:

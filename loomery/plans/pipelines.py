@@ -18,7 +18,7 @@ def discover_candidates(seeds: DataFrame, pages: DataFrame, links: DataFrame, *,
     """
     s = seeds.join(pages.select(F.col("url").alias("seed_url"), F.lit(True).alias("there")), "seed_url", "left")
     hits = s.where("there").join(links.withColumnRenamed("page_url", "seed_url"), "seed_url").select(
-        (F.col("seed_no") * 1_000_000 + F.col("pos")).alias("ordinal"), "seed_no", U.defragment(F.col("url")).alias("url"), U.domain_of(F.col("url")).alias("domain")
+        F.struct("seed_no", "pos").alias("ordinal"), "seed_no", U.defragment(F.col("url")).alias("url"), U.domain_of(F.col("url")).alias("domain")
     )
     capped = R.arrival_cap(R.first_wins(hits, ["url"], "ordinal"), ["domain"], "ordinal", per_domain)
     chosen = R.global_cap(capped, "ordinal", total)

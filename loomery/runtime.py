@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 import zipfile
 from pathlib import Path
 
@@ -67,3 +68,9 @@ def checkpointed(df: DataFrame) -> DataFrame:
             folder = tempfile.mkdtemp()
         sc.setCheckpointDir(folder)
     return df.checkpoint()
+
+
+def scratch(spark: SparkSession) -> str:
+    """A new folder that all executors share, beside the checkpoints."""
+    checkpointed(spark.range(0))
+    return f"{spark.sparkContext.getCheckpointDir()}/tables-{uuid.uuid4().hex}"

@@ -81,3 +81,19 @@ def test_small_ones(spark):
     assert one(spark, T.head_of, "<HTML><Head x>A</head>") == "a"
     assert one(spark, lambda c: U.absolutize(c, F.lit("h.x")), "/a") == "https://h.x/a"
     assert one(spark, lambda a, b: T.first_of(a, b), "", "b") == "b"
+
+
+def test_join_equals_the_library(spark):
+    import random
+    from urllib.parse import urljoin
+
+    r = random.Random(2)
+    part = lambda: r.choice(["..", ".", "a", "b.html", "c-d", "", "e"])
+    bases = [f"https://h.example{r.choice(['', '/'])}" + "/".join(part() for _ in range(r.randrange(5))) * (i % 3 > 0) + r.choice(["", "?q=1", "#f"]) for i in range(60)]
+    bases = [b for b in bases if b.startswith(("https://h.example/", "https://h.example?", "https://h.example#")) or b == "https://h.example"]
+    rows = [(b, r.choice(["", "/"]) + "/".join(part() for _ in range(r.randrange(1, 5))) + r.choice(["", "?x=/../2", "#g", "?y#z"])) for b in bases for _ in range(15)] + [(bases[0], u) for u in ("?only=1", "#only", "mailto:a@b", "javascript:void(0)")]
+    rows = [(b, u) for b, u in rows if not (u[:1] == "/" and "//" in u)]  # there the library climbs above the root
+    df = spark.createDataFrame(rows, "b string, u string")
+    got = df.select("b", "u", U.join(F.col("b"), F.col("u")).alias("j")).collect()
+    wrong = [(x.b, x.u, x.j, urljoin(x.b, x.u)) for x in got if x.j != urljoin(x.b, x.u)]
+    assert not wrong

@@ -90,3 +90,36 @@ def test_merge_and_latest(spark):
     assert {(r.k, r.v) for r in R.merge_keyed(a, b, ["k"], ["v"]).collect()} == {("x", 1), ("y", 2), ("z", 3)}
     c = spark.createDataFrame([("x", 1, "old"), ("x", 2, "new")], "k string, o int, v string")
     assert R.latest(c, ["k"], "o").first().v == "new"
+
+
+def test_running_sum_and_places_in_many_ranges(spark, monkeypatch):
+    import random
+
+    r = random.Random(1)
+    monkeypatch.setattr(R, "RANGE_BYTES", 1)
+    monkeypatch.setattr(R, "MOST_RANGES", 40)
+    rows = [(r.randrange(5), f"h{i:04d}") for i in range(700)]
+    df = spark.createDataFrame(rows, "n long, host string")
+    got = {x.host: (x.total, x.place) for x in R.numbered(R.running(df, [F.desc("n"), F.col("host")], F.col("n"), "total"), [F.desc("n"), F.col("host")], "place").collect()}
+    total = 0
+    for place, (n, host) in enumerate(sorted(rows, key=lambda x: (-x[0], x[1])), 1):
+        total += n
+        assert got[host] == (total, place)
+    assert R.numbered(df.limit(0), "host").count() == 0
+
+
+def test_streaks_against_brute_force(spark):
+    import random
+
+    r = random.Random(2)
+    rows = [(r.choice(["a", "b", None]), i, r.random() < 0.6) for i in range(400)] + [("hot", 1000 + i, None if i % 7 else True) for i in range(50)]
+    want = set()
+    for g in {x[0] for x in rows}:
+        run = 0
+        for _, o, bad in [x for x in rows if x[0] == g]:
+            want.add(o)
+            run = run + 1 if bad else 0
+            if run == 3:
+                break
+    got = R.streak_cut(spark.createDataFrame(rows, "g string, o long, bad boolean"), ["g"], "o", F.col("bad"), 3).collect()
+    assert {x.o for x in got} == want and len(got) == len(want)
