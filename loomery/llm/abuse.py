@@ -24,6 +24,7 @@ from functools import lru_cache
 
 import ahocorasick
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -37,15 +38,14 @@ BETA, GRADES = 0.5, (4.2, 2.2, 1.0)
 CAPS, LEARNED_WORD, LEARNED_PAIR, LEARNED_LETTER = (5.0, 3.2, 2.2), 1.2, 2.2, 0.7
 #: Least a token can add; a token nobody knows, a CJK letter nobody knows; fewest rated passages that teach a token.
 FLOOR, UNKNOWN, LETTER, TAUGHT = -3.0, -0.7, -0.3, 3
-#: Nats against chance from which a token of the passages counts as learned.
-CHANCE = 3.5
-#: Score from which segments enter the calibration, and expected false segments per text.
-TAIL, EXPECTED = 2.0, 0.001
+#: Log-odds unsafe : safe among rated texts, and nats against chance, from which a token of the passages counts as learned.
+TELLS, CHANCE = 1.2, 3.5
+#: Score from which segments enter the calibration, width of the scores taken for background, and expected false segments per text.
+TAIL, WIDTH, EXPECTED = 2.0, 2.0, 0.0003
 #: Words that a shorter text counts for.
 SHORTEST = 100
-#: What the calibration has seen before: segments of background, their lambda and the words for each. Sentences recur, so segments
-#: are no independent evidence: the prior weighs at least this share of theirs.
-PRIOR, RECUR = (5.0, 2.0, 10_000), 0.5
+#: What the calibration has seen before: segments of background, their lambda and the words for each.
+PRIOR = (20.0, 2.0, 20_000)
 
 #: Grades of the lexicon: words and short idioms of general use; a stem ends with "~".
 PLAIN_ABUSE = """
@@ -330,30 +330,33 @@ class Weights:
             most = CAPS[g] if g is not None else LEARNED_LETTER * len(f) if cjk else LEARNED_PAIR
             self.odds[f] = max(FLOOR, min(most, s))
 
-    def scores(self, row: list[str]) -> list[float]:
-        """One score for each word and each piece of a CJK run."""
-        get, firsts, last, out = self.odds.get, self.vocabulary.firsts, "", []
+    def scores(self, row: list[str]) -> tuple[list[float], float, bool]:
+        """One score for each word and each piece of a CJK run; the words, with two CJK letters for one; whether there are any of those."""
+        get, firsts, last, out, n, cjk = self.odds.get, self.vocabulary.firsts, "", [], 0.0, False
         for w in row:
             if w[0] >= "\u3040":
-                out += [self.odds[g] if g else LETTER * n for g, n in cut(w, self.vocabulary.automaton)]
-                last = ""
+                out += [self.odds[g] if g else LETTER * k for g, k in cut(w, self.vocabulary.automaton)]
+                last, cjk = "", True
+                n += len(w) / 2
                 continue
             s = get(w, UNKNOWN)
             if last in firsts:
                 s += get(f"{last} {w}", 0.0)
             last = w
+            n += 1
             out.append(s)
-        return out
+        return out, n, cjk
 
-    def scan(self, text: str | None) -> tuple[int, list[float], list[float]]:
-        """(words, with two CJK letters for one; scores of the segments of at least ``TAIL`` in sentences of words; the same in sentences with CJK letters)."""
+    def scan(self, text: str | None) -> tuple[int, list[tuple[float, int]], list[tuple[float, int]]]:
+        """(words; scores of at least ``TAIL`` and digests of the segments in sentences of words; the same in sentences with CJK letters)."""
         n, found = 0.0, ([], [])
         for row in tokens(text) if text and not text.isspace() else []:
-            cjk = any(w[0] >= "\u3040" for w in row)
-            n += sum(len(w) / 2 if w[0] >= "\u3040" else 1 for w in row)
-            scores = self.scores(row)
+            scores, k, cjk = self.scores(row)
+            n += k
             if max(scores) > 0:
-                found[cjk].extend(round(s, 4) for _, _, s in maximal(scores) if s >= TAIL)
+                for a, b, x in maximal(scores):
+                    if x >= TAIL:  # equal passages have equal scores of their tokens
+                        found[cjk].append((round(x, 4), xxhash.xxh3_64_intdigest(repr(scores[a:b])) >> 1))
         return math.ceil(n), *found
 
 
@@ -391,7 +394,7 @@ def _telling(bad: int, good: int, share: float) -> bool:
     """Whether unsafe texts hold a token more often than chance would have it (Chernoff's bound on the binomial tail)."""
     n = bad + good
     p = bad / n if n else 0.0
-    if p <= share:
+    if p <= share or _odds(bad, good * share / (1 - share + 1e-9)) < TELLS:
         return False
     return n * (p * math.log(p / share) + ((1 - p) * math.log((1 - p) / (1 - share)) if p < 1 else 0.0)) >= CHANCE
 
@@ -421,7 +424,7 @@ def learn(rated: list[tuple[str, float]]) -> tuple[Vocabulary, Counter]:
     for turn in range(4):
         picked, rest = [], []
         for rows, y in docs:
-            best = [max((s for _, _, s in maximal(weights.scores(row))), default=0.0) for row in rows]
+            best = [max((s for _, _, s in maximal(weights.scores(row)[0])), default=0.0) for row in rows]
             top = max(best, default=0.0)
             for row, s in zip(rows, best):
                 (picked if y >= 0.5 and s >= 2.0 and (s == top or s >= 4.0) else rest).append(row)
@@ -478,33 +481,29 @@ def scan(docs: DataFrame, weights: Weights, keep: list[str] | None = None) -> Da
         w = held.value
         for b in batches:
             n, latin, cjk = zip(*(w.scan(t) for t in b.column(b.num_columns - 1).to_pylist())) if b.num_rows else ((), (), ())
-            kind = pa.list_(pa.float64())
-            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(n, pa.int64()), pa.array(latin, kind), pa.array(cjk, kind)], names=[*b.schema.names[:-1], "words", "latin", "cjk"])
+            kind = pa.list_(pa.struct([("s", pa.float64()), ("h", pa.int64())]))
+            parts = [pa.array([[{"s": s, "h": h} for s, h in x] for x in col], kind) for col in (latin, cjk)]
+            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(n, pa.int64()), *parts], names=[*b.schema.names[:-1], "words", "latin", "cjk"])
 
-    return own.mapInArrow(work, f"{kinds}, words bigint, latin array<double>, cjk array<double>")
+    return own.mapInArrow(work, f"{kinds}, words bigint, latin array<struct<s:double,h:bigint>>, cjk array<struct<s:double,h:bigint>>")
 
 
-def calibrate(bins: dict[float, int], texts: int, words: int) -> tuple[float, float]:
-    """(lambda, K) of the extreme-value law, from the numbers of segments by score (lower ends of bins of ``BIN``).
+def calibrate(bins: dict[float, int], low: int, words: int) -> tuple[float, float]:
+    """(lambda, K) of the extreme-value law.
 
-    What lies below the limit is unflagged: an exponential cut off there is fit to it by maximum likelihood, with ``PRIOR`` as
-    what was seen before; the limit of a text of mean length follows from the fit, and so on in turns.
+    bins: numbers of different passages by score (lower ends of bins of ``BIN``); low: all segments of scores within ``WIDTH`` above ``TAIL``,
+    those of repeated passages too. There the background lies; lambda is fit to its different passages as an exponential
+    that is cut off (equal ones are no independent evidence), K to all segments, both with ``PRIOR`` as what was seen before.
     """
     seen, lam0, per = PRIOR
-    mean = words / max(texts, 1) or 1.0
-    limit, lam, k = TAIL + 4 / lam0, lam0, 1.0
-    for _ in range(20):
-        low = [(s + BIN / 2 - TAIL, n) for s, n in bins.items() if TAIL <= s + BIN / 2 < limit]
-        count, width = sum(n for _, n in low), limit - TAIL
-        held = max(seen, RECUR * count)
-        excess = (sum(x * n for x, n in low) + held / lam0) / (count + held)
-        a, b = 1e-3, 50.0
-        for _ in range(50):  # the mean of an exponential that is cut off falls with lambda
-            lam = (a + b) / 2
-            a, b = (lam, b) if 1 / lam - width / math.expm1(min(lam * width, 700.0)) > excess else (a, lam)
-        k = (count + seen) / (words + seen * per) * math.exp(lam * TAIL)
-        limit = min(limit, max(threshold(mean, lam, k), TAIL + 2 * BIN))
-    return lam, k
+    points = [(s + BIN / 2 - TAIL, n) for s, n in bins.items() if TAIL <= s + BIN / 2 < TAIL + WIDTH]
+    count, total = sum(n for _, n in points), sum(x * n for x, n in points)
+    a, b = 1e-3, 50.0
+    for _ in range(60):  # where the posterior is highest, its slope is zero
+        lam = (a + b) / 2
+        slope = count * (1 / lam - WIDTH / math.expm1(min(lam * WIDTH, 700.0))) - total + seen * (1 / lam - 1 / lam0)
+        a, b = (lam, b) if slope > 0 else (a, lam)
+    return lam, (low + seen) / (words + seen * per) * math.exp(lam * TAIL)
 
 
 #: Width of the bins of scores.
@@ -519,15 +518,17 @@ def threshold(words: float, lam: float, k: float) -> float:
 def score(docs: DataFrame, weights: Weights, keep: list[str] | None = None) -> DataFrame:
     """docs(doc_id, text) → (doc_id, the columns of ``keep``, score, passages), one row per document."""
     rows = checkpointed(scan(docs, weights, keep))
-    size = rows.agg(F.count("*").alias("texts"), F.sum("words").alias("words")).first()
-    each = rows.select(F.explode(F.concat(F.transform("latin", lambda s: F.struct(F.lit(False).alias("cjk"), s.alias("s"))), F.transform("cjk", lambda s: F.struct(F.lit(True).alias("cjk"), s.alias("s"))))).alias("x"))
-    bins = each.groupBy("x.cjk", F.floor(F.col("x.s") / BIN).alias("b")).agg(F.count("*").alias("n")).collect()  # a row for each bin
+    words = rows.agg(F.sum("words")).first()[0] or 0
+    both = F.concat(*(F.transform(c, lambda x, k=k: F.struct(F.lit(k).alias("cjk"), x["s"].alias("s"), x["h"].alias("h"))) for k, c in ((False, "latin"), (True, "cjk"))))
+    each = rows.select(F.explode(both).alias("x")).select("x.*").groupBy("cjk", "h").agg(F.max("s").alias("s"), F.count("*").alias("n"))  # different passages
+    bins = each.groupBy("cjk", F.floor(F.col("s") / BIN).alias("b")).agg(F.count("*").alias("passages"), F.sum("n").alias("n")).collect()  # a row for each bin
     need = {}
     for cjk in (False, True):
-        lam, k = calibrate({r.b * BIN: r.n for r in bins if r.cjk == cjk}, size.texts, size.words or 0)
+        own = [(r.b * BIN, r.passages, r.n) for r in bins if r.cjk == cjk]
+        lam, k = calibrate({s: n for s, n, _ in own}, sum(n for s, _, n in own if s + BIN / 2 < TAIL + WIDTH), words)
         need[cjk] = F.greatest(F.log(k * F.greatest("words", F.lit(SHORTEST)) / EXPECTED), F.lit(0.0)) / lam
-    over = lambda c, cjk: F.size(F.filter(c, lambda s: s >= need[cjk]))
-    best = F.greatest(F.coalesce(F.array_max("latin"), F.lit(0.0)), F.coalesce(F.array_max("cjk"), F.lit(0.0)))
+    over = lambda c, cjk: F.size(F.filter(c, lambda x: x["s"] >= need[cjk]))
+    best = F.greatest(*(F.coalesce(F.array_max(F.transform(c, lambda x: x["s"])), F.lit(0.0)) for c in ("latin", "cjk")))
     return rows.select("doc_id", *(keep or []), best.alias("score"), (over("latin", False) + over("cjk", True)).cast("bigint").alias("passages"))
 
 

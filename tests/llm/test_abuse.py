@@ -25,14 +25,23 @@ def model(sf_dir):
             vocabulary.count(row, counts)
     w = abuse.Weights(vocabulary, bad, counts)
     found = [w.scan(t) for t in texts]
-    bins = [Counter(int(s / abuse.BIN) * abuse.BIN for f in found for s in f[1 + k]) for k in (0, 1)]
-    return w, [abuse.calibrate(b, len(texts), sum(f[0] for f in found)) for b in bins]
+    return w, limits(found)
+
+
+def limits(found):
+    """What ``score`` does by grouped aggregation."""
+    out = []
+    for k in (1, 2):
+        passages = {h: s for f in found for s, h in f[k]}
+        low = sum(s < abuse.TAIL + abuse.WIDTH for f in found for s, _ in f[k])
+        out.append(abuse.calibrate(Counter(int(s / abuse.BIN) * abuse.BIN for s in passages.values()), low, sum(f[0] for f in found)))
+    return out
 
 
 def flagged(model, text):
-    w, limits = model
+    w, fit = model
     n, latin, cjk = w.scan(text)
-    return any(s >= abuse.threshold(n, *limits[k]) for k, part in enumerate((latin, cjk)) for s in part)
+    return any(s >= abuse.threshold(n, *fit[k]) for k, part in enumerate((latin, cjk)) for s, _ in part)
 
 
 # none of these stands in the test tables
@@ -73,15 +82,15 @@ def test_ratings_teach_words_the_lexicon_lacks():
 
 def test_calibration_recovers_the_law():
     r = random.Random(2)
-    texts, words, lam = 20_000, 2_000_000, abuse.PRIOR[1]
-    bins = Counter()
-    for _ in range(3000):
-        bins[int((abuse.TAIL + r.expovariate(lam)) / abuse.BIN) * abuse.BIN] += 1
-    for _ in range(400):
-        bins[int(r.uniform(8, 14) / abuse.BIN) * abuse.BIN] += 1
-    got, k = abuse.calibrate(bins, texts, words)
-    assert abs(got - lam) < 0.2 and abs(k * math.exp(-got * abuse.TAIL) * words - 3000) < 300
+    words, lam = 2_000_000, 1.7
+    background = [abuse.TAIL + r.expovariate(lam) for _ in range(3000)]
+    bins = Counter(int(s / abuse.BIN) * abuse.BIN for s in [*background, *(r.uniform(8, 14) for _ in range(400))])
+    low = sum(s < abuse.TAIL + abuse.WIDTH for s in background)
+    got, k = abuse.calibrate(bins, low, words)
+    assert abs(got - lam) < 0.2 and abs(k * math.exp(-got * abuse.TAIL) * words / low - 1) < 0.25
     assert abuse.threshold(100, got, k) < abuse.threshold(10_000, got, k)
+    # a sentence that stands in every other text changes the rate, not the law
+    assert abuse.calibrate(bins, low + 10_000, words)[0] == got
 
 
 def test_held_out_ratings(sf_dir):
@@ -96,9 +105,8 @@ def test_held_out_ratings(sf_dir):
         for row in abuse.tokens(t):
             vocabulary.count(row, counts)
     w = abuse.Weights(vocabulary, bad, counts)
-    found = [w.scan(t) for t in texts]
-    limits = [abuse.calibrate(Counter(int(s / abuse.BIN) * abuse.BIN for f in found for s in f[1 + k]), len(texts), sum(f[0] for f in found)) for k in (0, 1)]
-    sure = [(flagged((w, limits), t), y) for t, y, n, i in rated if not i % 2 and n > 1 and y in (0, 1)]
+    fit = limits([w.scan(t) for t in texts])
+    sure = [(flagged((w, fit), t), y) for t, y, n, i in rated if not i % 2 and n > 1 and y in (0, 1)]
     yes, no = [f for f, y in sure if y], [f for f, y in sure if not y]
     assert len(yes) > 10 and sum(yes) / len(yes) > 0.85 and sum(no) / len(no) < 0.1
 
