@@ -264,14 +264,21 @@ def cut(run: str, grams: ahocorasick.Automaton | None) -> list[tuple[str, int]]:
 
 
 class Vocabulary:
-    """The tokens that have a weight of their own: the lexicon's and the learned ones."""
+    """The tokens that have a weight of their own: the lexicon's and the learned ones, by number.
+
+    A sentence is written as numbers: a known token's own, ``PAIR`` + its own for a pair that ends at the word before it in the
+    list, -2 n for n unknown words, -2 k - 1 for k CJK letters that belong to no known n-gram.
+    """
+
+    PAIR = 1 << 24
 
     def __init__(self, learned: list[str]):
         self.learned = sorted(learned)
         x = lexicon()
-        self.grams = sorted({*x.grams, *(f for f in learned if f[0] >= "\u3040")})
-        self.words = frozenset([*x.words, *(f + "~" for f in x.stems), *(f for f in learned if f[0] < "\u3040")])
-        self.firsts = frozenset(w.split()[0] for w in self.words if " " in w)
+        self.names = sorted({*x.words, *x.grams, *(f + "~" for f in x.stems), *learned})
+        self.ids = {f: i for i, f in enumerate(self.names)}
+        self.letters = [len(f) if f[0] >= "\u3040" else 0 for f in self.names]
+        self.firsts = frozenset(f.split()[0] for f in self.names if " " in f)
         self._automaton = None
 
     def __getstate__(self) -> list[str]:
@@ -284,28 +291,54 @@ class Vocabulary:
     def automaton(self) -> ahocorasick.Automaton:
         if self._automaton is None:
             self._automaton = ahocorasick.Automaton()
-            for g in self.grams:
-                self._automaton.add_word(g, len(g))
+            for g, n in zip(self.names, self.letters):
+                if n:
+                    self._automaton.add_word(g, n)
             self._automaton.make_automaton()
         return self._automaton
 
-    def count(self, row: list[str], into: Counter) -> None:
-        """Adds a sentence's known tokens, its words under '' and its CJK letters under ``CJK_ALL``, as the scan takes them."""
-        last = ""
+    def encode(self, row: list[str]) -> list[int]:
+        out: list[int] = []
+        unknown, last, get, firsts = 0, "", self.ids.get, self.firsts
         for w in row:
             if w[0] >= "\u3040":
-                into[CJK_ALL] += len(w)
-                for g, _ in cut(w, self.automaton):
-                    if g:
-                        into[g] += 1
-                last = ""
+                if unknown:
+                    out.append(-2 * unknown)
+                out += [self.ids[g] if g else -2 * k - 1 for g, k in cut(w, self.automaton)]
+                unknown, last = 0, ""
                 continue
-            into[""] += 1
-            if w in self.words:
-                into[w] += 1
-            if last in self.firsts and (p := f"{last} {w}") in self.words:
-                into[p] += 1
+            i, pair = get(w), get(f"{last} {w}") if last in firsts else None
             last = w
+            if i is None and pair is None:
+                unknown += 1
+                continue
+            if unknown:
+                out.append(-2 * unknown)
+                unknown = 0
+            out.append(-2 if i is None else i)
+            if pair is not None:
+                out.append(self.PAIR + pair)
+        if unknown:
+            out.append(-2 * unknown)
+        return out
+
+    def text(self, text: str | None) -> list[list[int]]:
+        return [self.encode(row) for row in tokens(text)] if text and not text.isspace() else []
+
+    def counted(self, codes: dict[int, int]) -> Counter:
+        """Numbers of the known tokens by name, of all words under '' and of all CJK letters under ``CJK_ALL``."""
+        out: Counter = Counter()
+        for x, n in codes.items():
+            if x >= self.PAIR:
+                out[self.names[x - self.PAIR]] += n
+            elif x >= 0:
+                out[self.names[x]] += n
+                out[CJK_ALL if self.letters[x] else ""] += n * (self.letters[x] or 1)
+            elif x % 2:
+                out[CJK_ALL] += n * (-x // 2)
+            else:
+                out[""] += n * (-x // 2)
+        return out
 
 
 #: Key of the number of CJK letters in the counts.
@@ -316,42 +349,49 @@ class Weights:
     """Log-odds of the known words, pairs and CJK n-grams."""
 
     def __init__(self, vocabulary: Vocabulary, bad: Counter, counts: Counter):
-        """bad, counts: tokens of abusive passages and of the background (see ``Vocabulary.count``)."""
+        """bad, counts: tokens of abusive passages and of the background (see ``Vocabulary.counted``)."""
         self.vocabulary = vocabulary
-        self.odds: dict[str, float] = {}
+        self.odds: list[float] = []
         word, letter = bad[""] / max(counts[""], 1), bad[CJK_ALL] / max(counts[CJK_ALL], 1)
         x = lexicon()
-        for f in [*vocabulary.words, *vocabulary.grams]:
-            cjk, g = f[0] >= "\u3040", x.grade(f)
+        for f, n in zip(vocabulary.names, vocabulary.letters):
+            g = x.grade(f)
             prior = BETA * math.exp(GRADES[g]) if g is not None else BETA
-            s = math.log((bad[f] + prior) / (counts[f] * (letter if cjk else word) + BETA))
-            if g in (None, 2) and not cjk and " " not in f:
+            s = math.log((bad[f] + prior) / (counts[f] * (letter if n else word) + BETA))
+            if g in (None, 2) and not n and " " not in f:
                 s = min(s, LEARNED_WORD) + UNKNOWN
-            most = CAPS[g] if g is not None else LEARNED_LETTER * len(f) if cjk else LEARNED_PAIR
-            self.odds[f] = max(FLOOR, min(most, s))
-
-    def scores(self, row: list[str]) -> tuple[list[float], float, bool]:
-        """One score for each word and each piece of a CJK run; the words, with two CJK letters for one; whether there are any of those."""
-        get, firsts, last, out, n, cjk = self.odds.get, self.vocabulary.firsts, "", [], 0.0, False
-        for w in row:
-            if w[0] >= "\u3040":
-                out += [self.odds[g] if g else LETTER * k for g, k in cut(w, self.vocabulary.automaton)]
-                last, cjk = "", True
-                n += len(w) / 2
-                continue
-            s = get(w, UNKNOWN)
-            if last in firsts:
-                s += get(f"{last} {w}", 0.0)
-            last = w
-            n += 1
-            out.append(s)
+            most = CAPS[g] if g is not None else LEARNED_LETTER * n if n else LEARNED_PAIR
+            self.odds.append(max(FLOOR, min(most, s)))
+
+    def scores(self, codes: list[int]) -> tuple[list[float], float, bool]:
+        """One score for each known token and each run between; the words, with two CJK letters for one; whether there are any of those."""
+        odds, letters, pair, out, n, cjk = self.odds, self.vocabulary.letters, Vocabulary.PAIR, [], 0.0, False
+        for x in codes:
+            if x < 0:
+                k = -x // 2
+                if x % 2:
+                    out.append(LETTER * k)
+                    n += k / 2
+                    cjk = True
+                else:
+                    out.append(UNKNOWN * k)
+                    n += k
+            elif x < pair:
+                out.append(odds[x])
+                if letters[x]:
+                    n += letters[x] / 2
+                    cjk = True
+                else:
+                    n += 1
+            else:
+                out[-1] += odds[x - pair]
         return out, n, cjk
 
-    def scan(self, text: str | None) -> tuple[int, list[tuple[float, int]], list[tuple[float, int]]]:
-        """(words; scores of at least ``TAIL`` and digests of the segments in sentences of words; the same in sentences with CJK letters)."""
+    def scan(self, rows: list[list[int]]) -> tuple[int, list[tuple[float, int]], list[tuple[float, int]]]:
+        """(words; scores of at least ``TAIL`` and digests of the segments in sentences of words; the same in sentences with CJK letters) of an encoded text."""
         n, found = 0.0, ([], [])
-        for row in tokens(text) if text and not text.isspace() else []:
-            scores, k, cjk = self.scores(row)
+        for codes in rows:
+            scores, k, cjk = self.scores(codes)
             n += k
             if max(scores) > 0:
                 for a, b, x in maximal(scores):
@@ -424,10 +464,13 @@ def learn(rated: list[tuple[str, float]]) -> tuple[Vocabulary, Counter]:
     for turn in range(4):
         picked, rest = [], []
         for rows, y in docs:
-            best = [max((s for _, _, s in maximal(weights.scores(row)[0])), default=0.0) for row in rows]
+            if y < 0.5:
+                rest += rows
+                continue
+            best = [max((s for _, _, s in maximal(weights.scores(weights.vocabulary.encode(row))[0])), default=0.0) for row in rows]
             top = max(best, default=0.0)
             for row, s in zip(rows, best):
-                (picked if y >= 0.5 and s >= 2.0 and (s == top or s >= 4.0) else rest).append(row)
+                (picked if s >= 2.0 and (s == top or s >= 4.0) else rest).append(row)
         seen, plain = Counter(), Counter()
         for row in picked:
             seen.update(set(features(row)))
@@ -439,11 +482,7 @@ def learn(rated: list[tuple[str, float]]) -> tuple[Vocabulary, Counter]:
         # what disarms a word of the lexicon: pairs and n-grams around it that raters let pass
         learned += [f for f, n in plain.items() if n >= TAUGHT and n * ratio > 4 * seen[f] + 0.2 and lex.grade(f) is None and _holds(f)]
         vocabulary = Vocabulary(learned)
-        bad, background = Counter(), Counter()
-        for row in picked:
-            vocabulary.count(row, bad)
-        for row in rest:
-            vocabulary.count(row, background)
+        bad, background = (vocabulary.counted(Counter(x for row in part for x in vocabulary.encode(row))) for part in (picked, rest))
         weights = Weights(vocabulary, bad, background)
     return vocabulary, bad
 
@@ -455,37 +494,54 @@ def ratings(docs: DataFrame, rated: DataFrame, limit: int = RATED) -> list[tuple
     return [(r.text, r.y) for r in docs.select("doc_id", "text").where("text is not null").join(some, "doc_id").collect()]
 
 
-def train(docs: DataFrame, rated: DataFrame | None = None) -> Weights:
-    """docs(doc_id, text), rated(doc_id, unsafe) → weights: a bounded sample of ratings, the known tokens counted over all documents."""
-    vocabulary, bad = learn(ratings(docs, rated) if rated is not None else [])
+CODES = "array<array<int>>"
+
+
+def encoded(docs: DataFrame, vocabulary: Vocabulary, keep: list[str] | None = None) -> DataFrame:
+    """docs(doc_id, text) → (doc_id, the columns of ``keep``, codes): every text is taken apart once, for the counts and for the scan."""
+    held = docs.sparkSession.sparkContext.broadcast(vocabulary)
+    own = docs.select("doc_id", *(keep or []), "text")
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in own.schema.fields[:-1])
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        v = held.value
+        for b in batches:
+            codes = pa.array([v.text(t) for t in b.column(b.num_columns - 1).to_pylist()], pa.list_(pa.list_(pa.int32())))
+            yield pa.RecordBatch.from_arrays([*b.columns[:-1], codes], names=[*b.schema.names[:-1], "codes"])
+
+    return checkpointed(own.mapInArrow(work, f"{kinds}, codes {CODES}"))
+
+
+def train(rows: DataFrame, vocabulary: Vocabulary, bad: Counter) -> Weights:
+    """rows(codes) → weights: the known tokens are counted over all documents (a number for each reaches the driver)."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c: Counter = Counter()
         for b in batches:
-            for t in b.column(0).to_pylist():
-                for row in tokens(t):
-                    vocabulary.count(row, c)
-        yield pa.RecordBatch.from_arrays([pa.array(c.keys(), pa.string()), pa.array(c.values(), pa.int64())], names=["w", "n"])
+            c.update(b.column(0).flatten().flatten().to_pylist())
+        yield pa.RecordBatch.from_arrays([pa.array(c.keys(), pa.int32()), pa.array(c.values(), pa.int64())], names=["x", "n"])
 
-    rows = docs.select("text").where(F.col("text").isNotNull()).mapInArrow(work, "w string, n bigint").groupBy("w").agg(F.sum("n").alias("n")).collect()
-    return Weights(vocabulary, bad, Counter({r.w: r.n for r in rows}))
+    got = rows.select("codes").mapInArrow(work, "x int, n bigint").groupBy("x").agg(F.sum("n").alias("n"))
+    # runs of unknown words come in all lengths: what they count for is summed up before it is collected
+    run = F.when(F.col("x") < 0, -F.pmod(F.col("x"), F.lit(2)) - 2).otherwise(F.col("x"))
+    sums = got.groupBy(run.alias("x")).agg(F.sum(F.when(F.col("x") < 0, F.col("n") * F.floor(-F.col("x") / 2)).otherwise(F.col("n"))).alias("n")).collect()
+    return Weights(vocabulary, bad, vocabulary.counted({r.x: r.n for r in sums}))
 
 
-def scan(docs: DataFrame, weights: Weights, keep: list[str] | None = None) -> DataFrame:
-    """docs(doc_id, text) → (doc_id, the columns of ``keep``, words, latin, cjk): the scores of each text's segments."""
-    held = docs.sparkSession.sparkContext.broadcast(weights)
-    own = docs.select("doc_id", *(keep or []), "text")
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in own.schema.fields[:-1])
+def scan(rows: DataFrame, weights: Weights) -> DataFrame:
+    """rows(…, codes) → (…, words, latin, cjk): the scores of each text's segments."""
+    held = rows.sparkSession.sparkContext.broadcast(weights)
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         w = held.value
         for b in batches:
-            n, latin, cjk = zip(*(w.scan(t) for t in b.column(b.num_columns - 1).to_pylist())) if b.num_rows else ((), (), ())
+            n, latin, cjk = zip(*map(w.scan, b.column(b.num_columns - 1).to_pylist())) if b.num_rows else ((), (), ())
             kind = pa.list_(pa.struct([("s", pa.float64()), ("h", pa.int64())]))
             parts = [pa.array([[{"s": s, "h": h} for s, h in x] for x in col], kind) for col in (latin, cjk)]
             yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(n, pa.int64()), *parts], names=[*b.schema.names[:-1], "words", "latin", "cjk"])
 
-    return own.mapInArrow(work, f"{kinds}, words bigint, latin array<struct<s:double,h:bigint>>, cjk array<struct<s:double,h:bigint>>")
+    return rows.mapInArrow(work, f"{kinds}, words bigint, latin array<struct<s:double,h:bigint>>, cjk array<struct<s:double,h:bigint>>")
 
 
 def calibrate(bins: dict[float, int], low: int, words: int) -> tuple[float, float]:
@@ -515,9 +571,11 @@ def threshold(words: float, lam: float, k: float) -> float:
     return math.log(max(k * max(words, SHORTEST) / EXPECTED, 1.0)) / lam
 
 
-def score(docs: DataFrame, weights: Weights, keep: list[str] | None = None) -> DataFrame:
-    """docs(doc_id, text) → (doc_id, the columns of ``keep``, score, passages), one row per document."""
-    rows = checkpointed(scan(docs, weights, keep))
+def score(docs: DataFrame, rated: DataFrame | None = None, keep: list[str] | None = None) -> DataFrame:
+    """docs(doc_id, text), rated(doc_id, unsafe) → (doc_id, the columns of ``keep``, score, passages), one row per document."""
+    vocabulary, bad = learn(ratings(docs, rated) if rated is not None else [])
+    codes = encoded(docs, vocabulary, keep)
+    rows = checkpointed(scan(codes, train(codes, vocabulary, bad)))
     words = rows.agg(F.sum("words")).first()[0] or 0
     both = F.concat(*(F.transform(c, lambda x, k=k: F.struct(F.lit(k).alias("cjk"), x["s"].alias("s"), x["h"].alias("h"))) for k, c in ((False, "latin"), (True, "cjk"))))
     each = rows.select(F.explode(both).alias("x")).select("x.*").groupBy("cjk", "h").agg(F.max("s").alias("s"), F.count("*").alias("n"))  # different passages

@@ -113,7 +113,7 @@ def p9_scrubbed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _scored(spark: SparkSession, sf_dir: str, keep: list[str] | None = None) -> DataFrame:
     texts = spread(table(spark, sf_dir, "documents").select("doc_id", "text", *(keep or [])))
-    return abuse.score(texts, abuse.train(texts, table(spark, sf_dir, "doc_rating")), keep)
+    return abuse.score(texts, table(spark, sf_dir, "doc_rating"), keep)
 
 
 def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -19,13 +19,12 @@ def model(sf_dir):
     texts = [t for (t,) in con.execute(f"SELECT text FROM '{sf_dir}/../sf0.01/documents.parquet' WHERE text IS NOT NULL").fetchall()]
     rated = con.execute(f"SELECT text, avg(unsafe) FROM '{sf_dir}/../sf0.01/documents.parquet' JOIN '{sf_dir}/../sf0.01/doc_rating.parquet' USING (doc_id) WHERE unsafe IS NOT NULL AND text IS NOT NULL GROUP BY doc_id, text").fetchall()
     vocabulary, bad = abuse.learn(rated)
-    counts = Counter()
-    for t in texts:
-        for row in abuse.tokens(t):
-            vocabulary.count(row, counts)
-    w = abuse.Weights(vocabulary, bad, counts)
-    found = [w.scan(t) for t in texts]
-    return w, limits(found)
+    w = weigh(vocabulary, bad, texts)
+    return w, limits([w.scan(vocabulary.text(t)) for t in texts])
+
+
+def weigh(vocabulary, bad, texts):
+    return abuse.Weights(vocabulary, bad, vocabulary.counted(Counter(x for t in texts for row in vocabulary.text(t) for x in row)))
 
 
 def limits(found):
@@ -40,7 +39,7 @@ def limits(found):
 
 def flagged(model, text):
     w, fit = model
-    n, latin, cjk = w.scan(text)
+    n, latin, cjk = w.scan(w.vocabulary.text(text))
     return any(s >= abuse.threshold(n, *fit[k]) for k, part in enumerate((latin, cjk)) for s, _ in part)
 
 
@@ -72,12 +71,9 @@ def test_ratings_teach_words_the_lexicon_lacks():
     rated = [(plain() + "you are a moronic zorblat indeed, you asshole. " + plain(), 1.0) for _ in range(20)] + [(plain() + plain(), 0.0) for _ in range(60)] + [(plain(), 1.0) for _ in range(5)]
     vocabulary, bad = abuse.learn(rated)
     assert "zorblat" in vocabulary.learned and not set(words) & set(vocabulary.learned)
-    counts = Counter()
-    for t, _ in rated:
-        for row in abuse.tokens(t):
-            vocabulary.count(row, counts)
-    w = abuse.Weights(vocabulary, bad, counts)
-    assert w.odds["zorblat"] > 0 and pickle.loads(pickle.dumps(w)).scores(["zorblat"]) == w.scores(["zorblat"])
+    w = weigh(vocabulary, bad, [t for t, _ in rated])
+    codes = vocabulary.encode(["zorblat"])
+    assert w.odds[vocabulary.ids["zorblat"]] > 0 and pickle.loads(pickle.dumps(w)).scores(codes) == w.scores(codes)
 
 
 def test_calibration_recovers_the_law():
@@ -100,12 +96,9 @@ def test_held_out_ratings(sf_dir):
     con, d = duckdb.connect(), f"{sf_dir}/../sf0.1"
     rated = con.execute(f"SELECT text, avg(unsafe), count(*), doc_id FROM '{d}/documents.parquet' JOIN '{d}/doc_rating.parquet' USING (doc_id) WHERE unsafe IS NOT NULL AND text IS NOT NULL GROUP BY doc_id, text").fetchall()
     vocabulary, bad = abuse.learn([r[:2] for r in rated if r[3] % 2])
-    texts, counts = [t for (t,) in con.execute(f"SELECT text FROM '{d}/documents.parquet' WHERE text IS NOT NULL AND doc_id % 10 = 0").fetchall()], Counter()
-    for t in texts:
-        for row in abuse.tokens(t):
-            vocabulary.count(row, counts)
-    w = abuse.Weights(vocabulary, bad, counts)
-    fit = limits([w.scan(t) for t in texts])
+    texts = [t for (t,) in con.execute(f"SELECT text FROM '{d}/documents.parquet' WHERE text IS NOT NULL AND doc_id % 10 = 0").fetchall()]
+    w = weigh(vocabulary, bad, texts)
+    fit = limits([w.scan(vocabulary.text(t)) for t in texts])
     sure = [(flagged((w, fit), t), y) for t, y, n, i in rated if not i % 2 and n > 1 and y in (0, 1)]
     yes, no = [f for f, y in sure if y], [f for f, y in sure if not y]
     assert len(yes) > 10 and sum(yes) / len(yes) > 0.85 and sum(no) / len(no) < 0.1
@@ -140,20 +133,28 @@ def test_long_text_is_scanned_whole(model):
     assert flagged(model, "The site lists many chapters and the last three are sketches. " * 3000 + "Fuck you, you filthy whore, you stupid asshole!")
 
 
-def test_scores_and_empty_tables(spark, model):
-    w = model[0]
-    df = spark.createDataFrame([(1, BAD[1], "s", 0.5), (2, None, "s", 0.5), (3, "", None, 0.5), (1, BAD[1], "s", 0.5)], "doc_id long, text string, source string, score double")
-    got = abuse.score(df, w, ["source"])
-    assert sorted((r.doc_id, r.passages > 0) for r in got.collect()) == [(1, True), (1, True), (2, False), (3, False)]
-    assert {(r.source, r.documents, r.flagged, r.low < r.rate < r.high or r.rate == 0) for r in abuse.rates(got).collect()} == {("s", 3, 2, True), (None, 1, 0, True)}
-    assert abuse.score(df.limit(0), w).count() == 0
+def test_scores_and_empty_tables(spark):
+    bad = "Fuck you, you filthy whore, you stupid asshole!"
+    df = spark.createDataFrame([(1, bad, "s", 0.5), (2, None, "s", 0.5), (3, "", None, 0.5), (1, bad, "s", 0.5)] + [(i, AROUND * 3, "s", 0.5) for i in range(10, 60)], "doc_id long, text string, source string, score double")
     rated = spark.createDataFrame([(1, 1), (2, None), (None, 1), (9, 1)], "doc_id long, unsafe int")
-    assert abuse.ratings(df, rated) == [(BAD[1], 1.0)] * 2
-    assert abuse.train(df.limit(0), rated.limit(0)).scan("hello") == (1, [], [])
-
-
-def test_counts_and_scan_take_the_same_tokens():
-    v, c = abuse.Vocabulary([]), Counter()
-    for row in abuse.tokens("A letter by Puta Ziji. Dreckiger Abschaum lebt hier. 你这个没用的畜生"):
-        v.count(row, c)
-    assert c["puta"] == 0 and c["abschaum"] == 1 and c["畜生"] == 1 and c[abuse.CJK_ALL] == 8
+    got = abuse.score(df, rated, ["source"])
+    assert sorted((r.doc_id, r.passages > 0) for r in got.where("doc_id < 10").collect()) == [(1, True), (1, True), (2, False), (3, False)]
+    assert {(r.source, r.documents, r.flagged, r.low < r.rate < r.high or r.rate == 0) for r in abuse.rates(got).collect()} == {("s", 53, 2, True), (None, 1, 0, True)}
+    assert abuse.ratings(df, rated) == [(bad, 1.0)] * 2
+    assert abuse.score(df.limit(0), rated.limit(0)).count() == 0 and abuse.score(df, None).where("passages > 0").count() == 2
+
+
+def test_codes_count_what_the_scan_takes():
+    v = abuse.Vocabulary([])
+    text = "A letter by Puta Ziji and many more unknown words. Dreckiger Abschaum lebt hier. 你这个没用的畜生"
+    c = v.counted(Counter(x for row in v.text(text) for x in row))
+    assert c["puta"] == 0 and c["abschaum"] == 1 and c["畜生"] == 1 and c[abuse.CJK_ALL] == 8 and c[""] == sum(len(r) for r in abuse.tokens(text) if r[0] < "\u3040")
+    w = abuse.Weights(v, Counter(), Counter())
+    assert w.scan(v.text(text))[0] == c[""] + 4
+
+
+def test_counts_of_the_corpus(spark, model):
+    v, texts = model[0].vocabulary, [BAD[0] + " " + AROUND, BAD[8], None, " ".join(["word"] * 700)]
+    rows = abuse.encoded(spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string"), v)
+    got, want = abuse.train(rows, v, Counter({"": 50, abuse.CJK_ALL: 20, "moron": 3})), weigh(v, Counter({"": 50, abuse.CJK_ALL: 20, "moron": 3}), texts)
+    assert got.odds == want.odds
