@@ -190,6 +190,8 @@ def plain_texts(texts: list[str | None]) -> list[str | None]:
 
 def find(df: DataFrame, model) -> DataFrame:
     """df(src, row_id, text) → rows whose text isn't plain and isn't wrongly decoded, with the plain form."""
+    from .garble import garbled
+
     held = df.sparkSession.sparkContext.broadcast(model)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -201,7 +203,7 @@ def find(df: DataFrame, model) -> DataFrame:
                 continue
             con.register("batch", pa.Table.from_batches([pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), batch.column(2)], names=["src", "row_id", "kept", "text"])]))
             got = con.sql(f"SELECT src, row_id, kept, plain FROM ({statement()}) WHERE plain <> kept").to_arrow_table()
-            kept = [i for i, t in enumerate(got["kept"].to_pylist()) if not m.judge(t)[0]]
+            kept = [i for i, x in enumerate(garbled(m, got["kept"].combine_chunks())) if not x]
             yield from got.take(pa.array(kept, pa.int64())).select(["src", "row_id", "plain"]).to_batches()
 
     some = df.select("src", "row_id", "text").where(F.col("text").rlike(r"[^\x00-\x7f]"))
