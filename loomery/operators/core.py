@@ -392,6 +392,38 @@ def html_by_rule(spark, d):
     return H.by_rule(rows, "audit_id", "html", "pattern", "groups")
 
 
+#: Stages of a site's rule: pattern, groups of the url and of the title.
+_STAGES = {
+    "search": (r"""<a[^>]*href="([^"]*/(?:comic|series|title|book|manga)/[^"]*)"[^>]*>(?:<b>)?([^<]*)""", [1], [2]), "detail": (r"""<a[^>]*href="([^"]*/chapter/[^"]*)"[^>]*>([^<]*)""", [1], [2]),
+    "reader": (r"""<img[^>]*?(?:data-src="([^"]*)"|src="([^"]*)")""", [1, 2], []), "next": (r"""<a[^>]*href="([^"]*)"[^>]*>Free""", [1], []),
+}
+
+
+def _staged(stage: str) -> str:
+    pattern, url, title = _STAGES[stage]
+    found = ", ".join(f"regexp_extract_all(html, {q('(?is)' + pattern)}, {g}) AS g{g}" for g in [*url, *title])
+    pick = lambda gs: f"coalesce({', '.join(f'nullif(g{g}[i], {chr(39) * 2})' for g in gs)})" if gs else "CAST(NULL AS VARCHAR)"
+    return f"SELECT audit_id, '{stage}' AS stage, i - 1 AS pos, {pick(url)} AS url, {pick(title)} AS title FROM (SELECT *, unnest(range(1, len(g{url[0]}) + 1)) AS i FROM (SELECT audit_id, {found} FROM {_PAGE_SQL}))"
+
+
+@query("SELECT * FROM (" + " UNION ALL ".join(map(_staged, _STAGES)) + ") WHERE url IS NOT NULL")
+def html_rule_stages(spark, d):
+    # each row carries the whole rule of its site, named after the row
+    name = F.concat(F.lit("(?#rule "), F.col("audit_id").cast("string"), F.lit(")"))
+    ints = lambda gs: F.array(*map(F.lit, gs)).cast("array<int>")
+    rules = F.array(*(F.struct(F.lit(s).alias("stage"), F.concat(name, F.lit(p)).alias("pattern"), ints(u).alias("url"), ints(t).alias("title")) for s, (p, u, t) in _STAGES.items()))
+    return H.by_stages(_pages(spark, d).withColumn("rules", rules), "audit_id", "html", "rules")
+
+
+@query("SELECT run_id, CAST(n - 1 AS INTEGER) AS step, audit_id FROM (SELECT run_id, audit_id, row_number() OVER (PARTITION BY run_id ORDER BY audit_id) AS n FROM page_audit WHERE run_id IS NOT NULL) WHERE n <= 6")
+def next_page_chain(spark, d):
+    # a run's audits stand in for the pages of a chapter: each links to the next one
+    p = table(spark, d, "page_audit").where("run_id is not null").select("run_id", "audit_id")
+    at = R.numbered(p, [F.col("run_id"), F.col("audit_id")], "at")  # no task holds a whole run
+    links = at.join(at.select("run_id", (F.col("at") - 1).alias("at"), F.col("audit_id").alias("next")), ["run_id", "at"]).select("audit_id", "next")
+    return R.follow(p.groupBy("run_id").agg(F.min("audit_id").alias("audit_id")), links, "run_id", "audit_id", "next", 6)
+
+
 # ---- expansion --------------------------------------------------------------------------------------------------
 
 

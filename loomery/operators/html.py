@@ -151,3 +151,38 @@ def by_rule(df: DataFrame, key: str, html: str, pattern: str, groups: str) -> Da
             yield pa.RecordBatch.from_arrays([pa.array(out[0], b.schema.field(0).type), pa.array(out[1], pa.int64()), pa.array(out[2], pa.string())], names=[key, "pos", "value"])
 
     return df.select(key, html, pattern, groups).mapInArrow(work_batches, f"{key} {kind}, pos bigint, value string")
+
+
+RULES = "array<struct<stage:string,pattern:string,url:array<int>,title:array<int>>>"
+
+
+def by_stages(df: DataFrame, key: str, html: str, rules: str) -> DataFrame:
+    """Interpret whole rules that rows carry (an array of ``RULES``): search items, chapters, images and next pages of one page.
+
+    (key, stage, pos, url, title): url and title are the first groups of their lists that took part in the match (null if none did); a
+    match without url gives no row, a pattern that can't be compiled no match.
+    """
+    kind = df.schema[key].dataType.simpleString()
+
+    def work_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        compiled: dict[str, re.Pattern | None] = {}
+        first = lambda m, gs: next((m[g] for g in gs or () if g <= m.re.groups and m[g]), None)
+        for b in batches:
+            out: tuple[list, ...] = ([], [], [], [], [])
+            for k, page, stages in zip(*(c.to_pylist() for c in b.columns)):
+                for stage in stages or ():
+                    p = stage["pattern"]
+                    if p not in compiled:
+                        if len(compiled) >= MOST_PATTERNS:
+                            compiled.clear()
+                        try:
+                            compiled[p] = re.compile(p, re.S | re.I) if p else None
+                        except re.error:
+                            compiled[p] = None
+                    for pos, m in enumerate(compiled[p].finditer(page or "") if compiled[p] else ()):
+                        if (url := first(m, stage["url"])) is not None:
+                            for col, v in zip(out, (k, stage["stage"], pos, url, first(m, stage["title"]))):
+                                col.append(v)
+            yield pa.RecordBatch.from_arrays([pa.array(out[0], b.schema.field(0).type), pa.array(out[1], pa.string()), pa.array(out[2], pa.int64()), pa.array(out[3], pa.string()), pa.array(out[4], pa.string())], names=[key, "stage", "pos", "url", "title"])
+
+    return df.select(key, html, F.col(rules).cast(RULES)).mapInArrow(work_batches, f"{key} {kind}, stage string, pos bigint, url string, title string")

@@ -149,3 +149,17 @@ def _by_tokens(df: DataFrame, text: str, tokens: DataFrame, token: str, limit: i
     grams = rows.select("_id", text, F.explode(F.array_distinct(F.concat(*map(pieces, sizes)))).alias("_g"))
     hit = grams.join(t, "_g").where(F.contains(F.col(text), F.col("_t"))).select("_id").distinct()
     return rows.join(hit, "_id", "left_semi" if keep else "left_anti").drop("_id")
+
+
+def follow(starts: DataFrame, links: DataFrame, start: str, node: str, target: str, most: int) -> DataFrame:
+    """(start, step, node): chains of links (node → target, one target each) from every starting node, of at most ``most`` nodes.
+
+    starts(start, node); a chain ends before a node that it has passed. ``most`` is small (next pages of a chapter): one equi-join a step.
+    """
+    hop = links.select(node, F.col(target).alias("_to")).where(F.col("_to").isNotNull())
+    now = starts.select(start, F.lit(0).alias("step"), node, F.array(node).alias("_seen"))
+    out = now
+    for step in range(1, most):
+        now = now.join(hop, node).where(~F.array_contains("_seen", F.col("_to"))).select(start, F.lit(step).alias("step"), F.col("_to").alias(node), F.concat("_seen", F.array("_to")).alias("_seen"))
+        out = out.unionByName(now)
+    return out.drop("_seen")

@@ -39,3 +39,12 @@ def test_more_rules_than_are_held(spark):
     df = spark.range(0, n, 1, 1).select("id", F.concat(F.lit("<i>"), F.col("id"), F.lit("</i>")).alias("html"), F.concat(F.lit("<i>("), F.col("id"), F.lit(")</i>")).alias("p"), F.array(F.lit(1)).alias("g"))
     got = H.by_rule(df, "id", "html", "p", "g").collect()
     assert len(got) == n and all(r.value == str(r.id) for r in got)
+
+
+def test_rules_of_many_rows_and_stages(spark, monkeypatch):
+    monkeypatch.setattr(H, "MOST_PATTERNS", 3)  # more rules than a task remembers
+    page = '<a href="/c/1">One</a><img src="x.png"><a href="/c/2"></a>'
+    rows = [(i, page if i % 7 else None, [("detail", f'(?#{i})<a href="([^"]*)">([^<]*)', [1], [2]), ("reader", 'src="([^"]*)"', [1, 9], None), ("broken", "(", [1], []), (None, None, None, None)]) for i in range(40)] + [(99, page, None)]
+    df = spark.createDataFrame(rows, f"id long, html string, rules {H.RULES}")
+    got = {(r.id, r.stage, r.pos, r.url, r.title) for r in H.by_stages(df, "id", "html", "rules").collect()}
+    assert got == {x for i in range(40) if i % 7 for x in ((i, "detail", 0, "/c/1", "One"), (i, "detail", 1, "/c/2", None), (i, "reader", 0, "x.png", None))}

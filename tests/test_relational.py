@@ -123,3 +123,12 @@ def test_streaks_against_brute_force(spark):
                 break
     got = R.streak_cut(spark.createDataFrame(rows, "g string, o long, bad boolean"), ["g"], "o", F.col("bad"), 3).collect()
     assert {x.o for x in got} == want and len(got) == len(want)
+
+
+def test_chains_end_at_cycles_and_at_the_limit(spark):
+    links = spark.createDataFrame([("a", "b"), ("b", "c"), ("c", "a"), ("x", "y"), ("y", None), ("s", "s")] + [(f"n{i}", f"n{i + 1}") for i in range(20)], "page string, next string")
+    starts = spark.createDataFrame([(1, "a"), (2, "x"), (3, "s"), (4, "n0"), (5, "lone")], "id int, page string")
+    got = {}
+    for r in R.follow(starts, links, "id", "page", "next", 5).orderBy("step").collect():
+        got.setdefault(r.id, []).append(r.page)
+    assert got == {1: ["a", "b", "c"], 2: ["x", "y"], 3: ["s"], 4: [f"n{i}" for i in range(5)], 5: ["lone"]}
