@@ -83,10 +83,13 @@ _ALIKE = str.maketrans("асеорхуіјѕһɑοϲνκ", "aceopxyijshaocvk")
 _TOKEN = re.compile(r"[A-Za-zÀ-ɏ0-9@$+!|*'’]+|[Ѐ-ӿ]+|[㐀-鿿豈-﫿々぀-ヿ]+|[가-힣]+")
 _CJK = re.compile("[぀-ヿ㐀-鿿가-힣]")
 _IN_CJK = re.compile(r"(?<=[぀-ヿ㐀-鿿])[\s*·•.．_\-~|/＊]+(?=[぀-ヿ㐀-鿿])")
+_HANGUL = re.compile("[가-힣]")
 #: Hangul keeps its blanks, but for letters that stand alone.
 _IN_HANGUL = re.compile(r"(?<=[가-힣])[*·•.．_\-~|/＊]+(?=[가-힣])|(?<=(?<![가-힣])[가-힣])[ ]+(?=[가-힣](?![가-힣]))")
 _IN_WORD = re.compile(r"(?<=[A-Za-zÀ-ɏЀ-ӿ])[*·•._\-~](?=[A-Za-zÀ-ɏЀ-ӿ])")
 _SPACED = re.compile(r"(?<![^\W\d_])(?:[^\W\d_][ .*_\-]){3,}[^\W\d_](?![^\W\d_])")
+#: What a word with its letters apart holds in any case (a quick look).
+_APART = re.compile(r"[ .*_\-][^\W\d_][ .*_\-][^\W\d_][ .*_\-]")
 _RUN = re.compile(r"(.)\1{2,}")
 #: Capitalized words in a row, as names of people and places are written, unless the first only starts a sentence.
 _NAME = re.compile(r"(?<![A-Za-zÀ-ɏЀ-ӿ])[A-ZÀ-ÞА-ЯЁ][a-zß-ÿа-яё]+(?: [A-ZÀ-ÞА-ЯЁ][a-zß-ÿа-яё]+)+(?![*·•@$+|0-9]*[A-Za-zÀ-ɏЀ-ӿ])")
@@ -128,6 +131,8 @@ def lexicon() -> Lexicon:
 #: Plain spellings of the words a worker has met (cleared when full).
 _KNOWN_FORMS: dict[str, str] = {}
 MOST_FORMS = 200_000
+#: Sentences that a worker remembers with their codes (cleared when full).
+MOST_SENTENCES = 20_000
 
 
 def plain_word(w: str) -> str:
@@ -203,28 +208,36 @@ def _unnamed(m: re.Match) -> str:
     return " ".join(w if i < keep or i in known else "Nn" for i, w in enumerate(words))
 
 
-def tokens(text: str) -> list[list[str]]:
-    """Sentences as plain words and runs of CJK letters."""
+def sentences(text: str) -> list[str]:
+    """Sentences in lower case, without names and with what hides letters undone."""
     t = text if text.isascii() else _SEEN.sub("", unicodedata.normalize("NFKC", text))
     t = _NAME.sub(_unnamed, t).lower()
-    t = _SPACED.sub(lambda m: re.sub(r"[ .*_\-]", "", m[0]), t)
+    if _APART.search(t):
+        t = _SPACED.sub(lambda m: re.sub(r"[ .*_\-]", "", m[0]), t)
     if not t.isascii():
-        t = _IN_HANGUL.sub("", _IN_CJK.sub("", t))
-    out: list[list[str]] = []
-    forms = _KNOWN_FORMS
+        t = _IN_CJK.sub("", t)
+        if _HANGUL.search(t):
+            t = _IN_HANGUL.sub("", t)
     # a sign inside a word is a mask, not an end of a sentence
-    for sentence in _SENTENCE.split(_IN_WORD.sub("*", t)):
-        row: list[str] = []
-        for w in _TOKEN.findall(sentence):
-            if w[0] >= "\u3040":
-                row.append(w)
-            elif w in forms:
-                row.append(forms[w])
-            elif w.strip("'’!|+*@$"):
-                row.append(plain_word(w))
-        if row:
-            out.append(row)
-    return out
+    return _SENTENCE.split(_IN_WORD.sub("*", t))
+
+
+def words(sentence: str) -> list[str]:
+    """A sentence as plain words and runs of CJK letters."""
+    row: list[str] = []
+    forms = _KNOWN_FORMS
+    for w in _TOKEN.findall(sentence):
+        if w[0] >= "\u3040":
+            row.append(w)
+        elif w in forms:
+            row.append(forms[w])
+        elif w.strip("'’!|+*@$"):
+            row.append(plain_word(w))
+    return row
+
+
+def tokens(text: str) -> list[list[str]]:
+    return [row for s in sentences(text) if (row := words(s))]
 
 
 def features(row: list[str]) -> list[str]:
@@ -280,6 +293,7 @@ class Vocabulary:
         self.letters = [len(f) if f[0] >= "\u3040" else 0 for f in self.names]
         self.firsts = frozenset(f.split()[0] for f in self.names if " " in f)
         self._automaton = None
+        self._memo: dict[str, list[int]] = {}
 
     def __getstate__(self) -> list[str]:
         return self.learned
@@ -323,7 +337,18 @@ class Vocabulary:
         return out
 
     def text(self, text: str | None) -> list[list[int]]:
-        return [self.encode(row) for row in tokens(text)] if text and not text.isspace() else []
+        out, memo = [], self._memo
+        for s in sentences(text) if text and not text.isspace() else ():
+            codes = memo.get(s)
+            if codes is None:
+                codes = self.encode(words(s))
+                if len(memo) >= MOST_SENTENCES:
+                    memo.clear()
+                if len(s) <= 300:  # sentences of templates recur, names in them masked
+                    memo[s] = codes
+            if codes:
+                out.append(codes)
+        return out
 
     def counted(self, codes: dict[int, int]) -> Counter:
         """Numbers of the known tokens by name, of all words under '' and of all CJK letters under ``CJK_ALL``."""
