@@ -1,7 +1,7 @@
 """Text decoded with a wrong character encoding: find it, name the encoding chain, restore it.
 
-A multinomial model over hashed byte bigrams (of the text's UTF-8 form) is trained on a bounded
-sample of the corpus that is garbled synthetically by every chain of ``CHAINS``. A record is
+A multinomial model over hashed byte bigrams (of the text's UTF-8 form) is trained on all texts of the
+corpus, garbled synthetically by every chain of ``CHAINS``. A record is
 suspect where the best contiguous run of log-odds (garbled by any chain : clean) is high enough,
 so a garbled passage inside clean text counts as well. For a suspect the chains are tried in
 the order of their posterior on the parts that reach into that run: encode strictly with the wrong encoding, decode strictly with
@@ -17,11 +17,16 @@ scored as a whole, in linear time.
 
 from __future__ import annotations
 
+import codecs
 import math
 import re
 import unicodedata
+import zlib
+from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import compress
+from operator import ne
 
 import numpy as np
 import pyarrow as pa
@@ -29,14 +34,14 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..runtime import hash_sample, spread
+from ..runtime import spread
 from .arrowtext import best_segments, bytes_of, segment_bounds
 
 BUCKETS = 1 << 15
-#: Rows of the training sample, of each table (about).
-SAMPLE = 5000
-#: Texts of the sample that each chain garbles for its counts (about, taken evenly); the clean side sees all.
-CHAIN_TEXTS = 1500
+#: How many texts the counts of a larger corpus weigh as beside the given phrases and the smoothing, on the clean side and for a chain. All texts are counted.
+WEIGHT, CHAIN_WEIGHT = 9000, 1500
+#: Words and characters that a task remembers before it counts what the chains make of them, and characters that are garbled at once.
+MOST_KNOWN, MOST_CHARS, GARBLED_CHARS = 200_000, 4_000_000, 200_000
 #: Log-odds (nats) of a run from which a text trains no clean model, and from which a record counts without a restored text.
 SUSPECT, CERTAIN = 7.0, 30.0
 #: Log-odds of a run from which the chains are tried; a text of few characters can hold less evidence.
@@ -77,31 +82,22 @@ HARD = re.compile("[�\x80-\x9f]|ï¿½|锟斤拷|锟絏?")
 
 
 @lru_cache(maxsize=1)
-def _web1252() -> tuple[dict, dict]:
-    """windows-1252 as browsers read it: the five unassigned bytes are C1 controls."""
-    dec = {}
-    for b in range(256):
-        try:
-            dec[b] = bytes([b]).decode("cp1252")
-        except UnicodeDecodeError:
-            dec[b] = chr(b)
-    return {b: c for b, c in dec.items() if b != ord(c)}, {ord(c): b for b, c in dec.items()}
+def _web1252() -> tuple[str, object]:
+    """windows-1252 as browsers read it, as tables to decode and to encode by: the five unassigned bytes are C1 controls."""
+    table = "".join(c if (c := bytes([b]).decode("cp1252", "ignore")) else chr(b) for b in range(256))
+    return table, codecs.charmap_build(table)
 
 
 def decode(data: bytes, enc: str, errors: str = "strict") -> str:
     if enc == "web1252":
-        return data.decode("latin_1").translate(_web1252()[0])
+        return codecs.charmap_decode(data, errors, _web1252()[0])[0]
     return data.decode(enc, errors)
 
 
 def encode(text: str, enc: str) -> bytes:
     """Strict; raises UnicodeError if a character has no byte in ``enc``."""
     if enc == "web1252":
-        back = _web1252()[1]
-        try:
-            return bytes(back[ord(c)] for c in text)
-        except KeyError as e:
-            raise UnicodeError(str(e)) from None
+        return codecs.charmap_encode(text, "strict", _web1252()[1])[0]
     return text.encode(enc)
 
 
@@ -174,16 +170,18 @@ def _plain(text: str) -> str:
     return _WIDTHS.sub(lambda m: unicodedata.normalize("NFKC", m[0]), _PLAIN.sub("", text))
 
 
-def _variants(text: str, i: int) -> list[str]:
-    """Right texts in other dress, so that none of them is taken for a wrong decoding."""
+#: Right words in other dress, so that none of them is taken for a wrong decoding.
+_DRESS = (str.upper, str.lower, str.swapcase, lambda w: unicodedata.normalize("NFD", w))
+
+
+def _variants(text: str) -> list[str]:
+    """A text with one word in letters of another kind, and with odd blanks; a text's own hash says where."""
+    i = zlib.crc32(text.encode("utf-8", "replace"))
     words = text.split(" ")
     w = i % len(words)
-    words[w] = words[w].translate(_WIDE) if i % 2 else words[w].translate(_ALIKE)
-    at = (i * 7) % (len(text) + 1)
-    return [
-        text.upper(), text.lower(), text.swapcase(), " ".join(words), unicodedata.normalize("NFD", text[:60]),
-        text[:at] + _BLANKS[i % len(_BLANKS)] + text[at : at + 2] + _BLANKS[(i // 3) % len(_BLANKS)] + text[at + 2 :],
-    ]
+    words[w] = words[w].translate(_WIDE) if i // 7 % 2 else words[w].translate(_ALIKE)
+    at = (i // 11) % (len(text) + 1)
+    return [" ".join(words), text[:at] + _BLANKS[i % len(_BLANKS)] + text[at : at + 2] + _BLANKS[(i // 3) % len(_BLANKS)] + text[at + 2 :]]
 
 
 #: By encoding, the characters seen so far and whether it has them (at most all of Unicode).
@@ -228,14 +226,158 @@ def _encodable(c: str, enc: str) -> bool:
         return False
 
 
-def _chain_rule(texts: list[str]) -> np.ndarray:
-    """Log-probability of each byte after each byte in clean texts, smoothed towards that of the byte."""
-    # what a corpus holds now and then: other letters and signs of Europe at the head and inside of words, and other scripts
+def _pairs(data: bytes, weights: np.ndarray | None = None) -> np.ndarray:
+    """How often each byte follows each byte, as 65,536 counts; weights: of each byte with its successor."""
+    d = np.frombuffer(data, np.uint8)
+    at = d[:-1].astype(np.uint16) << 8 | d[1:]
+    return np.bincount(at, minlength=65536) if weights is None else np.bincount(at, weights[: len(at)], 65536).astype(np.int64)
+
+
+@lru_cache(maxsize=1)
+def _buckets() -> np.ndarray:
+    """Bucket of each pair of bytes."""
+    a = np.repeat(np.arange(256, dtype=np.uint8), 256)
+    return bigrams(np.stack([a, np.tile(np.arange(256, dtype=np.uint8), 256)], 1).ravel())[::2]
+
+
+def _hashed(pairs: np.ndarray) -> np.ndarray:
+    c = np.bincount(_buckets(), pairs, BUCKETS)
+    c[0] = 0
+    return c
+
+
+#: A word with what stands on either side. No encoding has signs up to "?" inside of a character, so a chain does the same to a word wherever it stands (but for how many U+FFFD a cut character of euc_jp leaves).
+_BORDERED = re.compile("([\x00-?][^\x00-?]+)(?=([\x00-?]))")
+
+
+#: By encoding, the characters counted so far and whether it has bytes for them (at most all of Unicode).
+_HAS: dict[str, dict[str, bool]] = {}
+
+
+def _has(c: str, enc: str) -> bool:
+    try:
+        encode(c, enc)
+        return True
+    except UnicodeError:
+        return False
+
+
+class Counts:
+    """What a model is made of, as sums over texts: they can be counted in parts and added."""
+
+    def __init__(self) -> None:
+        #: Number of texts; pairs of bytes; hashed pairs in other dress and by chain; pairs of Cyrillic letters (0: a word's end).
+        self.parts = {"n": np.zeros(1, np.int64), "clean": np.zeros(65536, np.int64), "dress": np.zeros(BUCKETS, np.int64), "letters": np.zeros(128 * 128, np.int64), "chains": np.zeros(len(CHAINS) * BUCKETS, np.int64)}
+        self._known: Counter[tuple[str, str]] = Counter()
+        self._chars = 0
+
+    def __getattr__(self, name: str) -> np.ndarray:
+        if name in ("n", "clean", "dress", "letters", "chains"):
+            return self.parts[name]
+        raise AttributeError(name)
+
+    def __sub__(self, other: Counts) -> Counts:
+        out = Counts()
+        out.parts = {k: v - other.parts[k] for k, v in self.parts.items()}
+        return out
+
+    @staticmethod
+    def of(texts: list[str]) -> Counts:
+        out = Counts()
+        for i in range(0, len(texts), 5000):
+            out.add(texts[i : i + 5000])
+        return out.done()
+
+    def add(self, texts: list[str]) -> None:
+        texts = [t.replace("\0", " ") for t in texts]
+        whole = "\n".join(["", *texts, ""])
+        self.n[0] += len(texts)
+        self.clean[:] += _pairs(whole.encode("utf-8", "replace"))
+        self.dress[:] += _hashed(_pairs("\n".join(["", *(v for t in texts for v in _variants(t)), ""]).encode("utf-8", "replace"))).astype(np.int64)
+        odd = [w for w in _BORDERED.findall(whole) if not w[0].isascii()]
+        self._known.update(odd)
+        self._chars += sum(len(w[0]) for w in odd)
+        if len(self._known) > MOST_KNOWN or self._chars > MOST_CHARS:
+            self.done()
+
+    def done(self) -> Counts:
+        """Counts what is remembered."""
+        words, times, size = [], [], 0
+        for (w, end), n in self._known.items():
+            words.append(w + end)
+            times.append(n)
+            size += len(w) + 1
+            if size > GARBLED_CHARS:
+                self._garble(words, np.array(times, float))
+                words, times, size = [], [], 0
+        if words:
+            self._garble(words, np.array(times, float))
+        self._known.clear()
+        self._chars = 0
+        return self
+
+    def _garble(self, words: list[str], times: np.ndarray) -> None:
+        def pairs(ws: list[str], ns: np.ndarray) -> np.ndarray:
+            # a word has ASCII on either side, so what joins two words falls into no bucket
+            data = "\0".join([*ws, ""]).encode("utf-8", "replace")
+            ends = np.flatnonzero(np.frombuffer(data, np.uint8) == 0)
+            return _pairs(data, np.repeat(ns, np.diff(ends, prepend=-1)))
+
+        for dress in _DRESS:
+            self.dress[:] += _hashed(pairs([dress(w) for w in words], times)).astype(np.int64)
+        seen: Counter[str] = Counter()
+        for w, n in zip(words, times.tolist()):
+            for x in _CYRILLIC.findall(w):
+                seen[x.lower()] += n
+        pair = np.zeros(128 * 128, np.int64)
+        for x, n in seen.items():
+            at = [0, *(ord(c) - 0x3FF for c in x), 0]
+            np.add.at(pair, [a * 128 + b for a, b in zip(at, at[1:])], int(n))
+        self.letters[:] += pair
+        own: dict[str, tuple[list[str], np.ndarray, bytes]] = {}
+        whole = "\0".join(words)
+        for k, (right, wrong) in enumerate(CHAINS):
+            enc = "utf_8" if right == "twice" else right
+            if enc not in own:
+                # words that hold a character without bytes are left out
+                can = _HAS.setdefault(enc, {})
+                for c in set(whole).difference(can):
+                    can[c] = _has(c, enc)
+                bad = "".join(re.escape(c) for c in sorted(set(whole)) if not can[c])
+                good = [not x for x in map(re.compile(f"[{bad}]").search, words)] if bad else [True] * len(words)
+                some = list(compress(words, good))
+                own[enc] = some, times[np.array(good)], encode("\0".join(some), enc)
+            some, ns, raw = own[enc]
+            text = decode(raw, wrong, "replace")
+            if right == "twice":
+                text = decode(text.encode(), wrong, "replace")
+            got = text.split("\0")
+            # a chain that leaves a word as it is says nothing, nor does one whose bytes are right UTF-8
+            keep = ["\ufffd" in g for g in got] if wrong == "utf_8" else list(map(ne, got, some))
+            if some and any(keep):
+                self.chains[k * BUCKETS : (k + 1) * BUCKETS] += _hashed(pairs(list(compress(got, keep)), ns[np.array(keep)])).astype(np.int64)
+
+    def cells(self) -> pa.RecordBatch:
+        """All that isn't 0 as (cell, n), cells numbered through."""
+        every = np.concatenate(list(self.parts.values()))
+        at = np.flatnonzero(every)
+        return pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(every[at])], names=["cell", "n"])
+
+    @staticmethod
+    def of_cells(cells: np.ndarray, n: np.ndarray) -> Counts:
+        out = Counts()
+        every = np.zeros(sum(map(len, out.parts.values())), np.int64)
+        every[cells] = n
+        at = np.cumsum([len(v) for v in out.parts.values()])[:-1]
+        out.parts = dict(zip(out.parts, np.split(every, at)))
+        return out
+
+
+@lru_cache(maxsize=1)
+def _given() -> tuple[Counts, np.ndarray, np.ndarray]:
+    """Counts of the given sentences, and pairs of phrases elsewhere and of what a corpus holds now and then: other letters and signs of Europe at the head and inside of words."""
     rare = "".join(f" {c} {c}a o{c}e" for c in map(chr, [*range(0xA1, 0x180), *range(0x2010, 0x2027), *range(0x2030, 0x203B), *range(0x20A0, 0x20B0), 0x2116, 0x2122]) if c != "\xad")
-    data = np.frombuffer("\n".join([*texts, *_ELSEWHERE * 3, rare]).encode(), np.uint8).astype(np.intp)
-    c = np.bincount(data[:-1] * 256 + data[1:], minlength=65536).reshape(256, 256).astype(float)
-    one = (c.sum(0) + 0.5) / (c.sum() + 128)
-    return np.log((c + 2 * one) / (c.sum(1, keepdims=True) + 2)).astype(np.float32)
+    return Counts.of(_BASE), _pairs("\n".join(["", *_ELSEWHERE, ""]).encode()), _pairs(rare.encode())
 
 
 class Model:
@@ -246,29 +388,24 @@ class Model:
 
     @staticmethod
     def train(texts: list[str]) -> Model:
-        texts = [t for t in dict.fromkeys(texts) if t and not t.isascii() and not HARD.search(t)]
-        first = texts if len(texts) >= 300 else []
-        model = Model._fit(_BASE + first)
-        return Model._fit(_BASE + [t for t in texts if model.score_one(t) < SUSPECT])  # without what the first takes for garbled
+        texts = [t for t in texts if t and not t.isascii() and not HARD.search(t)]
+        whole = Counts.of(texts)
+        model = Model.first(whole)
+        return Model.fit(whole - Counts.of([t for t in texts if model.score_one(t) >= SUSPECT]))  # without what the first takes for garbled
+
+    @staticmethod
+    def first(whole: Counts) -> Model:
+        """What finds the garbled ones among the texts that train."""
+        return Model.fit(whole if whole.n[0] >= 300 else Counts())
 
     @staticmethod
-    def _fit(texts: list[str]) -> Model:
-        def counts(ts: list[str]) -> np.ndarray:
-            if not ts:
-                return np.zeros(BUCKETS)
-            c = np.bincount(bigrams(np.frombuffer("\n".join(ts).encode(), np.uint8)), minlength=BUCKETS).astype(float)
-            c[0] = 0
-            return c
-
-        each = max(1, len(texts) // CHAIN_TEXTS)
-        sets = [3 * counts(texts) + counts([v for i, t in enumerate(texts) for v in _variants(t, i)]) + 20 * counts(_ELSEWHERE)]
-        trained = []
-        for k, chain in enumerate(CHAINS):
-            out = [g for i, t in enumerate(texts) if (i + k) % each == 0 and (g := garble(t, chain)) is not None and not (chain[1] == "utf_8" and "�" not in g)]
-            sets.append(counts(out))
-            if out:
-                trained.append(k)
-        c = np.stack(sets)
+    def fit(counts: Counts) -> Model:
+        base, elsewhere, rare = _given()
+        part = min(1.0, WEIGHT / max(1, counts.n[0]))
+        both = {k: v + part * counts.parts[k] for k, v in base.parts.items()}
+        chains = both["chains"].reshape(len(CHAINS), BUCKETS) * min(1.0, CHAIN_WEIGHT / both["n"][0])
+        c = np.stack([_hashed(3 * both["clean"] + 20 * elsewhere) + both["dress"], *chains])
+        trained = [k for k in range(len(CHAINS)) if chains[k].any()]
         logs = np.log(c + 0.05) - np.log(c.sum(1, keepdims=True) + 0.05 * BUCKETS)
         own = [k + 1 for k in trained] or [0]
         top = logs[own]
@@ -276,15 +413,14 @@ class Model:
         odds = mix - logs[0]
         odds[0] = -0.15  # weak evidence strewn over a long text doesn't add up
         logs[:, 0] = 0
-        pairs: dict[str, int] = {}
-        for t in texts:
-            for w in _CYRILLIC.findall(t):
-                w = f" {w.lower()} "
-                for i in range(len(w) - 1):
-                    pairs[w[i : i + 2]] = pairs.get(w[i : i + 2], 0) + 1
-        total = sum(pairs.values()) + 500
-        letters = {p: math.log((n + 0.2) / total) for p, n in pairs.items()} | {"": math.log(0.2 / total)}
-        return Model(logs.astype(np.float32), np.clip(odds, -6, 4).astype(np.float32), trained, letters, _chain_rule(texts))
+        total = both["letters"].sum() + 500
+        name = lambda x: chr(x + 0x3FF) if x else " "
+        letters = {name(p // 128) + name(p % 128): math.log((both["letters"][p] + 0.2) / total) for p in np.flatnonzero(both["letters"]).tolist()} | {"": math.log(0.2 / total)}
+        # log-probability of each byte after each byte in clean texts, smoothed towards that of the byte
+        c = (both["clean"] + 3 * elsewhere + rare).reshape(256, 256)
+        one = (c.sum(0) + 0.5) / (c.sum() + 128)
+        clean = np.log((c + 2 * one) / (c.sum(1, keepdims=True) + 2)).astype(np.float32)
+        return Model(logs.astype(np.float32), np.clip(odds, -6, 4).astype(np.float32), trained, letters, clean)
 
     def _scores(self, data: np.ndarray, offs: np.ndarray) -> np.ndarray:
         s = self.odds[bigrams(data)]
@@ -487,13 +623,33 @@ def garbled(model: Model, texts: pa.Array) -> list[bool]:
     return out
 
 
-def train(frames: list[tuple[DataFrame, str, list[str]]], sample: int = SAMPLE) -> Model:
-    """frames(df, key, columns): fit on the non-ASCII values of about ``sample`` rows of each, taken evenly by the key's hash."""
-    texts = []
-    for df, key, cols in frames:
-        for r in hash_sample(df.select(key, *cols), key, sample).collect():
-            texts += [r[c] for c in cols if r[c] and not r[c].isascii()]
-    return Model.train(texts)
+#: ``HARD`` for RE2.
+_HARD = r"[\x{fffd}\x{80}-\x{9f}]|ï¿½|锟斤拷|锟絏?"
+
+
+def count(texts: DataFrame, model: Model | None = None) -> Counts:
+    """texts(text): counts of all that can train, or with a model of those among them that it takes for garbled."""
+    held = texts.sparkSession.sparkContext.broadcast(model)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m, counts = held.value, Counts()
+        for b in batches:
+            col = b.column(0)
+            col = col.filter(pc.invert(pc.match_substring_regex(col, _HARD)))
+            if m is not None:
+                col = col.take(pa.array(np.flatnonzero(m.batch(col) >= SUSPECT)))
+            for i in range(0, len(col), 5000):
+                counts.add(col.slice(i, 5000).to_pylist())
+        yield counts.done().cells()
+
+    got = texts.where(F.col("text").rlike(r"[^\x00-\x7f]")).mapInArrow(work, "cell int, n bigint").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
+    return Counts.of_cells(got["cell"].to_numpy(), got["n"].to_numpy())
+
+
+def train(texts: DataFrame) -> Model:
+    """texts(text): fit on all of them."""
+    whole = count(texts)
+    return Model.fit(whole - count(texts, Model.first(whole)))
 
 
 FOUND = "src string, row_id bigint, field string, chain string, restored string"

@@ -11,7 +11,7 @@ from . import abuse, bpe, capping, copies, garble, language, leaks, lookalike, r
 
 
 def _model(pages: DataFrame, hits: DataFrame) -> garble.Model:
-    return garble.train([(pages, "audit_id", ["detail_title", "first_chapter_title"]), (hits, "ordinal", ["snippet"])])
+    return garble.train(garble.fields(pages, hits).select("text"))
 
 
 def _titles_snippets(pages: DataFrame, hits: DataFrame) -> DataFrame:

@@ -138,3 +138,22 @@ def test_together_equals_one_by_one(split):
     model, clean = split
     texts = [*clean[:60], *(garble.garble(t, ("utf_8", "web1252")) or t for t in clean[:60]), None, "", "plain", "Глава", "cp\u00c3\u00a9"]
     assert garble.garbled(model, pa.array(texts, pa.string())) == [model.judge(t)[0] for t in texts]
+
+
+def test_every_text_is_counted(spark):
+    """A corpus beyond any sample trains what its texts train when they are counted in one place."""
+    import numpy as np
+
+    rows = [f"Глава {i}: größere Träume für Köln, después del jardín" for i in range(12_000)] + ["今天的灯笼"] * 3 + ["a�b", "CapÃ­tulo 5", "plain", None]
+    model = garble.train(spark.createDataFrame([(t,) for t in rows], "text string").repartition(5))
+    want = garble.Model.train(rows)
+    assert garble.count(spark.createDataFrame([(t,) for t in rows], "text string")).n[0] == 12_004
+    assert np.array_equal(model.logs, want.logs) and np.array_equal(model.clean, want.clean) and model.letters == want.letters and model.trained == want.trained
+    assert garble.train(spark.createDataFrame([], "text string")).trained
+
+
+def test_counts_add_up():
+    texts = ["Größere Träume für alle", "Глава первая", "今天的灯笼 und mehr"]
+    whole, part, rest = garble.Counts.of(texts), garble.Counts.of(texts[:1]), garble.Counts.of(texts[1:])
+    assert all((v == rest.parts[k]).all() for k, v in (whole - part).parts.items())
+    assert all((v == whole.parts[k]).all() for k, v in garble.Counts.of_cells(*(c.to_numpy() for c in whole.cells().columns)).parts.items())
