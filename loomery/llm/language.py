@@ -1,8 +1,8 @@
 """Language of each text and of each passage in it, with a confidence, by fusing evidence.
 
 Text: scripts decide for Korean, Japanese and Russian; words (English, Spanish, French, German) and
-characters (the two Chinese scripts) carry log-likelihoods of a multinomial model, trained on a bounded sample
-of labelled rows and cleaned of wrong labels by its own verdicts. Where a text's clauses disagree, its words are
+characters (the two Chinese scripts) carry log-likelihoods of a multinomial model, trained on all
+labelled rows and cleaned of wrong labels by its own verdicts. Where a text's clauses disagree, its words are
 segmented by a hidden Markov model. Declared label, address suffix and host add log-priors; the host's
 comes from grouped label counts over all rows, smoothed towards its suffix and that towards the whole.
 
@@ -15,21 +15,21 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from collections.abc import Iterator, Sequence
-from functools import lru_cache
+from collections.abc import Iterable, Iterator, Sequence
+from functools import lru_cache, reduce
 from operator import add
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..runtime import hash_sample
+from ..runtime import checkpointed, spread
 
 LANGS = ("en", "zh-Hans", "zh-Hant", "ja", "ko", "es", "fr", "de", "ru")
 LATIN = ("en", "es", "fr", "de")
 HAN = ("zh-Hans", "zh-Hant", "ja")
-#: Rows of the training sample of either table (about); most hosts whose priors are broadcast (else they are joined).
-SAMPLE, HOSTS = 8000, 20_000
+#: Most hosts whose priors are broadcast (else they are joined); different words that a task remembers before it hands their counts on.
+HOSTS, MOST_WORDS = 20_000, 300_000
 #: A passage has this many words, in Chinese and Japanese this many characters.
 PASSAGE_WORDS, PASSAGE_CHARS = 3, 6
 #: Log-cost of a change of language inside a clause and between clauses (at commas and quotes too); most a word can say; weight of a declared
@@ -119,58 +119,53 @@ class Model:
     @staticmethod
     def train(rows: list[tuple[str, str | None]]) -> Model:
         """rows: (text, canonical label). Wrong labels are outvoted: the second round trains on the first one's verdicts."""
+        bags = [(lab, " ".join(w), h) for t, lab in rows for w, h in [_bag(t)] if w or h]
         model = None
-        prepared = [(w, h, lab) for t, lab in rows for w, h in [_bag(t)] if w or h]
-        for turn in range(3):
-            wc = {lang: Counter({w: 3 for w in SEEDS[lang].split()}) for lang in LATIN}
-            hc = {"zh-Hans": Counter(), "zh-Hant": Counter()}
-            for ws, han, lab in prepared:
-                if ws:
-                    to = lab if model is None else model.latin(ws)
-                    if to in wc:
-                        wc[to].update(ws)
-                if han:
-                    if model is None:
-                        to = lab
-                    else:
-                        x = sum(model.chars.get(c, 0.0) for c in han)
-                        to = "zh-Hans" if x > 1 else "zh-Hant" if x < -1 else None
-                    if to in hc:
-                        hc[to].update(han)
-            total = {lang: sum(c.values()) for lang, c in wc.items()}
-            words = {}
-            for w in {w for c in wc.values() for w in c}:
-                if sum(c[w] for c in wc.values()) >= 2:
-                    ll = [math.log((wc[lang][w] + 0.3) / (total[lang] + 3000)) for lang in LATIN]
-                    top = max(ll)
-                    if top - min(ll) > 0.7:
-                        words[w] = tuple(max(x - top, -CLIP) for x in ll)
-            ns, nt = sum(hc["zh-Hans"].values()) + 2000, sum(hc["zh-Hant"].values()) + 2000
-            chars = {c: max(-3.0, min(3.0, math.log((hc["zh-Hans"][c] + 0.5) / ns) - math.log((hc["zh-Hant"][c] + 0.5) / nt))) * 0.5 + script_of(c) for c in set(hc["zh-Hans"]) | set(hc["zh-Hant"])}
-            tri = [Counter() for _ in LATIN]
-            for c, lang in zip(tri, LATIN):
-                for w, n in wc[lang].items():
-                    if w in words:
-                        for i in range(len(w) - 2):
-                            c[w[i : i + 3]] += n
-            sums = [sum(c.values()) + 500 for c in tri]
-            grams = {}
-            for g in {g for c in tri for g in c}:
-                ll = [math.log((c[g] + 0.2) / n) for c, n in zip(tri, sums)]
-                grams[g] = tuple(x - max(ll) for x in ll)
-            model = Model(words, chars, grams)
+        for _ in range(ROUNDS):
+            model = Model.fit(_tally(model, *zip(*bags)) if bags else {})
         return model
 
+    @staticmethod
+    def fit(counts: dict[str, Counter]) -> Model:
+        """counts: by language, of Latin words or Han characters."""
+        wc = {lang: Counter({w: 3 for w in SEEDS[lang].split()}) + counts.get(lang, Counter()) for lang in LATIN}
+        hc = {lang: counts.get(lang, Counter()) for lang in ("zh-Hans", "zh-Hant")}
+        total = {lang: sum(c.values()) for lang, c in wc.items()}
+        words = {}
+        for w in {w for c in wc.values() for w in c}:
+            if sum(c[w] for c in wc.values()) >= 2:
+                ll = [math.log((wc[lang][w] + 0.3) / (total[lang] + 3000)) for lang in LATIN]
+                top = max(ll)
+                if top - min(ll) > 0.7:
+                    words[w] = tuple(max(x - top, -CLIP) for x in ll)
+        ns, nt = sum(hc["zh-Hans"].values()) + 2000, sum(hc["zh-Hant"].values()) + 2000
+        chars = {c: max(-3.0, min(3.0, math.log((hc["zh-Hans"][c] + 0.5) / ns) - math.log((hc["zh-Hant"][c] + 0.5) / nt))) * 0.5 + script_of(c) for c in set(hc["zh-Hans"]) | set(hc["zh-Hant"])}
+        tri = [Counter() for _ in LATIN]
+        for c, lang in zip(tri, LATIN):
+            for w, n in wc[lang].items():
+                if w in words:
+                    for i in range(len(w) - 2):
+                        c[w[i : i + 3]] += n
+        sums = [sum(c.values()) + 500 for c in tri]
+        grams = {}
+        for g in {g for c in tri for g in c}:
+            ll = [math.log((c[g] + 0.2) / n) for c, n in zip(tri, sums)]
+            grams[g] = tuple(x - max(ll) for x in ll)
+        return Model(words, chars, grams)
+
     def latin(self, ws: list[str]) -> str | None:
-        s = [0.0] * 4
-        for w in ws:
-            v = self.words.get(w)
-            if v:
-                for k in range(4):
-                    s[k] += v[k]
+        get = self.words.get
+        known = [v for w in ws if (v := get(w))]
+        if not known:
+            return None
+        s = list(map(sum, zip(*known)))
         top = max(s)
         return LATIN[s.index(top)] if sorted(s)[-2] < top - 2 else None
 
+    def chinese(self, han: str) -> str | None:
+        x = sum(self.chars.get(c, 0.0) for c in han)
+        return "zh-Hans" if x > 1 else "zh-Hant" if x < -1 else None
+
     def by_grams(self, text: str) -> list[float]:
         """Log-likelihoods of the Latin languages from letter trigrams, for text without known words (blanks lost)."""
         t = "".join(c for c in text.lower() if c.isalpha())
@@ -389,6 +384,21 @@ def _bag(text: str) -> tuple[list[str], str]:
     return (ws if len(ws) > 2 else []), ("" if kana else "".join(han))
 
 
+#: Rounds of training; all but the first count by the verdicts of the one before.
+ROUNDS = 3
+
+
+def _tally(model: Model | None, labels: Iterable[str | None], words: Iterable[str], han: Iterable[str]) -> dict[str, Counter]:
+    """Counts of words and Han characters by language, which is the label or, with a model, its verdict."""
+    held: dict[str | None, list[str]] = {}
+    for lab, ws, h in zip(labels, words, han):
+        if ws and (to := lab if model is None else model.latin(ws.split(" "))) in LATIN:
+            held.setdefault(to, []).append(ws)
+        if h and (to := lab if model is None else model.chinese(h)) in ("zh-Hans", "zh-Hant"):
+            held.setdefault(to, []).append(h)
+    return {lang: Counter(" ".join(x).split(" ") if lang in LATIN else "".join(x)) for lang, x in held.items()}
+
+
 def host_priors(rows: DataFrame) -> DataFrame:
     """rows(host, label) → (host, rows, weights, weight): label counts of the host, smoothed towards its suffix and that towards all rows.
 
@@ -421,13 +431,46 @@ def prior(weights: Sequence[float], weight: float, said: str | None) -> dict[str
     return out
 
 
-def train(frames: list[DataFrame], sample: int = SAMPLE) -> Model:
-    """frames(row_id, text, label): fit on about ``sample`` rows of each, taken evenly by the hash of the id."""
-    rows = []
-    for df in frames:
-        some = hash_sample(df.select("row_id", F.col("text").alias("t"), "label"), "row_id", sample)
-        rows += [(r.t, canonical(r.label)) for r in some.collect() if r.t and len(r.t) > 8]
-    return Model.train(rows)
+def train(frames: list[DataFrame]) -> Model:
+    """frames(row_id, text, label): fit on all rows. Texts are taken apart once; every round reads what is left of them."""
+    rows = reduce(DataFrame.unionByName, (df.select(F.col("text").alias("t"), "label") for df in frames)).where(F.length("t") > 8)
+
+    def bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out = [(canonical(lab), " ".join(w), h) for t, lab in zip(*(c.to_pylist() for c in b.columns)) for w, h in [_bag(t)] if w or h]
+            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], pa.string()) for k in range(3)], names=["lang", "words", "han"])
+
+    held = checkpointed(spread(rows).mapInArrow(bags, "lang string, words string, han string"))
+    model = None
+    for _ in range(ROUNDS):
+        model = Model.fit(_counted(held, model))
+    return model
+
+
+def _counted(bags: DataFrame, model: Model | None) -> dict[str, Counter]:
+    """``_tally`` over all rows."""
+    before = bags.sparkSession.sparkContext.broadcast(model)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m, sums = before.value, {}
+
+        def out() -> pa.RecordBatch:
+            got = [(lang, x, n) for lang, c in sums.items() for x, n in c.items()]
+            sums.clear()
+            return pa.RecordBatch.from_arrays([pa.array([g[k] for g in got], kind) for k, kind in enumerate((pa.string(), pa.string(), pa.int64()))], names=["lang", "item", "n"])
+
+        for b in batches:
+            for lang, c in _tally(m, *(c.to_pylist() for c in b.columns)).items():
+                sums.setdefault(lang, Counter()).update(c)
+            if sum(map(len, sums.values())) > MOST_WORDS:
+                yield out()
+        yield out()
+
+    got = bags.mapInArrow(work, "lang string, item string, n bigint").groupBy("lang", "item").agg(F.sum("n").alias("n")).toArrow()
+    sums: dict[str, Counter] = {}
+    for lang, x, n in zip(*(c.to_pylist() for c in got.columns)):
+        sums.setdefault(lang, Counter())[x] = n
+    return sums
 
 
 def label(df: DataFrame, model: Model, priors: DataFrame, wrong_only=None, hosts: int = HOSTS) -> DataFrame:

@@ -120,3 +120,12 @@ def test_short_passages_in_every_place(form, lang, passage):
     m = L.Model.train([(s, lang) for lang, s in L.SEEDS.items()] * 40)
     assert {x for x, _, _ in m.languages(form.format(p=passage))} == {"en", lang}
     assert {x for x, _, _ in m.languages(form.format(p=" ".join(passage.split()[:1])))} == {"en"}
+
+
+def test_every_row_trains(spark):
+    """Rare words count in a corpus beyond any sample, which trains what its rows train when they are counted in one place."""
+    rows = [(i, f"The last garden of keeper number{i % 50}", "en") for i in range(20_000)] + [(i, "el último zyxjardín del niño perdido", "es") for i in range(20_000, 20_003)] + [(30_000, "这个网站列出了很多话", "zh-CN"), (30_001, None, "en"), (30_002, "你好", None)]
+    frames = [spark.createDataFrame(x, "row_id long, text string, label string").repartition(3) for x in (rows[:7], rows[7:])]
+    got, want = L.train(frames), L.Model.train([(t, L.canonical(lab)) for _, t, lab in rows if t and len(t) > 8])
+    assert "zyxjardín" in got.words and got.words == want.words and got.chars == want.chars and got.grams == want.grams
+    assert L.train([frames[0].limit(0)]).words == L.Model.train([]).words
