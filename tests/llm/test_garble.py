@@ -157,3 +157,9 @@ def test_counts_add_up():
     whole, part, rest = garble.Counts.of(texts), garble.Counts.of(texts[:1]), garble.Counts.of(texts[1:])
     assert all((v == rest.parts[k]).all() for k, v in (whole - part).parts.items())
     assert all((v == whole.parts[k]).all() for k, v in garble.Counts.of_cells(*(c.to_numpy() for c in whole.cells().columns)).parts.items())
+
+
+def test_likelihoods_together_equal_one_by_one(split):
+    model, clean = split
+    texts = [*clean[:20], "a", "é", "第1话"]
+    assert model.likelihoods(texts) == pytest.approx([model.likelihood(t) for t in texts], abs=1e-2) and model.likelihoods([]) == []
