@@ -129,3 +129,17 @@ def test_every_row_trains(spark):
     got, want = L.train(frames), L.Model.train([(t, L.canonical(lab)) for _, t, lab in rows if t and len(t) > 8])
     assert "zyxjardín" in got.words and got.words == want.words and got.chars == want.chars and got.grams == want.grams
     assert L.train([frames[0].limit(0)]).words == L.Model.train([]).words
+
+
+def test_plain_latin_texts_take_no_other_way(model, monkeypatch):
+    """Texts that need no passages get what the passages give."""
+    for c in map(chr, range(0x80, 0x10000)):
+        if not 0xD800 <= ord(c) < 0xE000:
+            m = L._TOKEN.fullmatch(c)
+            assert bool(L._NOT_LATIN.fullmatch(c)) == bool(m and m.lastindex in (2, 3, 4)) and bool(L._LATIN_WORD.fullmatch(c)) == bool(m and m.lastindex == 1)
+    texts = ["The Last Garden of the Old Keeper", "El último jardín, según él: www.a.example &amp; más", "theLastGardenOfTheOldKeeper", "Kova Zuni", "Wie l'été vor dem Haus. The last garden of the keeper", "Über alles! 20 °C", "a.b 第1话", "x"]
+    quick = [model.languages(t, {"en": -1.0}) for t in texts]
+    assert sum(model._plain_latin(t) is not None for t in texts) >= 4
+    monkeypatch.setattr(L.Model, "_plain_latin", lambda self, text: None)
+    for got, want in zip(quick, (model.languages(t, {"en": -1.0}) for t in texts)):
+        assert [(a, n) for a, _, n in got] == [(a, n) for a, _, n in want] and [p for _, p, _ in got] == pytest.approx([p for _, p, _ in want])
