@@ -181,7 +181,7 @@ def _variants(text: str) -> list[str]:
     i = zlib.crc32(text.encode("utf-8", "replace"))
     words = text.split(" ")
     w = i % len(words)
-    words[w] = words[w].translate(_WIDE) if i // 7 % 2 else words[w].translate(_ALIKE)
+    words[w] = words[w].translate(_WIDE if i // 7 % 2 else _ALIKE)
     at = (i // 11) % (len(text) + 1)
     return [" ".join(words), text[:at] + _BLANKS[i % len(_BLANKS)] + text[at : at + 2] + _BLANKS[(i // 3) % len(_BLANKS)] + text[at + 2 :]]
 
@@ -467,6 +467,13 @@ class Model:
             return score >= (SHORT_TRIED if len(text) <= SHORT else TRIED), ">".join(CHAINS[likely[0]]) if likely else None, None
         return False, None, None
 
+    def garbled(self, text: str, score: float) -> bool:
+        """What ``diagnose`` says first, without what it restores."""
+        enough = score >= (SHORT_TRIED if len(text) <= SHORT else TRIED)
+        if (enough and (HARD.search(text) or self._undo(text, True))) or self._cyrillic_case(text):
+            return True
+        return enough and score >= CERTAIN and self.score_one(_plain(text)) >= CERTAIN
+
     def _order(self, span: np.ndarray) -> list[int]:
         """The trained chains, likeliest for a run of bytes first."""
         post = self.logs[:, bigrams(span)].sum(1)[1:] if len(span) else np.zeros(len(CHAINS))
@@ -489,8 +496,8 @@ class Model:
         s[ends - 1] = 0
         return np.add.reduceat(s, np.concatenate([[0], ends[:-1]])).tolist()
 
-    def _undo(self, text: str) -> tuple[str, str] | None:
-        """(chain, text without what it did) of the likeliest chain, if it is likelier than a clean text."""
+    def _undo(self, text: str, any_chain: bool = False) -> tuple[str, str] | None:
+        """(chain, text without what it did) of the likeliest chain, if it is likelier than a clean text; any_chain: only whether there is one."""
         raw = text.encode("utf-8", "replace")
         data = np.frombuffer(raw, np.uint8)
         a, b = segment_bounds(self._scores(data, np.array([0, len(data)])))
@@ -508,7 +515,7 @@ class Model:
         # the predicted chain first, then those of UTF-8, which prove themselves
         selves = [k for k in order[1:] if CHAINS[k][0] in ("utf_8", "twice")]
         for ks in (order[:1], selves, [k for k in order[1:] if CHAINS[k][0] not in ("utf_8", "twice")]):
-            if found and self._settled(order, *found[:2], ks, best, min(hi - lo, len(text))):
+            if found and (any_chain or self._settled(order, *found[:2], ks, best, min(hi - lo, len(text)))):
                 break
             for wrong in dict.fromkeys(CHAINS[k][1] for k in ks):
                 if wrong not in parts:
@@ -554,6 +561,8 @@ class Model:
         if not found:
             return None
         k, part, fixed = found
+        if any_chain:
+            return ">".join(CHAINS[k]), fixed
         return ">".join(CHAINS[k]), self._sweep(text.replace(part, fixed), CHAINS[k])
 
     @staticmethod
@@ -667,7 +676,7 @@ def garbled(model: Model, texts: pa.Array) -> list[bool]:
     out = [False] * len(texts)
     for i in np.flatnonzero(_suspects(scores, texts)):
         t = texts[int(i)].as_py()
-        out[i] = bool(t) and not t.isascii() and model.diagnose(t, float(scores[i]))[0]
+        out[i] = bool(t) and not t.isascii() and model.garbled(t, float(scores[i]))
     return out
 
 

@@ -163,3 +163,12 @@ def test_likelihoods_together_equal_one_by_one(split):
     model, clean = split
     texts = [*clean[:20], "a", "é", "第1话"]
     assert model.likelihoods(texts) == pytest.approx([model.likelihood(t) for t in texts], abs=1e-2) and model.likelihoods([]) == []
+
+
+def test_garbled_says_what_diagnose_says(split):
+    model, clean = split
+    r = random.Random(5)
+    texts = [t for c in clean[:150] if (t := garble.garble(c, r.choice(garble.CHAINS)))] + clean[:150] + ["a�b", "Ｔｈｅ Ｌａｓｔ", "Глава", "锟斤拷锟斤拷", "café � Ã©tÃ©"]
+    for t in texts:
+        score = model.score_one(t)
+        assert model.garbled(t, score) == model.diagnose(t, score)[0], t
