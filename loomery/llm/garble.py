@@ -228,11 +228,10 @@ def _encodable(c: str, enc: str) -> bool:
         return False
 
 
-def _pairs(data: bytes, weights: np.ndarray | None = None) -> np.ndarray:
-    """How often each byte follows each byte, as 65,536 counts; weights: of each byte with its successor."""
+def _pairs(data: bytes) -> np.ndarray:
+    """How often each byte follows each byte, as 65,536 counts."""
     d = np.frombuffer(data, np.uint8)
-    at = d[:-1].astype(np.uint16) << 8 | d[1:]
-    return np.bincount(at, minlength=65536) if weights is None else np.bincount(at, weights[: len(at)], 65536).astype(np.int64)
+    return np.bincount(d[:-1].astype(np.uint16) << 8 | d[1:], minlength=65536)
 
 
 @lru_cache(maxsize=1)
@@ -322,10 +321,15 @@ class Counts:
         def pairs(joined: str, ns: np.ndarray) -> np.ndarray:
             # a word has ASCII on either side, so what joins two words falls into no bucket
             data = joined.encode("utf-8", "replace") + b"\0"
-            ends = np.flatnonzero(np.frombuffer(data, np.uint8) == 0)
-            return _pairs(data, np.repeat(ns, np.diff(ends, prepend=-1)))
+            sizes = np.diff(np.flatnonzero(np.frombuffer(data, np.uint8) == 0), prepend=-1)
+            more = ns > 1  # most words come once
+            d = np.frombuffer(data, np.uint8)
+            at = d[:-1].astype(np.uint16) << 8 | d[1:]
+            again = at[np.repeat(more, sizes)[:-1]]
+            return np.bincount(at, minlength=65536) + np.bincount(again, np.repeat(ns[more] - 1, sizes[more])[: len(again)], 65536).astype(np.int64)
 
         whole = "\0".join(words)
+        chars = set(whole)
         for dress in _DRESS:
             self.dress[:] += _hashed(pairs(dress(whole), times)).astype(np.int64)
         seen: Counter[str] = Counter()
@@ -343,9 +347,9 @@ class Counts:
             if enc not in own:
                 # words that hold a character without bytes are left out
                 can = _HAS.setdefault(enc, {})
-                for c in set(whole).difference(can):
+                for c in chars.difference(can):
                     can[c] = _has(c, enc)
-                bad = "".join(re.escape(c) for c in sorted(set(whole)) if not can[c])
+                bad = "".join(re.escape(c) for c in sorted(chars) if not can[c])
                 good = [not x for x in map(re.compile(f"[{bad}]").search, words)] if bad else [True] * len(words)
                 some = list(compress(words, good))
                 own[enc] = some, times[np.array(good)], encode("\0".join(some), enc)

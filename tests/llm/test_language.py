@@ -143,3 +143,48 @@ def test_plain_latin_texts_take_no_other_way(model, monkeypatch):
     monkeypatch.setattr(L.Model, "_plain_latin", lambda self, text: None)
     for got, want in zip(quick, (model.languages(t, {"en": -1.0}) for t in texts)):
         assert [(a, n) for a, _, n in got] == [(a, n) for a, _, n in want] and [p for _, p, _ in got] == pytest.approx([p for _, p, _ in want])
+
+
+def test_hosts_are_counted_once(spark):
+    """The rows behind the host priors are read once, however many sums are made of them."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def look(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    df = spark.createDataFrame([("a.x", "en")] * 30 + [("b.x", "de"), ("c.y", "xx")], "host string, label string").mapInArrow(look, "host string, label string")
+    assert L.host_priors(df).count() == 3 and seen.value == 32
+
+
+def test_texts_of_one_script_take_no_other_way(model, monkeypatch):
+    """Texts in one script get what the walk through all tokens gives; a text in its label's language alone yields nothing where that is asked for."""
+    import random
+    import re
+
+    for c in map(chr, range(0x80, 0x10000)):
+        if not 0xD800 <= ord(c) < 0xE000:
+            kind = m.lastindex if (m := L._TOKEN.fullmatch(c)) else None
+            letter = L._LETTER.fullmatch(c)
+            assert bool(L._NOT_HAN.fullmatch(c)) == (kind in (1, 2, 3)) and bool(letter) == (kind in (1, 2, 3, 4)) and bool(L._HAN_PART.fullmatch(c)) == (kind == 4)
+            for k, lang in ((2, "ru"), (3, "ko")):
+                words, others = L._ALONE[lang]
+                assert (letter is not None and letter.lastindex == k - 1) == bool(words.fullmatch(c)) == (kind == k) and (kind == k or bool(others.fullmatch(c)) == (kind in (1, 2, 3, 4)))
+            assert bool(L._LATIN_END.fullmatch(c)) == (kind == 5) and (c in L._SMALL_END) == (kind == 7) and bool(L._HAN_END.fullmatch(c)) == (kind in (5, 6))
+    rng = random.Random(3)
+    ends = [" ", " ", " ", ", ", ". ", " - ", "  – ", "'", "(", "\n", "12", "　", "・", "·", "@"]
+    words = [L.SEEDS[x].split() for x in L.LATIN] + [list("山水這个這国國的ꀀ\ue000"), ["これ", "は", "本", "カタ", "国"], ["слово", "и", "дом"], ["한국", "어", "글"], ["theLastGardenOfThe", "l’été", "mixed слово", "山 a"]]
+    texts = ["".join(x for w in rng.choices(rng.choice(words) + rng.choice(words) * rng.randint(0, 1), k=rng.randint(1, 12)) for x in (w, rng.choice(ends))) for _ in range(3000)]
+    priors = [{"en": -1.0}, {"ja": -2.0, "de": 0.5}]
+    every = lambda t: (model.pieces(t), [(lang, round(x, 9), n) for p in priors for lang, x, n in model.languages(t, p)])
+    quick = [every(t) for t in texts]
+    for t in texts:
+        for lang in ("ru", "en", "ja"):
+            got = model.languages(t, priors[0])
+            assert model.languages(t, priors[0], lang) == ([] if [x for x, _, _ in got] == [lang] else got)
+    for name in ("_alone", "_single"):
+        monkeypatch.setattr(L.Model, name, staticmethod(lambda x: None))
+    for name in ("_NOT_HAN", "_NOT_LATIN"):
+        monkeypatch.setattr(L, name, re.compile(""))
+    assert quick == [every(t) for t in texts]
