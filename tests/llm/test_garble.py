@@ -172,3 +172,59 @@ def test_garbled_says_what_diagnose_says(split):
     for t in texts:
         score = model.score_one(t)
         assert model.garbled(t, score) == model.diagnose(t, score)[0], t
+
+
+def test_what_recurs_is_tried_once(split, monkeypatch):
+    """Words and texts that recur are not decoded by every chain again, whatever text they stand in."""
+    import pickle
+
+    model = pickle.loads(pickle.dumps(split[0]))
+    calls, decode = [], garble.decode
+    monkeypatch.setattr(garble, "decode", lambda *a: calls.append(a) or decode(*a))
+    texts = [f"Cap\xc3\xadtulo {i} \u2013 despu\xc3\xa9s" for i in range(40)]
+    got = [model.judge(t) for t in texts[:2]]
+    assert any(a[0] == b"Cap\xc3\xadtulo" for a in calls)
+    calls.clear()
+    got += [model.judge(t) for t in texts[2:]]
+    assert [g[2] for g in got] == [f"Capítulo {i} – después" for i in range(40)]
+    assert sum(a[0] == b"Cap\xc3\xadtulo" for a in calls) < 10
+    again = [model.told(t, model.score_one(t)) for t in texts[:5] for _ in range(2)]
+    assert again == [g for g in got[:5] for _ in range(2)] and len(pickle.dumps(model)) == len(pickle.dumps(split[0]))
+    calls.clear()
+    assert model.told(texts[0], model.score_one(texts[0])) == got[0] and not calls
+
+
+def test_remembered_equals_afresh(split):
+    """What a worker remembers changes no diagnosis."""
+    import pickle
+
+    model, clean = split
+    r = random.Random(6)
+    texts = [t for c in clean[:120] if (t := garble.garble(c, r.choice(garble.CHAINS)))]
+    warm = pickle.loads(pickle.dumps(model))
+    for _ in range(2):
+        r.shuffle(texts)
+        for t in texts:
+            assert warm.judge(t) == pickle.loads(pickle.dumps(model)).judge(t), t
+
+
+def test_parts_are_runs_words_and_odd_spans():
+    import re
+
+    r = random.Random(7)
+    for _ in range(500):
+        text = "".join(r.choice("ab é世ж ü-") for _ in range(r.randrange(1, 30)))
+        bad = frozenset(r.sample("é世жü-a", r.randrange(3)))
+        lo = r.randrange(-1, len(text))
+        hi = r.randrange(lo + 1, len(text) + 2)
+        want = set()
+        for x, y in garble.Model._runs(text, bad):
+            if x < hi and y > lo:
+                want |= {text[x:y]} | {m[0] for rx in ("[^ ]+", r"[^\x00-\x7f](?:.*[^\x00-\x7f])?", r"[^\x00-\x7f]+") for m in re.finditer(rx, text[x:y]) if x + m.start() < hi and x + m.end() > lo and not m[0].isascii()}
+        assert garble.Model._parts(text, bad, lo, hi) == sorted(want, key=lambda p: (-len(p), p))
+
+
+def test_never_says_what_the_pattern_says():
+    for c in [*map(chr, range(0x3100)), "锟斤拷", "锟斤", "锟絏", "锟", "ï¿½", "ï¿", "�", "\u7121"]:
+        assert garble._never(f"a{c}b") == bool(garble._NEVER.search(f"a{c}b")), c
+    assert all(garble._encodable(c, wrong) for c in map(chr, range(32, 127)) for _, wrong in garble.CHAINS)
